@@ -1,9 +1,8 @@
 """Cutting an ordered series into spans.
 
-A window over a whole series runs in one task, and one series may hold a large
-part of all rows. The operators therefore window within ``(key, span)`` and carry
-one summary row per span over to the next, which is exact for "last value",
-"previous row" and "product", and keeps every window small.
+A window over a whole series runs in one task. Where a series has no natural bound,
+the operators window within ``(key, span)`` and carry one summary row per span over
+to the next, which is exact for "last value", "previous row" and "product".
 """
 
 from __future__ import annotations
@@ -12,12 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Ten years: ordinary daily series fall into a few spans, and as bars are unique
-# per day no window partition can hold more rows than this.
-SPAN_DAYS = 3653
 
-
-def date_span(on: Column | str, days: int = SPAN_DAYS) -> Column:
+def date_span(on: Column | str, days: int) -> Column:
     """Number of the ``days``-long span a date falls into."""
     return F.floor(F.unix_date(on) / F.lit(days)).cast("int")
 

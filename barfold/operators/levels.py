@@ -1,155 +1,212 @@
-"""Rebuilding absolute levels from changes and the last known levels."""
+"""Rebuilding absolute levels from changes and the last known levels.
+
+An anchor (last price, last volume) counts only if its date is among the rows of its
+security; it reaches that date and older ones. A row without a change has no level.
+For ``span_days`` see :mod:`barfold.operators.returns`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barfold.functions.series import finite, growth_factor, not_nan, positive
-from barfold.functions.spans import SPAN_DAYS, date_span
-from barfold.operators.lookups import last_date
+from barfold.functions.spans import date_span
 from barfold.operators.maintain import upsert
 from barfold.operators.returns import (
-    _usable,
     last_price,
     last_volume,
-    returns_with_span,
+    returns,
+    series_key,
+    usable_levels,
     with_changes,
+    with_span,
 )
 from barfold.schema import EARLIEST, KEY, LEVELS, ON, PRICES, VOLUME
+from barfold.sources.scratch import materialise
 
+# Where each anchor's date is kept, by level column.
+_ANCHOR_ON = {c: "_volume_on" if c == VOLUME else "_price_on" for c in LEVELS}
 
-def _anchors(prices: DataFrame, volumes: DataFrame, span_days: int) -> DataFrame:
-    """Both last-level tables as one row per ``(sec_id, span of the anchor)``."""
-    price = prices.select(
-        KEY, F.col(ON).alias("_price_on"), F.lit(None).cast("date").alias("_volume_on"),
-        *[F.col(c).alias(f"_{c}_last") for c in PRICES],
-        F.lit(None).cast("double").alias(f"_{VOLUME}_last"),
-        date_span(ON, span_days).alias("_span"),
-    )
-    volume = volumes.select(
-        KEY, F.lit(None).cast("date").alias("_price_on"), F.col(ON).alias("_volume_on"),
-        *[F.lit(None).cast("double").alias(f"_{c}_last") for c in PRICES],
-        F.col(VOLUME).alias(f"_{VOLUME}_last"),
-        date_span(ON, span_days).alias("_span"),
+
+def _with_newer(rows: DataFrame, span_days: int | None) -> DataFrame:
+    """Per level column the product of the factors of all newer rows of the run."""
+    newer = (
+        Window.partitionBy(*series_key(span_days)).orderBy(F.desc(ON))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    both = price.unionByName(volume)
-    values = [c for c in both.columns if c not in (KEY, "_span")]
-    return both.groupBy(KEY, "_span").agg(*[F.max(c).alias(c) for c in values])
+    return rows.withColumns({
+        f"_{c}_newer": F.coalesce(F.product(growth_factor(c)).over(newer), F.lit(1.0))
+        for c in LEVELS
+    })
 
 
-def _anchor_date(column: str) -> str:
-    return "_volume_on" if column == VOLUME else "_price_on"
+def _levels(rows: DataFrame) -> list[Column]:
+    """Levels as ``<c>_level``, from changes, newer products and anchors."""
+    def level(c: str) -> Column:
+        reached = not_nan(c).isNotNull() & (F.col(ON) <= F.col(_ANCHOR_ON[c]))
+        return F.when(reached, finite(F.col(f"_{c}_last") * F.col(f"_{c}_newer")))
+
+    return [level(c).alias(f"{c}_level") for c in LEVELS]
 
 
-def levels_from(rows: DataFrame, prices: DataFrame, volumes: DataFrame,
-                span_days: int = SPAN_DAYS) -> DataFrame:
-    """``rows`` plus the unrounded ``<c>_level`` columns.
+def _with_bar_anchors(rows: DataFrame, kept: Column) -> DataFrame:
+    """Anchors of bars and changes that still are in one frame.
 
-    ``rows`` has ``_span`` and the changes under the level names. An anchor counts
-    only if its date is among the rows of the security, and reaches that date and
-    older ones; a row without a change has no level.
+    One more pass over the rows as they are already partitioned. ``kept`` tells
+    whether a row stays: an anchor on a dropped row does not count.
     """
-    anchors = _anchors(prices, volumes, span_days)
-
-    # Per span: the product of its factors, and the anchors that fall on one of its rows.
-    hit = {c: F.col(ON) == F.col(_anchor_date(c)) for c in LEVELS}
-    on_rows = {d: F.col(ON) == F.col(d) for d in ("_price_on", "_volume_on")}
-    spans = (
-        rows.select(KEY, ON, "_span", *LEVELS)
-        .join(anchors, [KEY, "_span"], "left")
-        .groupBy(KEY, "_span")
-        .agg(
-            *[F.product(growth_factor(c)).alias(f"_{c}_step") for c in LEVELS],
-            *[F.max(F.when(hit[c], F.col(f"_{c}_last"))).alias(f"_{c}_last") for c in LEVELS],
-            *[F.max(F.when(found, F.col(d))).alias(d) for d, found in on_rows.items()],
-        )
+    series = Window.partitionBy(KEY)
+    dated = {
+        "_price_on": F.when(positive("close_bar"), F.col(ON)),
+        "_volume_on": F.when(positive(f"{VOLUME}_bar"), F.col(ON)),
+    }
+    rows = rows.withColumns(
+        {d: F.max(on).over(series) for d, on in dated.items()}
+        | {f"{d}_kept": F.max_by(kept, on).over(series) for d, on in dated.items()}
+        | {f"_{c}_last": F.max_by(f"{c}_bar", dated[_ANCHOR_ON[c]]).over(series) for c in LEVELS}
+    )
+    return rows.withColumns({d: F.when(F.col(f"{d}_kept"), F.col(d)) for d in dated})
+
+
+def _anchor_tables(prices: DataFrame, volumes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return (
+        prices.select(KEY, F.col(ON).alias("_price_on"),
+                      *[F.col(c).alias(f"_{c}_last") for c in PRICES]),
+        volumes.select(KEY, F.col(ON).alias("_volume_on"), F.col(VOLUME).alias(f"_{VOLUME}_last")),
+    )
+
+
+def _rebuild(rows: DataFrame, prices: DataFrame, volumes: DataFrame) -> DataFrame:
+    """Levels of whole series: one shuffle of the changes, one sort."""
+    for anchors in _anchor_tables(prices, volumes):
+        rows = rows.join(anchors, KEY, "left")
+    series = Window.partitionBy(KEY)
+    return rows.withColumns({
+        d: F.when(F.max(F.col(ON) == F.col(d)).over(series), F.col(d))
+        for d in ("_price_on", "_volume_on")
+    })
+
+
+def _rebuild_spans(rows: DataFrame, prices: DataFrame, volumes: DataFrame,
+                   span_days: int) -> DataFrame:
+    """Levels of cut series: each span's product and anchors are carried to older spans."""
+    marked = rows.select(KEY, ON, "_span", *LEVELS)
+    for anchors in _anchor_tables(prices, volumes):
+        on = next(c for c in anchors.columns if c.endswith("_on"))
+        marked = marked.join(anchors.withColumn("_span", date_span(on, span_days)),
+                             [KEY, "_span"], "left")
+
+    def on_anchor(value: str, column: str) -> Column:
+        return F.max(F.when(F.col(ON) == F.col(_ANCHOR_ON[column]), F.col(value))).alias(value)
+
+    spans = marked.groupBy(KEY, "_span").agg(
+        *[F.product(growth_factor(c)).alias(f"_{c}_step") for c in LEVELS],
+        *[on_anchor(f"_{c}_last", c) for c in LEVELS],
+        on_anchor("_price_on", "close"), on_anchor("_volume_on", VOLUME),
     )
     series = Window.partitionBy(KEY)
     newer = series.orderBy(F.desc("_span")).rowsBetween(Window.unboundedPreceding, -1)
     carried = spans.select(
         KEY, "_span",
-        *[F.coalesce(F.product(f"_{c}_step").over(newer), F.lit(1.0)).alias(f"_{c}_newer")
+        *[F.coalesce(F.product(f"_{c}_step").over(newer), F.lit(1.0)).alias(f"_{c}_carried")
           for c in LEVELS],
-        *[F.max(f"_{c}_last").over(series).alias(f"_{c}_last") for c in LEVELS],
-        *[F.max(d).over(series).alias(d) for d in on_rows],
+        *[F.max(a).over(series).alias(a)
+          for a in ("_price_on", "_volume_on", *[f"_{c}_last" for c in LEVELS])],
     )
-
-    within = (
-        Window.partitionBy(KEY, "_span").orderBy(F.desc(ON))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    stepped = rows.withColumns(
-        {f"_{c}_within": F.coalesce(F.product(growth_factor(c)).over(within), F.lit(1.0))
-         for c in LEVELS}
-    ).join(carried, [KEY, "_span"], "left")
-
-    def level(c: str) -> Column:
-        value = F.col(f"_{c}_last") * (F.col(f"_{c}_within") * F.col(f"_{c}_newer"))
-        reached = not_nan(c).isNotNull() & (F.col(ON) <= F.col(_anchor_date(c)))
-        return F.when(reached, finite(value))
-
-    return stepped.withColumns({f"{c}_level": level(c) for c in LEVELS}).select(
-        *rows.columns, *[f"{c}_level" for c in LEVELS]
+    return rows.join(carried, [KEY, "_span"], "left").withColumns(
+        {f"_{c}_newer": F.col(f"_{c}_newer") * F.col(f"_{c}_carried") for c in LEVELS}
     )
 
 
-def _reconstruct(rows: DataFrame, prices: DataFrame, volumes: DataFrame,
-                 span_days: int, digits: int | None) -> DataFrame:
-    rebuilt = levels_from(rows, prices, volumes, span_days)
-
-    def out(c: str) -> Column:
-        value = F.col(f"{c}_level")
-        return (value if digits is None else F.round(value, digits)).alias(c)
-
-    return rebuilt.select(KEY, ON, *[out(c) for c in LEVELS])
+def _rounded(rows: DataFrame, digits: int | None) -> DataFrame:
+    levels = rows.select(KEY, ON, *_levels(rows))
+    return levels.select(KEY, ON, *[
+        (F.col(f"{c}_level") if digits is None else F.round(f"{c}_level", digits)).alias(c)
+        for c in LEVELS
+    ])
 
 
 def reconstruct(returns: DataFrame, prices: DataFrame, volumes: DataFrame,
-                span_days: int = SPAN_DAYS, digits: int | None = 6) -> DataFrame:
+                span_days: int | None = None, digits: int | None = 6) -> DataFrame:
     """Absolute levels of a return table, from the last price and last volume tables.
 
     A change of -1 has no finite inverse: the levels before it come out null.
     """
-    rows = returns.select(KEY, ON, *LEVELS).withColumn("_span", date_span(ON, span_days))
-    return _reconstruct(rows, prices, volumes, span_days, digits)
+    rows = _with_newer(with_span(returns.select(KEY, ON, *LEVELS), span_days), span_days)
+    if span_days is None:
+        return _rounded(_rebuild(rows, prices, volumes), digits)
+    return _rounded(_rebuild_spans(rows, prices, volumes, span_days), digits)
+
+
+def _changes_beside_bars(bars: DataFrame) -> DataFrame:
+    """Changes under the level names, the levels as ``<c>_bar``."""
+    rows = with_changes(bars.select(KEY, ON, *LEVELS), usable_levels())
+    return rows.select(
+        KEY, ON, *[F.col(f"{c}_chg").alias(c) for c in LEVELS],
+        *[F.col(c).alias(f"{c}_bar") for c in LEVELS],
+    )
 
 
-def price_history(bars: DataFrame, span_days: int = SPAN_DAYS,
+def price_history(bars: DataFrame, span_days: int | None = None,
                   digits: int | None = 6) -> DataFrame:
     """Changes, last levels and reconstruction of ``bars`` in one plan.
 
-    Changes and levels share one shuffle of the bars by ``(sec_id, span)``.
+    Uncut, everything happens on a single shuffle of the bars by ``sec_id``.
     """
-    return _reconstruct(returns_with_span(bars, span_days), last_price(bars),
-                        last_volume(bars), span_days, digits)
+    if span_days is not None:
+        return reconstruct(returns(bars, span_days), last_price(bars), last_volume(bars),
+                           span_days, digits)
+    kept = F.col("close").isNotNull()
+    rows = _with_bar_anchors(_changes_beside_bars(bars), kept).where(kept)
+    return _rounded(_with_newer(rows, None), digits)
 
 
-def roundtrip_diff(bars: DataFrame, span_days: int = SPAN_DAYS) -> DataFrame:
+def roundtrip_diff(bars: DataFrame) -> DataFrame:
     """Original levels and ``<c>_diff``, original minus unrounded rebuilt level.
 
     Here rows without a close change stay in, so every step is kept. The levels
     travel with their rows, which saves joining the result back to the bars.
     """
-    rows = with_changes(bars.select(KEY, ON, *LEVELS), _usable(), span_days)
-    changes = rows.select(
-        KEY, ON, "_span", *[F.col(f"{c}_chg").alias(c) for c in LEVELS],
-        *[(F.when(positive(c), F.col(c)) if c == VOLUME else F.col(c)).alias(f"{c}_bar")
-          for c in LEVELS],
+    rows = _with_newer(_with_bar_anchors(_changes_beside_bars(bars), F.lit(True)), None)
+    original = {
+        c: F.when(positive(f"{c}_bar"), F.col(f"{c}_bar")) if c == VOLUME else F.col(f"{c}_bar")
+        for c in LEVELS
+    }
+    return rows.select(
+        KEY, ON, *[v.alias(c) for c, v in original.items()], *_levels(rows)
+    ).select(
+        KEY, ON, *LEVELS, *[(F.col(c) - F.col(f"{c}_level")).alias(f"{c}_diff") for c in LEVELS]
     )
-    rebuilt = levels_from(changes, last_price(bars), last_volume(bars), span_days)
-    return rebuilt.select(
-        KEY, ON, *[F.col(f"{c}_bar").alias(c) for c in LEVELS],
-        *[(F.col(f"{c}_bar") - F.col(f"{c}_level")).alias(f"{c}_diff") for c in LEVELS],
+
+
+def _stale(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
+           last_prices: DataFrame) -> DataFrame:
+    """Securities whose last price is older than their last return: its date, ``_from``,
+    and its levels, ``_stored_<c>``. One row per security, so worth computing once."""
+    last_return = returns.groupBy(KEY).agg(F.max(ON).alias("_to"))
+    last_level = prices.groupBy(KEY).agg(
+        F.max(ON).alias("_from"), *[F.max_by(c, ON).alias(f"_stored_{c}") for c in LEVELS]
+    )
+    return materialise(
+        stocks.select(KEY)
+        .join(last_prices.select(KEY), KEY, "left_semi")
+        .join(last_return, KEY)
+        .join(last_level, KEY, "left")
+        .withColumn("_from", F.coalesce("_from", F.lit(EARLIEST)))
+        .where(F.col("_from") < F.col("_to"))
+        .drop("_to")
     )
 
 
 def price_catch_up(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
                    last_prices: DataFrame, last_volumes: DataFrame,
                    compare: Sequence[str] = LEVELS, tolerance: float = 1e-6,
-                   span_days: int = SPAN_DAYS) -> DataFrame:
+                   span_days: int | None = None) -> DataFrame:
     """The price rows that are missing or no longer right.
 
     Only securities whose last price is older than their last return take part.
@@ -158,46 +215,32 @@ def price_catch_up(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
     ``compare``, within ``tolerance`` absolute plus a billionth), the
     security is rebuilt as a whole.
     """
-    stale = (
-        last_date(stocks, returns, prices, last_prices)
-        .where(F.col("last_price_date") < F.col("last_return_date"))
-        .select(KEY, F.col("last_price_date").alias("_from"))
-    )
-    recent = reconstruct(
-        returns.join(stale, KEY).where(F.col(ON) >= F.col("_from")),
-        last_prices, last_volumes, span_days,
-    ).join(stale, KEY)
-
-    def differs(c: str) -> Column:
-        stored, rebuilt = F.col(f"stored.{c}"), F.col(f"rebuilt.{c}")
-        close = F.abs(stored - rebuilt) <= tolerance + 1e-9 * F.abs(stored)
-        return ~F.coalesce(close, stored.isNull() & rebuilt.isNull())
-
-    stored = (
-        prices.join(stale, KEY).where(F.col(ON) == F.col("_from"))
-        .select(KEY, *compare, F.lit(True).alias("_found")).alias("stored")
+    stale = _stale(stocks, returns, prices, last_prices)
+    # The earliest date still open lets the scan skip files before the join sees rows.
+    since = stale.agg(F.min("_from")).scalar()
+    open_returns = (
+        returns.where(F.col(ON) >= since)
+        .join(stale.select(KEY, "_from"), KEY)
+        .where(F.col(ON) >= F.col("_from"))
     )
-    rebuilt = (
-        recent.where(F.col(ON) == F.col("_from"))
-        .select(KEY, *compare, F.lit(True).alias("_found")).alias("rebuilt")
-    )
-    any_differs = F.col("rebuilt._found").isNull()
-    for c in compare:
-        any_differs = any_differs | differs(c)
-    drifted = (
-        stored.join(rebuilt, F.col(f"stored.{KEY}") == F.col(f"rebuilt.{KEY}"), "left")
-        .where(any_differs)
-        .select(F.col(f"stored.{KEY}").alias(KEY))
-    )
-
-    appended = (
-        recent.where((F.col(ON) > F.col("_from")) | (F.col("_from") == F.lit(EARLIEST)))
-        .join(drifted, KEY, "left_anti")
-        .select(KEY, ON, *LEVELS)
+    recent = reconstruct(open_returns, last_prices, last_volumes, span_days).join(stale, KEY)
+
+    def same(c: str) -> Column:
+        stored, rebuilt = F.col(f"_stored_{c}"), F.col(c)
+        near = F.abs(stored - rebuilt) <= tolerance + 1e-9 * F.abs(stored)
+        return F.coalesce(near, stored.isNull() & rebuilt.isNull())
+
+    confirmed = F.when(F.col(ON) == F.col("_from"), reduce(and_, [same(c) for c in compare]))
+    never_stored = F.col("_from") == F.lit(EARLIEST)
+    recent = recent.withColumn(
+        "_right",
+        never_stored | F.coalesce(F.max(confirmed).over(Window.partitionBy(KEY)), F.lit(False)),
     )
+    drifted = recent.where(~F.col("_right")).select(KEY).distinct()
     whole = reconstruct(returns.join(drifted, KEY, "left_semi"), last_prices, last_volumes,
                         span_days)
-    return appended.unionByName(whole)
+    appended = recent.where(F.col("_right") & (never_stored | (F.col(ON) > F.col("_from"))))
+    return appended.select(KEY, ON, *LEVELS).unionByName(whole)
 
 
 def refresh_prices(stocks: DataFrame, returns: DataFrame, prices: DataFrame,

@@ -1,7 +1,10 @@
 """Percentage changes of daily bars, and the last known levels.
 
-Bars have one row per ``(sec_id, Date)``. Everything here is one hash shuffle by
-``(sec_id, span)`` and one sort of it, plus small per-span summaries.
+Bars have one row per ``(sec_id, Date)``, which the plans check. A series can thus
+hold at most one row per day, 73,000 in 200 years, and one task can order any of
+them, however the rows spread over securities. So changes are one shuffle by
+``sec_id`` and one sort. ``span_days`` cuts the series further, at the price of a
+second pass: no task then orders more than that many rows of a security.
 """
 
 from __future__ import annotations
@@ -12,11 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barfold.functions.series import nonzero, pct_step, positive
-from barfold.functions.spans import SPAN_DAYS, date_span
+from barfold.functions.spans import date_span
 from barfold.schema import KEY, LEVELS, ON, PRICES, VOLUME
 
 
-def _usable() -> dict[str, Column]:
+def usable_levels() -> dict[str, Column]:
     """Per level column, the value a change is measured on.
 
     Volume changes run over the days that traded, so a day without volume is
@@ -25,71 +28,77 @@ def _usable() -> dict[str, Column]:
     return {c: F.when(positive(c), F.col(c)) if c == VOLUME else nonzero(c) for c in LEVELS}
 
 
+def series_key(span_days: int | None) -> list[str]:
+    """The columns that make up one ordered run of rows."""
+    return [KEY] if span_days is None else [KEY, "_span"]
+
+
+def with_span(rows: DataFrame, span_days: int | None) -> DataFrame:
+    return rows if span_days is None else rows.withColumn("_span", date_span(ON, span_days))
+
+
 def with_changes(bars: DataFrame, values: Mapping[str, Column],
-                 span_days: int = SPAN_DAYS) -> DataFrame:
-    """``bars`` plus ``_span`` and a ``<c>_chg`` column for every entry of ``values``.
+                 span_days: int | None = None) -> DataFrame:
+    """``bars`` plus a ``<c>_chg`` column for every entry of ``values``, and ``_span`` if cut.
 
-    The base of a change is the last non-null value of the series before the row:
-    from the row's own span if there is one, else carried in from earlier spans.
+    The base of a change is the last non-null value of the series before the row.
     """
+    run = series_key(span_days)
     used = {c: f"_{c}" for c in values}
-    keyed = bars.withColumns(
-        {"_span": date_span(ON, span_days)} | {used[c]: v for c, v in values.items()}
-    )
+    keyed = with_span(bars.withColumns({used[c]: v for c, v in values.items()}), span_days)
 
-    # Last usable value per span, then the one each span starts from.
-    earlier = Window.partitionBy(KEY).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
-    opening = (
-        keyed.groupBy(KEY, "_span")
-        .agg(*[F.max_by(u, F.when(F.col(u).isNotNull(), F.col(ON))).alias(u)
-               for u in used.values()])
-        .select(KEY, "_span", *[F.last(u, ignorenulls=True).over(earlier).alias(f"{u}_from")
-                                for u in used.values()])
-    )
-
-    ordered = Window.partitionBy(KEY, "_span").orderBy(ON)
+    ordered = Window.partitionBy(*run).orderBy(ON)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     rows = keyed.withColumns(
         {f"{u}_base": F.last(u, ignorenulls=True).over(before) for u in used.values()}
         | {"_twice": F.lag(ON).over(ordered) == F.col(ON)}
-    ).join(opening, [KEY, "_span"], "left")
-
-    changed = {
-        f"{c}_chg": pct_step(F.col(u), F.coalesce(f"{u}_base", f"{u}_from"))
-        for c, u in used.items()
-    }
-    unique = F.when(F.col("_twice"), F.raise_error(F.lit("more than one bar for a sec_id and Date")))
-    return rows.withColumns(changed | {ON: unique.otherwise(F.col(ON))}).select(
-        *bars.columns, "_span", *changed
+    )
+    if span_days is not None:
+        rows = _with_carried_base(rows, keyed, list(used.values()))
+
+    changes = {f"{c}_chg": pct_step(F.col(u), F.col(f"{u}_base")) for c, u in used.items()}
+    repeated = F.raise_error(F.lit("more than one bar for a sec_id and Date"))
+    unique = F.when(F.col("_twice"), repeated).otherwise(F.col(ON))
+    return rows.withColumns(changes | {ON: unique}).select(
+        *bars.columns, *[c for c in run if c not in bars.columns], *changes
     )
 
 
-def price_returns(bars: DataFrame, span_days: int = SPAN_DAYS) -> DataFrame:
+def _with_carried_base(rows: DataFrame, keyed: DataFrame, used: list[str]) -> DataFrame:
+    """Fill bases that lie in an earlier span: last usable value per span, carried on."""
+    closing = keyed.groupBy(KEY, "_span").agg(
+        *[F.max_by(u, F.when(F.col(u).isNotNull(), F.col(ON))).alias(u) for u in used]
+    )
+    earlier = Window.partitionBy(KEY).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    opening = closing.select(
+        KEY, "_span", *[F.last(u, ignorenulls=True).over(earlier).alias(f"{u}_from") for u in used]
+    )
+    return rows.join(opening, [KEY, "_span"], "left").withColumns(
+        {f"{u}_base": F.coalesce(f"{u}_base", f"{u}_from") for u in used}
+    )
+
+
+def price_returns(bars: DataFrame, span_days: int | None = None) -> DataFrame:
     """Price levels with their changes, for every bar."""
-    usable = _usable()
-    rows = with_changes(bars.select(KEY, ON, *PRICES), {c: usable[c] for c in PRICES}, span_days)
-    return rows.drop("_span")
+    usable = usable_levels()
+    values = {c: usable[c] for c in PRICES}
+    return with_changes(bars.select(KEY, ON, *PRICES), values, span_days).drop("_span")
 
 
-def volume_returns(bars: DataFrame, span_days: int = SPAN_DAYS) -> DataFrame:
+def volume_returns(bars: DataFrame, span_days: int | None = None) -> DataFrame:
     """Volume with its change, for the bars that traded."""
     traded = bars.select(KEY, ON, VOLUME).where(positive(VOLUME))
     return with_changes(traded, {VOLUME: nonzero(VOLUME)}, span_days).drop("_span")
 
 
-def returns_with_span(bars: DataFrame, span_days: int = SPAN_DAYS) -> DataFrame:
-    """:func:`returns`, still carrying ``_span`` and partitioned by ``(sec_id, _span)``."""
-    rows = with_changes(bars.select(KEY, ON, *LEVELS), _usable(), span_days)
+def returns(bars: DataFrame, span_days: int | None = None) -> DataFrame:
+    """The return table: changes of all columns, for bars whose close has a change."""
+    rows = with_changes(bars.select(KEY, ON, *LEVELS), usable_levels(), span_days)
     return rows.where(F.col("close_chg").isNotNull()).select(
-        KEY, ON, "_span", *[F.col(f"{c}_chg").alias(c) for c in LEVELS]
+        KEY, ON, *[F.col(f"{c}_chg").alias(c) for c in LEVELS]
     )
 
 
-def returns(bars: DataFrame, span_days: int = SPAN_DAYS) -> DataFrame:
-    """The return table: changes of all columns, for bars whose close has a change."""
-    return returns_with_span(bars, span_days).drop("_span")
-
-
 def _last_row(bars: DataFrame, traded_on: str, columns: tuple[str, ...]) -> DataFrame:
     return (
         bars.where(positive(traded_on))

@@ -37,19 +37,20 @@ def update_all(store: Store, securities: DataFrame, bars: DataFrame,
 
     stocks = store.read("stocks")
     resume = max_date(stocks, store.read("stock_return"), before=start)
-    fresh = normalise_bars(select_bars(bars, resume, end), stocks)
-    store.upsert({
-        "last_price": last_price(fresh),
-        "last_volume": last_volume(fresh),
-        "stock_return": returns(fresh),
-    })
-
-    changes = store.read("stock_return")
-    prices, volumes = store.read("last_price"), store.read("last_volume")
-    if rebuild == "catch_up":
-        rows = price_catch_up(stocks, changes, store.read("stock_price"), prices, volumes)
-    else:
-        if rebuild == "touched":
-            changes = changes.join(fresh.select(KEY).distinct(), KEY, "left_semi")
-        rows = reconstruct(changes, prices, volumes)
-    store.upsert({"stock_price": rows})
+    fetched = normalise_bars(select_bars(bars, resume, end), stocks)
+    with store.staged(fetched) as fresh:
+        store.upsert({
+            "last_price": last_price(fresh),
+            "last_volume": last_volume(fresh),
+            "stock_return": returns(fresh),
+        })
+        changes = store.read("stock_return")
+        prices, volumes = store.read("last_price"), store.read("last_volume")
+        if rebuild == "catch_up":
+            stored = store.read("stock_price")
+            rows = price_catch_up(stocks, changes, stored, prices, volumes)
+        else:
+            if rebuild == "touched":
+                changes = changes.join(fresh.select(KEY).distinct(), KEY, "left_semi")
+            rows = reconstruct(changes, prices, volumes)
+        store.upsert({"stock_price": rows})

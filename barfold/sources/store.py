@@ -15,7 +15,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -175,19 +176,24 @@ class Store:
         """
         base = self.version()
         manifest = self._manifest(base)
-        staging = f"{self.root}/staging/{uuid.uuid4().hex}"
-        try:
-            for name, source in sources.items():
-                entry = self._entry(name, base)
-                spec = self._spec(name, entry)
-                conform(source, spec).write.parquet(f"{staging}/{name}")
-                staged = self.spark.read.schema(spec.schema).parquet(f"{staging}/{name}")
-                delete_by = list((by or {}).get(name, spec.primary_key))
+        for name, source in sources.items():
+            entry = self._entry(name, base)
+            spec = self._spec(name, entry)
+            delete_by = list((by or {}).get(name, spec.primary_key))
+            with self.staged(conform(source, spec)) as staged:
                 manifest[name] = self._merged(entry, spec, staged, delete_by)
-        finally:
-            self._fs.delete(self._path(staging), True)
         self._switch(base, manifest)
 
+    @contextmanager
+    def staged(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """``rows`` written next to the tables, for as long as the block runs."""
+        path = f"{self.root}/staging/{uuid.uuid4().hex}"
+        try:
+            rows.write.parquet(path)
+            yield self.spark.read.schema(rows.schema).parquet(path)
+        finally:
+            self._fs.delete(self._path(path), True)
+
     def _merged(self, entry: dict, spec: TableSpec, source: DataFrame, delete_by: list[str]) -> dict:
         keys = list(spec.primary_key)
         touched = list(entry["parts"])

@@ -163,9 +163,6 @@ def _changes(columns: Iterable[str]) -> str:
 
 _FIELDS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_date"
 _SERIES = "sec_id, \"Date\", " + ", ".join(f'"{c}"' for c in LEVELS)
-_LINES = f"OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice"
-_LINES_BEFORE = f"{_LINES} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-
 
 def _insert_absent(kept: str, source: str) -> str:
     return f"""SELECT {_FIELDS} FROM {kept} UNION ALL
@@ -199,16 +196,15 @@ _UNCHANGED = """SELECT {columns} FROM {table} a WHERE NOT EXISTS (
 
 ORACLE: dict[str, str] = {
     "bars": _with(["bars"], "SELECT * FROM bars"),
-    "pct_change": f"""
-SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice,
-  (p - p0) / abs(p0) AS price_chg, (q - q0) / abs(q0) AS quantity_chg
-FROM (SELECT *, last_value(p IGNORE NULLS) {_LINES_BEFORE} AS p0,
-    last_value(q IGNORE NULLS) {_LINES_BEFORE} AS q0
-  FROM (SELECT *, nullif(l_extendedprice, 0) AS p, nullif(l_quantity - 25, 0) AS q FROM lineitem))""",
-    "cumulative_change": f"""
-SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, round(y, 9) AS lagged,
-  CASE WHEN l_discount <> 0 THEN round(y, 9) END AS lagged_na
-FROM (SELECT *, coalesce(product(1 / (1 + l_discount)) {_LINES_BEFORE}, 1) AS y FROM lineitem)""",
+    "pct_change": _with(["bars"], """
+SELECT sec_id, "Date", (p - p0) / abs(p0) AS high_chg, (q - q0) / abs(q0) AS volume_chg
+FROM (SELECT *, last_value(p IGNORE NULLS) OVER before AS p0, last_value(q IGNORE NULLS) OVER before AS q0
+  FROM (SELECT sec_id, "Date", nullif(high, 0) AS p, nullif(volume - 25, 0) AS q FROM bars)
+  WINDOW before AS (PARTITION BY sec_id ORDER BY "Date" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""),
+    "cumulative_change": _with(["ret"], """
+SELECT sec_id, "Date", round(y, 6) AS lagged, CASE WHEN volume IS NOT NULL THEN round(y, 6) END AS lagged_na
+FROM (SELECT *, coalesce(product(1 / (1 + coalesce(volume, 0))) OVER (PARTITION BY sec_id
+    ORDER BY "Date" DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS y FROM ret)"""),
     "price_returns": _with(["bars", "price_chg"], f"""
 SELECT b.sec_id, b."Date", {', '.join(f'b."{c}"' for c in PRICES)}, {_changes(PRICES)}
 FROM bars b JOIN price_chg c ON c.sec_id = b.sec_id AND c."Date" = b."Date\""""),
@@ -219,6 +215,8 @@ SELECT sec_id, "Date", level AS volume, volume AS volume_chg FROM volume_chg""")
     "last_volume": _with(["last_v"], "SELECT * FROM last_v"),
     "reconstruct": _with(["history"], f"SELECT {_SERIES} FROM history"),
     "price_history": _with(["history"], f"SELECT {_SERIES} FROM history"),
+    "return_table_in_spans": _with(["ret"], f"SELECT {_SERIES} FROM ret"),
+    "price_history_in_spans": _with(["history"], f"SELECT {_SERIES} FROM history"),
     "update_all_prices": _with(["history"], f"SELECT {_SERIES} FROM history"),
     "roundtrip_diff": _with(["unrounded", "bars"], f"""
 SELECT sec_id, "Date", {', '.join(f'"{c}"' for c in LEVELS)},

@@ -54,24 +54,21 @@ def bars(t):
 
 @query
 def pct_change(t):
-    """The change expression by itself, on line prices in order key order."""
-    window = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice")
-    return t("lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
-        pct_chg("l_extendedprice", window).alias("price_chg"),
-        pct_chg(F.col("l_quantity") - 25, window).alias("quantity_chg"),
+    """The change expression by itself, on a column that is zero and negative at times."""
+    ordered = Window.partitionBy(KEY).orderBy(ON)
+    return make.bars(t).select(
+        KEY, ON, pct_chg("high", ordered).alias("high_chg"),
+        pct_chg(F.col("volume") - 25, ordered).alias("volume_chg"),
     )
 
 
 @query
 def cumulative_change(t):
-    """The two product expressions by themselves, on discounts of an order's lines."""
-    window = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice")
-    change = F.when(F.col("l_discount") != 0, F.col("l_discount"))
-    return t("lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice",
-        F.round(lag_cum_chg(change, window), 9).alias("lagged"),
-        F.round(lag_cum_chg_na(change, window), 9).alias("lagged_na"),
+    """The two product expressions by themselves."""
+    ordered = Window.partitionBy(KEY).orderBy(F.desc(ON))
+    return _returns(t).select(
+        KEY, ON, F.round(lag_cum_chg("volume", ordered), 6).alias("lagged"),
+        F.round(lag_cum_chg_na("volume", ordered), 6).alias("lagged_na"),
     )
 
 
@@ -111,6 +108,16 @@ def price_history(t):
     return _history(t)
 
 
+@query
+def return_table_in_spans(t):
+    return op.returns(make.bars(t), span_days=365)
+
+
+@query
+def price_history_in_spans(t):
+    return op.price_history(make.bars(t), span_days=365)
+
+
 @query
 def roundtrip_diff(t):
     diffs = op.roundtrip_diff(make.bars(t))
@@ -122,10 +129,12 @@ def roundtrip_diff(t):
 
 @query
 def refresh_prices(t):
-    history = _history(t)
+    """A price table that fell behind, caught up from the stored return and last tables."""
     b = make.bars(t)
-    return op.refresh_prices(make.stocks(t), op.returns(b), make.stored_prices(t, history),
-                             op.last_price(b), op.last_volume(b))
+    changes, prices = src.materialise(op.returns(b)), op.last_price(b)
+    volumes = op.last_volume(b)
+    stored = src.materialise(make.stored_prices(t, op.reconstruct(changes, prices, volumes)))
+    return op.refresh_prices(make.stocks(t), changes, stored, prices, volumes)
 
 
 # Sources

@@ -27,8 +27,8 @@ def bars(t: Inputs) -> DataFrame:
     A day whose lowest line number is 7 is a halt, with 0 in every column (a null
     adjusted close). Lines with return flag R carry no volume.
     """
-    order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
     price = F.col("l_extendedprice")
+    line = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount")
     halted = F.col("first_line") == 7
 
     def unless_halted(value: Column | str) -> Column:
@@ -39,21 +39,21 @@ def bars(t: Inputs) -> DataFrame:
         .groupBy(F.col("l_suppkey").alias("sec_id"), F.to_date("l_shipdate").alias("Date"))
         .agg(
             F.min("l_linenumber").alias("first_line"),
-            F.min_by(price, order).alias("first_price"),
+            F.min(line).alias("first"),
+            F.max(line).alias("last"),
             F.max(price).alias("top"),
             F.min(price).alias("bottom"),
-            F.max_by(price, order).alias("last_price"),
-            F.max_by(price * (1 - F.col("l_discount")), order).alias("adjusted"),
             F.sum(F.when(F.col("l_returnflag") == "R", 0.0).otherwise(F.col("l_quantity")))
             .alias("traded"),
         )
         .select(
             "sec_id", "Date",
-            unless_halted("first_price").alias("open"),
+            unless_halted("first.l_extendedprice").alias("open"),
             unless_halted("top").alias("high"),
             unless_halted("bottom").alias("low"),
-            unless_halted("last_price").alias("close"),
-            F.when(~halted, F.col("adjusted")).alias("adj_close"),
+            unless_halted("last.l_extendedprice").alias("close"),
+            F.when(~halted, F.col("last.l_extendedprice") * (1 - F.col("last.l_discount")))
+            .alias("adj_close"),
             unless_halted("traded").alias("volume"),
         )
     )
