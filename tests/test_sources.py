@@ -1,0 +1,108 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from barfold import sources as src
+from barfold.schema import BAR_SCHEMA, LAST_VOLUME, STOCK_RETURN, STOCKS, Registry, enum_spec
+from tests.conftest import rows_of
+
+D = [date(2020, 1, d) for d in range(1, 6)]
+
+
+def write_text(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_bars_from_csv_with_their_own_start_dates(spark, tmp_path):
+    path = write_text(tmp_path / "bars.csv", """symbol,date,open,high,low,close,volume,adjusted
+A,2020-01-01,1,2,1,2,100,2
+A,2020-01-02,NaN,Infinity,1,2,,2
+B,2020-01-01,5,5,5,5,5,5
+B,2020-01-03,6,6,6,6,6,6
+C,2020-01-03,7,7,7,7,7,7
+""")
+    resume = spark.createDataFrame([("A", D[0]), ("B", D[1])], "id_yahoo string, Date date")
+    bars = src.read_bars(spark, [path], "csv", resume, end=D[2])
+    assert rows_of(bars, "symbol", "date", "open", "high", "volume") == [
+        ("A", D[0], 1.0, 2.0, 100.0), ("A", D[1], None, None, None), ("B", D[2], 6.0, 6.0, 6.0)
+    ]
+    assert src.read_bars(spark, [path], "csv", end=D[0]).count() == 2
+    assert src.read_bars(spark, [path], "csv").schema.fieldNames() == BAR_SCHEMA.fieldNames()
+
+
+def test_bars_from_parquet_lacking_a_column(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    full = spark.createDataFrame([("A", D[0], *[1.0] * 6)], BAR_SCHEMA)
+    full.write.parquet(path)
+    full.drop("adjusted").write.mode("append").parquet(path)
+    assert rows_of(src.read_bars(spark, [path]), "adjusted") == [(None,), (1.0,)]
+
+
+def test_stack_matches_columns_by_name(spark):
+    a = spark.createDataFrame([(1, "x")], "i int, a string")
+    b = spark.createDataFrame([("y", 2)], "b string, i int")
+    assert rows_of(src.stack([a, b]), "i", "a", "b") == [(1, "x", None), (2, None, "y")]
+
+
+def test_normalised_bars(spark):
+    bars = spark.createDataFrame(
+        [("A", D[0], 1.0, 2.0, 3.0, 4.0, None, 5.0), ("A", D[1], 1.0, 2.0, 3.0, 4.0, float("nan"), 5.0),
+         ("Z", D[0], *[1.0] * 6), (None, D[0], *[1.0] * 6)], BAR_SCHEMA)
+    master = spark.createDataFrame([(7, "A"), (8, None)], "sec_id long, id_yahoo string")
+    out = src.normalise_bars(bars, master)
+    assert out.columns == ["sec_id", "Date", "open", "high", "low", "close", "volume", "adj_close"]
+    assert rows_of(out) == [(7, D[0], 1.0, 2.0, 3.0, 4.0, 0.0, 5.0), (7, D[1], 1.0, 2.0, 3.0, 4.0, 0.0, 5.0)]
+
+
+def test_the_first_sheet_and_row_win(spark, tmp_path):
+    header = "row_ord,sec_id,name,ccy,exch_yahoo,id_yahoo\n"
+    stock = write_text(tmp_path / "stock.csv", header + "2,1,second,HKD,HK,1.HK\n1,1,,HKD,HK,1.HK\n")
+    etf = write_text(tmp_path / "etf.csv", header + "1,1,other,HKD,HK,9.HK\n2,2,etf,HKD,HK,2.HK\n")
+    out = src.read_securities(spark, [stock, etf])
+    assert out.columns == STOCKS.fields
+    assert rows_of(out, "sec_id", "name", "id_yahoo") == [(1, None, "1.HK"), (2, "etf", "2.HK")]
+
+
+def test_conform_orders_casts_and_drops(spark):
+    frame = spark.createDataFrame([(1.5, 3, "2020-01-01", "x")],
+                                  "volume double, sec_id int, Date string, more string")
+    out = src.stage(frame, LAST_VOLUME)
+    assert out.columns == ["sec_id", "Date", "volume"]
+    assert out.first() == (3, D[0], 1.5)
+    with pytest.raises(ValueError, match=r"lacks the fields \['volume'\]"):
+        src.conform(frame.drop("volume"), LAST_VOLUME)
+
+
+def test_iso_text(spark):
+    at = datetime(2019, 7, 31, 11, 30, 31, 250000)
+    frame = spark.createDataFrame([(D[0], at, 1)], "d date, t timestamp_ntz, n int")
+    frame = frame.withColumn("z", F.col("t").cast("timestamp"))
+    assert src.iso_text(frame).first() == ("2020-01-01", "2019-07-31 11:30:31", 1, "2019-07-31 11:30:31")
+    assert src.iso_text(frame, 3).first()["t"] == "2019-07-31 11:30:31.250"
+    assert src.iso_text(frame.select("n")).first() == (1,)
+
+
+def test_key_values_skip_unknown_columns(spark):
+    frame = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    found = src.key_values(frame, ["k", "nope"])
+    assert list(found) == ["k"] and rows_of(found["k"]) == [(1,)]
+
+
+def test_registry():
+    registry = Registry()
+    assert registry.keys("stock_return") == ["sec_id", "Date"]
+    assert registry.fields("last_volume") == ["sec_id", "Date", "volume"]
+    assert registry.nullable_fields("last_volume") == ["volume"]
+    assert STOCK_RETURN.schema["volume"].dataType == T.DoubleType()
+    registry.register(enum_spec("sector"))
+    registry.register(enum_spec("grade", T.IntegerType()))
+    assert registry.dictionaries() == ["enum_grade", "enum_sector"]
+    with pytest.raises(KeyError):
+        registry["nope"]
+
+
+def test_checkpoint_folder_is_the_one_the_session_names(spark):
+    assert spark.conf.get("spark.checkpoint.dir") in src.checkpoint_dir(spark)
