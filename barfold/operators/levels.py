@@ -186,12 +186,12 @@ def roundtrip_diff(bars: DataFrame) -> DataFrame:
 
 def _stale(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
            last_prices: DataFrame) -> DataFrame:
-    """Securities whose last price is older than their last return: its date, ``_from``,
-    and its levels, ``_stored_<c>``. One row per security, so worth computing once."""
+    """Securities whose last price is older than their last return, and its date, ``_from``.
+
+    One row per security, from two columns of each table; worth computing once.
+    """
     last_return = returns.groupBy(KEY).agg(F.max(ON).alias("_to"))
-    last_level = prices.groupBy(KEY).agg(
-        F.max(ON).alias("_from"), *[F.max_by(c, ON).alias(f"_stored_{c}") for c in LEVELS]
-    )
+    last_level = prices.groupBy(KEY).agg(F.max(ON).alias("_from"))
     return materialise(
         stocks.select(KEY)
         .join(last_prices.select(KEY), KEY, "left_semi")
@@ -216,14 +216,25 @@ def price_catch_up(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
     security is rebuilt as a whole.
     """
     stale = _stale(stocks, returns, prices, last_prices)
-    # The earliest date still open lets the scan skip files before the join sees rows.
+    # The earliest date in question lets the scans skip files before any join.
+    never_stored = F.col("_from") == F.lit(EARLIEST)
     since = stale.agg(F.min("_from")).scalar()
+    since_stored = stale.where(~never_stored).agg(F.min("_from")).scalar()
+    stored = (
+        prices.where(F.col(ON) >= since_stored)
+        .join(stale.withColumnRenamed("_from", ON), [KEY, ON])
+        .select(KEY, *[F.col(c).alias(f"_stored_{c}") for c in LEVELS])
+    )
     open_returns = (
         returns.where(F.col(ON) >= since)
-        .join(stale.select(KEY, "_from"), KEY)
+        .join(stale, KEY)
         .where(F.col(ON) >= F.col("_from"))
     )
-    recent = reconstruct(open_returns, last_prices, last_volumes, span_days).join(stale, KEY)
+    recent = (
+        reconstruct(open_returns, last_prices, last_volumes, span_days)
+        .join(stale, KEY)
+        .join(stored, KEY, "left")
+    )
 
     def same(c: str) -> Column:
         stored, rebuilt = F.col(f"_stored_{c}"), F.col(c)
@@ -231,7 +242,6 @@ def price_catch_up(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
         return F.coalesce(near, stored.isNull() & rebuilt.isNull())
 
     confirmed = F.when(F.col(ON) == F.col("_from"), reduce(and_, [same(c) for c in compare]))
-    never_stored = F.col("_from") == F.lit(EARLIEST)
     recent = recent.withColumn(
         "_right",
         never_stored | F.coalesce(F.max(confirmed).over(Window.partitionBy(KEY)), F.lit(False)),

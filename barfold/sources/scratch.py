@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +28,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(frame: DataFrame) -> DataFrame:
-    """``frame``, computed once and written to the checkpoint folder."""
-    checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    """``frame``, computed once and read back from a table in the checkpoint folder.
+
+    Columns stay columns there, so later reads take only the ones they use, and Spark
+    knows the size.
+    """
+    path = f"{checkpoint_dir(frame.sparkSession)}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

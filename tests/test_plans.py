@@ -1,0 +1,111 @@
+"""The shape of the physical plans, on stored tables."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from barfold import operators as op
+from tests.conftest import SMALL
+from workload import standins as make
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("stored")
+    bars = make.bars(make.tables(spark, SMALL))
+    bars.write.parquet(f"{folder}/bars")
+    bars = spark.read.parquet(f"{folder}/bars")
+    for name, rows in {"returns": op.returns(bars), "last_price": op.last_price(bars),
+                       "last_volume": op.last_volume(bars), "prices": op.price_history(bars)}.items():
+        rows.write.parquet(f"{folder}/{name}")
+    return lambda name: spark.read.parquet(f"{folder}/{name}")
+
+
+@pytest.fixture
+def large_tables(spark):
+    """Plan as for tables too large to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def count(text, node):
+    return len(re.findall(rf"(?:^|[-+: ]){node}\b", text, flags=re.MULTILINE))
+
+
+def shape(frame):
+    text = plan(frame)
+    assert "Python" not in text and "Pandas" not in text
+    assert "CartesianProduct" not in text
+    return tuple(count(text, n) for n in ("Exchange", "Sort", "Window"))
+
+
+def test_returns_are_one_shuffle_and_one_sort(stored):
+    assert shape(op.returns(stored("bars"))) == (1, 1, 1)
+
+
+def test_history_is_one_shuffle(stored):
+    assert shape(op.price_history(stored("bars"))) == (1, 2, 3)
+
+
+def test_reconstruct_shuffles_the_returns_once(stored, large_tables):
+    frame = op.reconstruct(stored("returns"), stored("last_price"), stored("last_volume"))
+    text = plan(frame)
+    # The returns, and the two tables of one row per security.
+    assert count(text, "Exchange") == 3
+    assert count(text, "Window") == 2
+
+
+def test_last_rows_combine_before_the_shuffle(stored):
+    text = plan(op.last_price(stored("bars")))
+    assert count(text, "Exchange") == 1 and count(text, "HashAggregate") == 2
+    assert "SortAggregate" not in text
+
+
+def test_range_filter_reaches_the_scan(stored):
+    text = plan(op.get_return(stored("returns"), make_date(1996), make_date(1997)))
+    assert "GreaterThanOrEqual(Date,1996-01-01)" in text and "LessThanOrEqual(Date,1997-01-01)" in text
+    assert count(text, "Exchange") == 0
+
+
+def test_resume_lookup_reads_three_columns(stored):
+    stocks = stored("bars").select("sec_id", F.lit("x").alias("id_yahoo"))
+    text = plan(op.max_date(stocks, stored("returns"), before=make_date(1997)))
+    assert "LessThan(Date,1997-01-01)" in text
+    assert "ReadSchema: struct<sec_id:bigint,Date:date,volume:double>" in text
+
+
+def test_a_small_source_leaves_the_target_in_place(stored):
+    changes = stored("prices").where("sec_id = 3").withColumn("close", F.lit(1.0))
+    target = stored("prices")
+    text = plan(op.upsert(target, changes, ["sec_id", "Date"]))
+    target_side = text.split("Union")[1].split("BroadcastExchange")[0]
+    assert "FileScan" in target_side and count(target_side, "Exchange") == 0
+
+
+def test_a_large_upsert_shuffles_each_side_by_key(stored, large_tables):
+    text = plan(op.upsert(stored("prices"), stored("prices"), ["sec_id", "Date"]))
+    keyed = re.findall(r"Exchange hashpartitioning\(sec_id#\d+L, Date#\d+", text)
+    assert len(keyed) == count(text, "Exchange") == 3
+
+
+def test_range_parameters_are_an_equi_join(stored, large_tables, spark):
+    asked = make.date_ranges(make.tables(spark, SMALL))
+    text = plan(op.param_query(stored("bars"), asked, between={"Date": ("lo", "hi")}))
+    assert "SortMergeJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_unchanged_rows_of_short_keys_are_one_window(stored, spark):
+    events = spark.read.parquet(f"{SMALL}/events.parquet").select("user_id", "event_id", "event_type")
+    assert shape(op.drop_unchanged(events, "event_id", ["user_id"]))[::2] == (1, 1)
+
+
+def make_date(year):
+    from datetime import date
+
+    return date(year, 1, 1)

@@ -131,8 +131,9 @@ def roundtrip_diff(t):
 def refresh_prices(t):
     """A price table that fell behind, caught up from the stored return and last tables."""
     b = make.bars(t)
-    changes, prices = src.materialise(op.returns(b)), op.last_price(b)
-    volumes = op.last_volume(b)
+    changes, prices, volumes = (
+        src.materialise(table) for table in (op.returns(b), op.last_price(b), op.last_volume(b))
+    )
     stored = src.materialise(make.stored_prices(t, op.reconstruct(changes, prices, volumes)))
     return op.refresh_prices(make.stocks(t), changes, stored, prices, volumes)
 
@@ -308,7 +309,7 @@ def publish_and_compact(t):
 @query
 def update_all_prices(t):
     """Two daily updates, the second resuming where the first ended; the price table."""
-    quotes = make.quotes(t)
+    quotes = src.materialise(make.quotes(t))
     store = Store(quotes.sparkSession, _scratch(quotes.sparkSession, "market"))
     update_all(store, make.stocks(t), quotes, end=FIRST_RUN_END)
     update_all(store, make.stocks(t), quotes, start=FIRST_RUN_END)
