@@ -34,6 +34,6 @@ def position(ordinal: Column | str, data_type: T.DataType) -> Column | None:
     return None
 
 
-def span(place: Column, width: int) -> Column:
+def span(place: Column, width: Column) -> Column:
     """Number of the ``width``-wide span an integer position falls into."""
-    return F.floor(place / F.lit(width)).cast("long")
+    return F.floor(place / width).cast("long")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barfold.functions.spans import position, span
+from barfold.sources.scratch import materialise
 from barfold.sources.staging import conform
 
 # Rows of one key that one task may order; longer keys are cut into spans.
@@ -103,25 +104,43 @@ def _same(column: T.StructField) -> Column:
     return here.eqNullSafe(previous)
 
 
-def _span_width(rows: DataFrame, ordinal: str, keys: Sequence[str], limit: int) -> int | None:
-    """Width that cuts the long keys into about ``limit`` rows; None if none is long."""
-    data_type = rows.schema[ordinal].dataType
-    if position(ordinal, data_type) is None:
-        return None
-    place = position(ordinal, data_type)
+def _long_keys(rows: DataFrame, keys: Sequence[str], place: Column, limit: int) -> DataFrame:
+    """Keys with more than ``limit`` rows, with the ``_width`` of position that holds about
+    ``limit`` of them. At most one row per ``limit`` rows of the table."""
     extent = F.max(place) - F.min(place) + 1
-    widths = rows.groupBy(*keys).agg(F.count("*").alias("n"), extent.alias("extent"))
-    narrowest = (
-        widths.where(F.col("n") > limit)
-        .agg(F.min(F.floor(F.col("extent") * F.lit(float(limit)) / F.col("n"))))
-        .first()[0]
+    return materialise(
+        rows.groupBy(*keys).agg(F.count("*").alias("_n"), extent.alias("_extent"))
+        .where(F.col("_n") > limit)
+        .select(*keys, F.greatest(F.lit(1), F.floor(F.col("_extent") * F.lit(float(limit))
+                                                    / F.col("_n"))).alias("_width"))
     )
-    return None if narrowest is None else max(1, int(narrowest))
+
+
+def _in_spans(rows: DataFrame, ordinal: str, keys: Sequence[str], limit: int) -> DataFrame:
+    """``rows`` with the number of their ``_span``, null for keys of up to ``limit`` rows.
+
+    Within a key spans follow each other in the order of the ordinal. Integers, dates
+    and times are cut by arithmetic. Other types have to be range partitioned, and
+    written, so that every later step sees the same ranges.
+    """
+    place = position(ordinal, rows.schema[ordinal].dataType)
+    long_keys = _long_keys(rows, keys, F.lit(0) if place is None else place, limit)
+    if long_keys.isEmpty():
+        return rows.withColumn("_span", F.lit(None).cast("long"))
+    if place is not None:
+        wide = rows.join(long_keys, list(keys), "left")
+        return wide.withColumn("_span", span(place, F.col("_width"))).drop("_width")
+    ranged = materialise(
+        rows.join(long_keys, list(keys), "left_semi")
+        .repartitionByRange(*keys, ordinal)
+        .withColumn("_span", F.spark_partition_id().cast("long"))
+    )
+    short = rows.join(long_keys, list(keys), "left_anti")
+    return ranged.unionByName(short.withColumn("_span", F.lit(None).cast("long")))
 
 
 def drop_unchanged(table: DataFrame, ordinal: str, keys: Sequence[str],
                    check: Sequence[str] | None = None, schema: T.StructType | None = None,
-                   span_width: int | None = None,
                    rows_per_span: int = ROWS_PER_SPAN) -> DataFrame:
     """``table`` without the rows that repeat the one before them.
 
@@ -131,36 +150,30 @@ def drop_unchanged(table: DataFrame, ordinal: str, keys: Sequence[str],
     columns cannot be null. A row with a null key or ordinal has no predecessor and
     is none. The ordinal must be unique within a key.
 
-    Keys with more than ``rows_per_span`` rows are cut into spans of the ordinal, the
-    last row of each span being carried to the next; ``span_width`` sets the cut
-    and saves the count.
+    The rows per key are counted first. Keys with more than ``rows_per_span`` are cut
+    into spans of the ordinal, and the last row of each span is carried to the next,
+    so no task orders a long key alone.
     """
     fields = {f.name: f for f in (schema or table.schema).fields}
     check = list(check) if check is not None else [c for c in table.columns if c != ordinal]
     compared = [fields[c] for c in check if c not in keys]
-
-    ordered_on = [*keys, ordinal]
-    loose = [c for c in ordered_on if fields[c].nullable]
+    loose = [c for c in [*keys, ordinal] if fields[c].nullable]
     rows = table.where(has_key(loose)) if loose else table
-    if span_width is None:
-        span_width = _span_width(rows, ordinal, keys, rows_per_span)
-    place = position(ordinal, table.schema[ordinal].dataType)
-    number = span(place, span_width) if span_width and place is not None else F.lit(0)
+    run = list(keys)
+    if not run:
+        run, rows = ["_table"], rows.withColumn("_table", F.lit(0))
 
+    rows = _in_spans(rows, ordinal, run, rows_per_span)
+    cut = [*run, "_span"]
     seen = F.struct(ordinal, *[f.name for f in compared])
-    cut = [*keys, "_span"]
-    ordered = Window.partitionBy(*cut).orderBy(ordinal)
-    rows = rows.withColumn("_span", number).withColumn("_previous", F.lag(seen).over(ordered))
-    if span_width and place is not None:
-        closing = (
-            table.where(has_key(ordered_on)).withColumn("_span", number)
-            .groupBy(*cut).agg(F.max_by(seen, ordinal).alias("_closing"))
-        )
-        series = Window.partitionBy(*keys).orderBy("_span")
-        carried = closing.select(*cut, F.lag("_closing").over(series).alias("_carried"))
-        rows = rows.join(carried, cut, "left").withColumn(
-            "_previous", F.coalesce("_previous", "_carried")
-        )
+    closing = (
+        rows.where(F.col("_span").isNotNull())
+        .groupBy(*cut).agg(F.max_by(seen, ordinal).alias("_closing"))
+    )
+    series = Window.partitionBy(*run).orderBy("_span")
+    carried = closing.select(*cut, F.lag("_closing").over(series).alias("_carried"))
+    previous = F.coalesce(F.lag(seen).over(Window.partitionBy(*cut).orderBy(ordinal)), "_carried")
+    rows = rows.join(carried, cut, "left").withColumn("_previous", previous)
 
     tie = F.raise_error(F.lit(f"{ordinal} is not unique within {', '.join(keys) or 'the table'}"))
     repeats = (

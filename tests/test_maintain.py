@@ -94,9 +94,9 @@ HAND = [
 ]
 
 
-@pytest.mark.parametrize("width", [None, 1, 2, 3, 100])
-def test_drop_unchanged_hand_table(spark, width):
-    out = op.drop_unchanged(table(spark, HAND), "d", ["k"], span_width=width)
+@pytest.mark.parametrize("limit", [1, 2, 3, 100])
+def test_drop_unchanged_hand_table(spark, limit):
+    out = op.drop_unchanged(table(spark, HAND), "d", ["k"], rows_per_span=limit)
     assert rows_of(out, "k", "d") == [(1, 1), (1, 3), (1, 5), (1, 7), (1, 8), (2, 4)]
 
 
@@ -123,6 +123,11 @@ def test_required_columns_need_no_null_rule(spark):
     assert rows_of(op.drop_unchanged(df, "d", ["k"]), "d") == [(1,), (3,)]
 
 
+def test_a_table_without_other_keys_is_one_run(spark):
+    out = op.drop_unchanged(table(spark, HAND).where("k = 1").drop("k"), "d", [])
+    assert rows_of(out, "d") == [(1,), (3,), (5,), (7,), (8,)]
+
+
 def test_tied_ordinals_raise(spark):
     with pytest.raises(Exception, match="not unique"):
         op.drop_unchanged(table(spark, [(1, 1, "a", 1.0), (1, 1, "b", 1.0)]), "d", ["k"]).collect()

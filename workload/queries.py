@@ -36,10 +36,6 @@ def _returns(t: make.Inputs) -> DataFrame:
     return op.returns(make.bars(t))
 
 
-def _history(t: make.Inputs) -> DataFrame:
-    return op.price_history(make.bars(t))
-
-
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{src.checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -105,7 +101,7 @@ def reconstruct(t):
 
 @query
 def price_history(t):
-    return _history(t)
+    return op.price_history(make.bars(t))
 
 
 @query
@@ -213,8 +209,8 @@ def max_date_notnull(t):
 
 @query
 def last_date(t):
-    b = make.bars(t)
-    return op.last_date(make.stocks(t), op.returns(b), make.stored_prices(t, _history(t)),
+    b = src.materialise(make.bars(t))
+    return op.last_date(make.stocks(t), op.returns(b), make.stored_prices(t, op.price_history(b)),
                         op.last_price(b), with_symbol=True)
 
 
