@@ -1,13 +1,8 @@
 """DataFrame operators."""
 
+from barfold.operators.catch_up import price_catch_up, price_changes, refresh_prices
 from barfold.operators.dictionary import encode_enums, enums_of, extend_enum, extend_enums
-from barfold.operators.levels import (
-    price_catch_up,
-    price_history,
-    reconstruct,
-    refresh_prices,
-    roundtrip_diff,
-)
+from barfold.operators.levels import price_history, reconstruct, roundtrip_diff
 from barfold.operators.lookups import get_return, last_date, max_date, param_query
 from barfold.operators.maintain import (
     delete_matching,
@@ -39,6 +34,7 @@ __all__ = [
     "max_date",
     "param_query",
     "price_catch_up",
+    "price_changes",
     "price_history",
     "price_returns",
     "reconstruct",

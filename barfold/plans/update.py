@@ -6,51 +6,47 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from barfold.operators.levels import price_catch_up, reconstruct
+from barfold.operators.catch_up import price_changes
+from barfold.operators.levels import reconstruct
 from barfold.operators.lookups import max_date
 from barfold.operators.returns import last_price, last_volume, returns
-from barfold.schema import EARLIEST, KEY, MARKET_TABLES
+from barfold.schema import EARLIEST, MARKET_TABLES
 from barfold.sources.market import normalise_bars, select_bars
 from barfold.sources.store import Store
 
-REBUILDS = ("touched", "all", "catch_up")
+REBUILDS = ("needed", "all")
 
 
 def update_all(store: Store, securities: DataFrame, bars: DataFrame,
                start: date = EARLIEST, end: date | None = None,
-               rebuild: str = "touched") -> None:
+               rebuild: str = "needed") -> None:
     """Merge a security master and new bars into the tables of ``store``.
 
     Each security's bars count from its resume date: its last date before ``start``
     with a volume change, or the beginning. Returns and last levels are merged in one
-    step, then prices in a second one. ``rebuild`` says which prices are rebuilt:
-
-    * ``'touched'``: those of the securities that got bars in this run. The others'
-      returns and last levels have not changed, so neither have their prices.
-    * ``'all'``: those of every security.
-    * ``'catch_up'``: new dates only, and whole series where a stored price has drifted.
+    step, then prices in a second one: ``'needed'`` builds the price rows that change,
+    ``'all'`` those of every security and date. Missing tables are created; create
+    them beforehand to choose another partitioning.
     """
     if rebuild not in REBUILDS:
         raise ValueError(f"rebuild must be one of {REBUILDS}, not {rebuild!r}")
     store.create(*MARKET_TABLES)
     store.upsert({"stocks": securities})
 
+    before = store.version()
     stocks = store.read("stocks")
     resume = max_date(stocks, store.read("stock_return"), before=start)
     fetched = normalise_bars(select_bars(bars, resume, end), stocks)
-    with store.staged(fetched) as fresh:
+    with store.staged(fetched) as fresh, store.staged(returns(fresh)) as changes:
         store.upsert({
             "last_price": last_price(fresh),
             "last_volume": last_volume(fresh),
-            "stock_return": returns(fresh),
+            "stock_return": changes,
         })
-        changes = store.read("stock_return")
-        prices, volumes = store.read("last_price"), store.read("last_volume")
-        if rebuild == "catch_up":
-            stored = store.read("stock_price")
-            rows = price_catch_up(stocks, changes, stored, prices, volumes)
+        tables = ("stock_return", "last_price", "last_volume")
+        current = [store.read(name) for name in tables]
+        if rebuild == "all":
+            rows = reconstruct(*current)
         else:
-            if rebuild == "touched":
-                changes = changes.join(fresh.select(KEY).distinct(), KEY, "left_semi")
-            rows = reconstruct(changes, prices, volumes)
+            rows = price_changes(changes, *current, *[store.read(name, before) for name in tables])
         store.upsert({"stock_price": rows})

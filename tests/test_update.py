@@ -3,13 +3,17 @@
 from datetime import timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from barfold import operators as op
 from barfold.plans import update_all
+from barfold.schema import KEY, ON, PRICES
+from barfold.sources import materialise
 from barfold.sources.store import Store
 from tests import emulation as em
-from tests.test_market import bar
+from tests.test_market import bar, price, volume
 
 BARS = {
     s: {d: bar(0, 0) if (d + s) % 6 == 0 else bar(20 + (d * 7 + s * 3) % 11, (d + s) % 4 * 10)
@@ -30,7 +34,7 @@ def master(spark, ids=(1, 2, 3, 400)):
                                  "sec_id long, name string, ccy string, exch_yahoo string, id_yahoo string")
 
 
-@pytest.mark.parametrize("rebuild", ["touched", "all", "catch_up"])
+@pytest.mark.parametrize("rebuild", ["needed", "all"])
 def test_updates_in_steps_end_where_one_update_ends(spark, tmp_path, rebuild):
     store = Store(spark, str(tmp_path / "store"))
     first, second = em.DAY0 + timedelta(days=12), em.DAY0 + timedelta(days=21)
@@ -97,3 +101,47 @@ def test_refresh_gives_the_full_table(spark, tables):
     out = op.refresh_prices(master(spark), tables["returns"], stored, tables["last_prices"],
                             tables["last_volumes"])
     em.assert_same(em.keyed(out), em.keyed(tables["history"]))
+
+
+# Securities whose bars are ordinary most days, so that many series stand.
+sound = st.builds(lambda c, v: bar(c, v), st.integers(20, 40), st.integers(0, 3))
+odd = st.fixed_dictionaries({c: price for c in PRICES} | {"volume": volume})
+negative = st.builds(lambda c, v: bar(-c, v), st.integers(1, 9), st.integers(0, 3))
+day = st.one_of(sound, sound, sound, sound, odd, st.just(bar(0, 0)), negative)
+market = st.dictionaries(st.integers(1, 6), st.lists(day, min_size=1, max_size=12), min_size=2)
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(bars=market, cut=st.integers(3, 9), overlap=st.integers(0, 3), revise=st.booleans())
+def test_changed_prices_are_those_a_full_rebuild_changes(spark, bars, cut, overlap, revise):
+    days = {s: dict(enumerate(rows)) for s, rows in bars.items()}
+    old = em.frame(spark, {s: {d: b for d, b in r.items() if d <= cut} for s, r in days.items()})
+    if revise:
+        days[1 if 1 in days else min(days)][cut - 1] = bar(33, 2)
+    new = em.frame(spark, {s: {d: b for d, b in r.items() if d >= cut - overlap} for s, r in days.items()})
+
+    def merged(build, key):
+        before, fresh = materialise(build(old)), materialise(build(new))
+        return before, fresh, materialise(op.upsert(before, fresh, key))
+
+    old_returns, fresh, returns = merged(op.returns, [KEY, ON])
+    old_prices, _, prices = merged(op.last_price, [KEY])
+    old_volumes, _, volumes = merged(op.last_volume, [KEY])
+    stored = op.reconstruct(old_returns, old_prices, old_volumes)
+    rows = op.price_changes(fresh, returns, prices, volumes, old_returns, old_prices, old_volumes)
+    whole = op.reconstruct(returns, prices, volumes)
+    em.assert_same(em.keyed(op.upsert(stored, rows, [KEY, ON])),
+                   em.keyed(op.upsert(stored, whole, [KEY, ON])))
+
+
+def test_an_ordinary_day_builds_only_its_own_rows(spark):
+    days = {s: {d: bar(20 + (d * s) % 7, 1 + d % 3) for d in range(20)} for s in (1, 2, 3)}
+    before = em.frame(spark, {s: {d: b for d, b in r.items() if d < 19} for s, r in days.items()})
+    after = em.frame(spark, {s: {d: b for d, b in r.items() if d > 15} for s, r in days.items()})
+    old = [op.returns(before), op.last_price(before), op.last_volume(before)]
+    fresh = [op.returns(after), op.last_price(after), op.last_volume(after)]
+    keys = ([KEY, ON], [KEY], [KEY])
+    new = [materialise(op.upsert(o, f, k)) for o, f, k in zip(old, fresh, keys)]
+    rows = op.price_changes(fresh[0], *new, *old)
+    assert sorted(em.keyed(rows)) == [(s, 19) for s in (1, 2, 3)]
