@@ -55,14 +55,19 @@ def _new_rows(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataF
     keyed = conform(source, target.schema).where(has_key(key))
     if not rest:
         return keyed.distinct()
-    row = F.struct(*rest)
+    # Column by column, so that Spark can hash: a struct would have to be sorted.
+    rows = keyed.groupBy(*key).agg(F.count("*").alias("_rows"), *[
+        f(c).alias(f"_{n}_{c}") for c in rest
+        for n, f in (("low", F.min), ("high", F.max), ("known", F.count))
+    ])
+    agree = _all([
+        F.col(f"_low_{c}").eqNullSafe(F.col(f"_high_{c}")) & F.col(f"_known_{c}").isin(0, F.col("_rows"))
+        for c in rest
+    ])
     clash = F.raise_error(F.concat(F.lit("different source rows share the key "),
                                    F.to_json(F.struct(*key))))
-    return (
-        keyed.groupBy(*key)
-        .agg(F.min(row).alias("_low"), F.max(row).alias("_high"))
-        .withColumn("_row", F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(clash))
-        .select(*[F.col(c) if c in key else F.col(f"_row.{c}") for c in target.columns])
+    return rows.where(F.when(agree, True).otherwise(clash)).select(
+        *[F.col(c) if c in key else F.col(f"_low_{c}").alias(c) for c in target.columns]
     )
 
 

@@ -94,6 +94,13 @@ def test_a_large_upsert_shuffles_each_side_by_key(stored, large_tables):
     assert len(keyed) == count(text, "Exchange") == 3
 
 
+def test_a_large_insert_shuffles_each_side_by_key(stored, large_tables):
+    text = plan(op.insert_absent(stored("prices"), stored("returns"), ["sec_id", "Date"]))
+    # Source rows, their keys, and the target's keys; the joins add none.
+    assert count(text, "Exchange") == 3
+    assert "SortAggregate" not in text
+
+
 def test_range_parameters_are_an_equi_join(stored, large_tables, spark):
     asked = make.date_ranges(make.tables(spark, SMALL))
     text = plan(op.param_query(stored("bars"), asked, between={"Date": ("lo", "hi")}))
