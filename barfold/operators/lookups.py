@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barfold.functions.spans import date_span
+from barfold.functions.series import not_nan
+from barfold.functions.spans import position
 from barfold.schema import EARLIEST, KEY, LATEST, ON, VOLUME
 
 
@@ -69,16 +73,17 @@ def last_date(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
 def param_query(table: DataFrame, params: DataFrame | None,
                 equal: Mapping[str, str] | None = None,
                 between: Mapping[str, tuple[str, str]] | None = None,
-                step_days: int = 31) -> DataFrame:
+                pieces: int = 1024) -> DataFrame:
     """The rows of ``table`` that match each parameter row, with all its parameters.
 
-    ``equal`` maps table columns to parameter columns, ``between`` maps date columns
+    ``equal`` maps table columns to parameter columns, ``between`` maps table columns
     to a pair of parameter columns, both bounds included. A table row comes back once
     per matching parameter row; without parameters the table is returned as it is.
 
-    Every condition set becomes an equi-join. A lone date range is cut into
-    ``step_days`` pieces, clipped to the dates the table holds; each table row
-    falls into exactly one piece, so no pair is met twice.
+    Every condition set becomes an equi-join. Where there are only ranges, the extent
+    of the first one's column is cut into ``pieces``; a parameter row stands for the
+    pieces its range meets, and each table row falls into exactly one piece, so no
+    pair is met twice. That takes a number, date or time.
     """
     if params is None:
         return table
@@ -94,20 +99,39 @@ def param_query(table: DataFrame, params: DataFrame | None,
     ranges = [F.col(c).between(F.col(lo), F.col(hi)) for c, (lo, hi) in between.items()]
     if not equal:
         column, (lo, hi) = next(iter(between.items()))
-        bounds = table.agg(F.min(column).alias("first"), F.max(column).alias("last"))
-        first = F.greatest(F.col(lo), bounds.select("first").scalar())
-        last = F.least(F.col(hi), bounds.select("last").scalar())
-        left = table.withColumn("_piece", date_span(F.col(column), step_days))
-        right = (
-            params.withColumns({"_first": first, "_last": last})
-            .where(F.col(lo).isNotNull() & F.col(hi).isNotNull() & (F.col("_first") <= F.col("_last")))
-            .withColumn("_match", F.explode(F.sequence(date_span("_first", step_days),
-                                                       date_span("_last", step_days))))
-            .drop("_first", "_last")
-        )
+        left, right = _in_pieces(table, params, column, lo, hi, pieces)
         keys = [F.col("_piece") == F.col("_match")]
-
-    condition = keys[0]
-    for c in [*keys[1:], *ranges]:
-        condition = condition & c
+    condition = reduce(and_, keys + ranges)
     return right.join(left, condition).select(*params.columns, *table.columns)
+
+
+def _in_pieces(table: DataFrame, params: DataFrame, column: str, lo: str, hi: str,
+               pieces: int) -> tuple[DataFrame, DataFrame]:
+    """``table`` with its ``_piece``, and ``params`` once per piece to ``_match``."""
+    data_type = table.schema[column].dataType
+
+    def place(value: Column) -> Column:
+        value = value.cast(data_type)
+        if isinstance(data_type, T.FractionalType):
+            return not_nan(value.cast("double"))
+        found = position(value, data_type)
+        if found is None:
+            raise TypeError(f"{column}: a range alone needs a number, date or time")
+        return found
+
+    extent = table.agg(F.min(place(F.col(column))).alias("first"),
+                       F.max(place(F.col(column))).alias("last"))
+    first, last = extent.select("first").scalar(), extent.select("last").scalar()
+    width = (last - first) / F.lit(float(pieces))
+
+    def piece(at: Column) -> Column:
+        return F.when(width > 0, F.floor((at - first) / width)).otherwise(0).cast("int")
+
+    asked = (
+        params.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
+        .withColumns({"_from": F.greatest(place(F.col(lo)), first),
+                      "_to": F.least(place(F.col(hi)), last)})
+        .where(F.col("_from") <= F.col("_to"))
+        .withColumn("_match", F.explode(F.sequence(piece(F.col("_from")), piece(F.col("_to")))))
+    )
+    return table.withColumn("_piece", piece(place(F.col(column)))), asked

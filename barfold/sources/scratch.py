@@ -9,22 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder checkpoints go to, setting it on the context if need be.
+    """The shared folder for intermediate tables.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a temporary folder.
+    It is the one the cluster names in ``spark.checkpoint.dir``, else the context's own.
+    Only a local session with neither gets a temporary folder.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if current:
-        return current
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not named:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="barfold-checkpoint-")
-    context.setCheckpointDir(named)
-    return named
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="barfold-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def materialise(frame: DataFrame) -> DataFrame:

@@ -216,3 +216,24 @@ class Store:
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         manifest[name] = entry | {"parts": self._write(spec, rows, laid_out=True)}
         self._switch(base, manifest)
+
+    def expire(self, keep: int = 1) -> None:
+        """Free the space of all but the newest ``keep`` versions.
+
+        Only directories an expired manifest names and no kept one are deleted, so a
+        change being written now is safe.
+        """
+        if keep < 1:
+            raise ValueError("the current version has to stay")
+        last = self.version()
+        kept, expired = range(max(1, last - keep + 1), last + 1), range(1, last - keep + 1)
+        expired = [v for v in expired if self._fs.exists(self._path(self._manifest_path(v)))]
+        needed = {d for v in kept for d in self._directories(v)}
+        for directory in sorted({d for v in expired for d in self._directories(v)} - needed):
+            self._fs.delete(self._path(f"{self.root}/{directory}"), True)
+        for v in expired:
+            self._fs.delete(self._path(self._manifest_path(v)), False)
+
+    def _directories(self, version: int) -> set[str]:
+        return {d for entry in self._manifest(version).values()
+                for directories in entry["parts"].values() for d in directories}

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from barfold import operators as op
 from tests.conftest import rows_of
@@ -59,16 +60,39 @@ def params(spark, rows):
     return spark.createDataFrame(rows, "no int, sid long, lo date, hi date")
 
 
-@pytest.mark.parametrize("step", [1, 3, 31])
-def test_each_range_returns_its_rows(spark, returns, step):
+@pytest.mark.parametrize("pieces", [1, 3, 1024])
+def test_each_range_returns_its_rows(spark, returns, pieces):
     asked = params(spark, [(1, 1, D[0], D[1]), (2, 1, D[1], D[8]), (3, 1, D[5], date(9999, 1, 1)),
                            (4, 1, D[3], D[2]), (5, 1, None, D[8]), (6, 1, NEVER, D[0])])
-    out = op.param_query(returns, asked, between={"Date": ("lo", "hi")}, step_days=step)
+    out = op.param_query(returns, asked, between={"Date": ("lo", "hi")}, pieces=pieces)
     brute = asked.crossJoin(returns).where("Date between lo and hi")
     assert rows_of(out) == rows_of(brute)
     assert {r["no"] for r in out.collect()} == {1, 2, 6}
 
 
+@pytest.mark.parametrize("kind", ["int", "double", "timestamp", "timestamp_ntz", "decimal(9,2)"])
+def test_ranges_of_other_types(spark, kind):
+    number = kind in ("int", "double", "decimal(9,2)")
+    value = F.expr("n * n - 40" if number else "timestamp_seconds(n * n * 5000)").cast(kind)
+    table = spark.range(60).select(F.col("id").alias("n")).withColumn("x", value)
+    bound = F.expr("a * 37 - 30" if number else "timestamp_seconds(a * 500000)").cast(kind)
+    asked = spark.range(12).select(F.col("id").alias("a")).withColumn("lo", bound)
+    asked = asked.withColumn("hi", F.expr("lo + a * 11" if number else "lo + make_dt_interval(a)").cast(kind))
+    out = op.param_query(table, asked, between={"x": ("lo", "hi")}, pieces=7)
+    brute = asked.crossJoin(table).where("x between lo and hi")
+    assert rows_of(out, "a", "n") == rows_of(brute, "a", "n")
+    assert out.count() > 20
+
+
+def test_a_range_over_text_needs_an_equality(spark):
+    table = spark.createDataFrame([("a", 1)], "x string, n int")
+    asked = spark.createDataFrame([("a", "b", 1)], "lo string, hi string, m int")
+    with pytest.raises(TypeError, match="number, date or time"):
+        op.param_query(table, asked, between={"x": ("lo", "hi")})
+    out = op.param_query(table, asked, equal={"n": "m"}, between={"x": ("lo", "hi")})
+    assert out.count() == 1
+
+
 def test_equality_and_range(spark, returns):
     asked = params(spark, [(1, 1, D[0], D[1]), (2, 2, D[0], D[8]), (2, 9, D[0], D[8])])
     out = op.param_query(returns, asked, equal={"sec_id": "sid"}, between={"Date": ("lo", "hi")})

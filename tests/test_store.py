@@ -97,6 +97,21 @@ def test_compact_keeps_the_rows(spark, store):
         store.compact("nope")
 
 
+def test_expire_frees_old_versions_only(spark, store):
+    store.publish({"t": frame(spark, [(1, "a"), (11, "b")])})
+    old = store._directories(store.version())
+    store.upsert({"t": frame(spark, [(1, "A")])})
+    store.expire(keep=2)
+    assert rows_of(store.read("t", store.version() - 1)) == [(1, "a"), (11, "b")]
+    store.expire()
+    store.expire()
+    assert rows_of(store.read("t")) == [(1, "A"), (11, "b")]
+    left = {d for d in old if os.path.exists(f"{store.root}/{d}")}
+    assert left == old & store._directories(store.version()) and len(left) == 1
+    with pytest.raises(ValueError):
+        store.expire(0)
+
+
 def test_the_slower_of_two_writers_fails(spark, store):
     base = store.version()
     store.publish({"t": frame(spark, [(1, "first")])})
