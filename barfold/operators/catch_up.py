@@ -87,18 +87,10 @@ def price_catch_up(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
 
 def refresh_prices(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
                    last_prices: DataFrame, last_volumes: DataFrame, **options) -> DataFrame:
-    """The price table after :func:`price_catch_up`."""
+    """The price table after :func:`price_catch_up`, whose rows are written once as the
+    merge reads them twice."""
     rows = price_catch_up(stocks, returns, prices, last_prices, last_volumes, **options)
-    return upsert(prices, rows, [KEY, ON])
-
-
-def _on_rows(anchors: DataFrame, returns: DataFrame, named: str) -> DataFrame:
-    """Anchors whose date is a row of ``returns``, columns prefixed with ``named``."""
-    first = anchors.agg(F.min(ON)).scalar()
-    dates = returns.where(F.col(ON) >= first).select(KEY, ON)
-    return anchors.join(dates, [KEY, ON], "left_semi").select(
-        KEY, *[F.col(c).alias(f"{named}_{c}") for c in anchors.columns if c != KEY]
-    )
+    return upsert(prices, materialise(rows), [KEY, ON])
 
 
 def price_changes(fresh: DataFrame, returns: DataFrame, prices: DataFrame, volumes: DataFrame,
@@ -135,27 +127,52 @@ def price_changes(fresh: DataFrame, returns: DataFrame, prices: DataFrame, volum
         *[F.product(growth_factor(c)).alias(f"_{c}_step") for c in LEVELS]
     )
 
+    # The four anchors of each security this run touched, and whether their dates are rows.
     touched = fresh.select(KEY).unionByName(prices.subtract(old_prices).select(KEY))
     touched = touched.unionByName(volumes.subtract(old_volumes).select(KEY)).distinct()
-    parts = [ends, revised, steps,
-             _on_rows(prices, returns, "price"), _on_rows(old_prices, old_returns, "old_price"),
-             _on_rows(volumes, returns, "volume"), _on_rows(old_volumes, old_returns, "old_volume")]
-    state = reduce(lambda rows, part: rows.join(part, KEY, "left"), parts, touched)
+    named = {"price": prices, "old_price": old_prices, "volume": volumes, "old_volume": old_volumes}
+    anchors = materialise(reduce(
+        lambda rows, name: rows.join(
+            named[name].select(KEY, *[F.col(c).alias(f"{name}_{c}")
+                                      for c in named[name].columns if c != KEY]), KEY, "left"),
+        named, touched,
+    ))
+    dates = {name: F.col(f"{name}_{ON}") for name in named}
+    first_anchor = anchors.agg(F.least(*[F.min(d) for d in dates.values()])).scalar()
+
+    def on_rows(rows: DataFrame, names: Sequence[str], suffix: str) -> DataFrame:
+        dated_rows = rows.select(KEY, ON).join(anchors.select(KEY, *[dates[n] for n in names]), KEY)
+        return dated_rows.groupBy(KEY).agg(
+            *[F.max(F.col(ON) == dates[n]).alias(f"{n}_{suffix}") for n in names]
+        )
+
+    held = on_rows(old_returns.where(F.col(ON) >= first_anchor), list(named), "held")
+    arrived = on_rows(fresh, ["price", "volume"], "arrived")
+    state = reduce(lambda rows, part: rows.join(part, KEY, "left"),
+                   [ends, revised, steps, held, arrived], anchors)
+
+    def date_of(name: str) -> Column:
+        counts = F.coalesce(f"{name}_held", F.lit(False))
+        if name in ("price", "volume"):
+            counts = counts | F.coalesce(f"{name}_arrived", F.lit(False))
+        return F.when(counts, dates[name])
 
     def scaled(c: str, anchor: str) -> Column:
         old = F.col(f"old_{anchor}_{c}")
         new = F.col(f"{anchor}_{c}") * F.coalesce(f"_{c}_step", F.lit(1.0))
         return F.coalesce(F.abs(new - old) <= tolerance * F.abs(old), old.isNull() & new.isNull())
 
-    same_prices = reduce(and_, [scaled(c, "price") for c in PRICES], (
-        (F.col(f"old_price_{ON}") == F.col("_end")) & (F.col(f"price_{ON}") >= F.col("_end"))
-    ))
-    no_volume = F.col(f"volume_{ON}").isNull() & F.col(f"old_volume_{ON}").isNull()
-    same_volume = (F.col(f"volume_{ON}") >= F.col(f"old_volume_{ON}")) & scaled(VOLUME, "volume")
-    standing = F.col("_revised").isNull() & same_prices & F.coalesce(no_volume | same_volume, F.lit(False))
-    state = materialise(state.select(KEY, F.coalesce(standing, F.lit(False)).alias("_standing")))
+    end = F.col("_end")
+    same_prices = reduce(and_, [scaled(c, "price") for c in PRICES],
+                         (date_of("old_price") == end) & (date_of("price") >= end))
+    no_volume = date_of("volume").isNull() & date_of("old_volume").isNull()
+    same_volume = (date_of("volume") >= date_of("old_volume")) & scaled(VOLUME, "volume")
+    stands = F.coalesce(
+        F.col("_revised").isNull() & same_prices & (no_volume | same_volume), F.lit(False)
+    )
+    state = materialise(state.select(KEY, stands.alias("_stands")))
 
-    standing, moved = state.where("_standing").select(KEY), state.where(~F.col("_standing")).select(KEY)
+    standing, moved = (state.where(side).select(KEY) for side in ("_stands", "NOT _stands"))
     appended = reconstruct(added.join(standing, KEY, "left_semi"), prices, volumes)
     whole = reconstruct(returns.join(moved, KEY, "left_semi"), prices, volumes)
     return appended.unionByName(whole)

@@ -286,7 +286,7 @@ ORDERS = TableSpec(
         T.StructField("o_totalprice", T.DoubleType()),
         T.StructField("o_date", T.DateType()),
     ]),
-    ("o_orderkey",), "o_orderkey div 4096",
+    ("o_orderkey",), "pmod(xxhash64(o_orderkey), 16)",
 )
 
 
