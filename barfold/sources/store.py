@@ -20,11 +20,12 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.operators.maintain import has_key, replace_by
+from barfold.operators.maintain import replace_by
 from barfold.schema import Registry, TableSpec
 from barfold.sources.staging import conform
 
@@ -204,14 +205,25 @@ class Store:
     def _merged(self, entry: dict, spec: TableSpec, source: DataFrame, delete_by: list[str]) -> dict:
         keys = list(spec.primary_key)
         touched = list(entry["parts"])
-        if spec.partition_by and set(delete_by) == set(keys):
+        if self._placed_by(spec, delete_by):
             # At most one row per partition of the table.
-            parts = source.where(has_key(keys)).select(self._part(spec)).distinct().collect()
-            touched = [str(r[0]) for r in parts]
+            parts = source.select(self._part(spec).alias(_PART)).where(f"{_PART} IS NOT NULL")
+            touched = [str(r[0]) for r in parts.distinct().collect()]
         merged = replace_by(self._rows(entry, touched), source, delete_by, keys)
         kept = {p: d for p, d in entry["parts"].items() if p not in set(touched)}
         return entry | {"parts": kept | self._write(spec, merged)}
 
+    def _placed_by(self, spec: TableSpec, columns: list[str]) -> bool:
+        """Whether these columns alone tell a row's partition."""
+        if not spec.partition_by:
+            return False
+        fields = [f for f in spec.schema.fields if f.name in columns]
+        try:
+            self.spark.createDataFrame([], T.StructType(fields)).select(self._part(spec))
+        except AnalysisException:
+            return False
+        return True
+
     def compact(self, name: str) -> None:
         """Rewrite a table in key order with evenly sized files; its rows stay the same."""
         base = self.version()

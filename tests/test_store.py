@@ -80,6 +80,19 @@ def test_upsert_by_other_columns(spark, store):
     assert rows_of(store.read("t")) == [(21, "c"), (5, "a")]
 
 
+def test_replacing_dates_rewrites_only_their_years(spark, store):
+    store.create(STOCK_RETURN)
+    day = {y: date(y, 6, 1) for y in (1999, 2000, 2001)}
+    rows = [(s, d, *[1.0] * 6) for s in (1, 2) for d in day.values()]
+    store.publish({"stock_return": spark.createDataFrame(rows, STOCK_RETURN.schema)})
+    before = store._entry("stock_return")["parts"]
+    new = spark.createDataFrame([(3, day[2000], *[2.0] * 6)], STOCK_RETURN.schema)
+    store.upsert({"stock_return": new}, by={"stock_return": ["Date"]})
+    after = store._entry("stock_return")["parts"]
+    assert rows_of(store.read("stock_return").where("Date = '2000-06-01'"), "sec_id") == [(3,)]
+    assert {y for y in after if after[y] == before[y]} == {"1999", "2001"}
+
+
 def test_upsert_of_different_rows_with_one_key_fails(spark, store):
     with pytest.raises(Exception, match="share the key"):
         store.upsert({"t": frame(spark, [(1, "a"), (1, "b")])})
