@@ -101,6 +101,15 @@ def test_a_large_insert_shuffles_each_side_by_key(stored, large_tables):
     assert "SortAggregate" not in text
 
 
+def test_catch_up_scans_start_at_the_earliest_open_date(stored):
+    stocks = stored("last_price").select("sec_id")
+    behind = stored("prices").where(F.col("Date") <= F.lit(make_date(2001)))
+    text = plan(op.price_catch_up(stocks, stored("returns"), behind, stored("last_price"),
+                                  stored("last_volume")))
+    # One scan of the stored prices, and one of the returns per use of the recent rows.
+    assert text.count("GreaterThanOrEqual(Date,ScalarSubquery") >= 2
+
+
 def test_range_parameters_are_an_equi_join(stored, large_tables, spark):
     asked = make.date_ranges(make.tables(spark, SMALL))
     text = plan(op.param_query(stored("bars"), asked, between={"Date": ("lo", "hi")}))
