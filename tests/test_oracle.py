@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.conftest import SMALL
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -35,14 +37,14 @@ def ordered(rows):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 4601
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, name):
     found = contract.queries()[name](spark, SMALL)
     expected = duck.sql(contract.oracle_sql()[name])
