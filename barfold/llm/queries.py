@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barfold.llm import language
+from barfold.llm import labelled, language, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,3 +34,20 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder(4) == 2
     model = language.fit(documents, ~held_out)
     return language.predict(documents.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+def _classified(spark: SparkSession, sf_dir: str, model_of, target: str, held_out: Column, per_class: int) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = model_of.fit(labelled.sample(documents, labels, target, ~held_out, per_class))
+    scored = model_of.score(documents.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, quality, "quality", remainder(3) == 1, per_class=4000)
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(spark, sf_dir, toxicity, "toxic", remainder(5) == 0, per_class=8000)
