@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barfold.llm import labelled, language, quality, toxicity
+from barfold.llm import bpe, labelled, language, quality, toxicity
+from barfold.llm.texts import append
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +56,20 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir, toxicity, "toxic", remainder(5) == 0, per_class=8000)
+
+
+@query
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer).drop("text")
+
+    def digests(batch: pa.RecordBatch) -> list[pa.Array]:
+        file, ids, decoded = tokenizer.here(), [], []
+        for row in bpe.rows_of(batch.column("ids")):
+            ids.append(hashlib.sha256(row.astype("<u4").tobytes()).hexdigest())
+            decoded.append(hashlib.sha256(file.decode(row).encode()).hexdigest())
+        return [pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+
+    fields = [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    counted = encoded.withColumn("n_tokens", F.size("ids").cast("long"))
+    return append(counted, fields, digests, by="ids").drop("ids")

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -144,23 +145,42 @@ def append(
     frame: DataFrame,
     fields: list[T.StructField],
     compute: Callable[[pa.RecordBatch], list[pa.Array]],
+    by: str | None = None,
 ) -> DataFrame:
     """``frame`` with ``fields`` computed from each Arrow batch.
 
-    Columns of the frame with one of the new names are replaced.
+    Columns of the frame with one of the new names are replaced. With ``by``, a column of texts or
+    lists, batches are first cut so that those hold a few megabytes together.
     """
     names = {f.name for f in fields}
-    kept = frame.select(*[_quoted(c) for c in frame.columns if c not in names])
+    kept = frame.select(*[quoted(c) for c in frame.columns if c not in names])
     schema = T.StructType([*kept.schema.fields, *fields])
     width = len(kept.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            arrays = [batch.column(n) for n in range(width)]
-            yield pa.RecordBatch.from_arrays(arrays + compute(batch), names=schema.names)
+        for whole in batches:
+            for first, end in spans(whole.column(by)) if by else [(0, len(whole))]:
+                batch = whole.slice(first, end - first)
+                arrays = [batch.column(n) for n in range(width)]
+                yield pa.RecordBatch.from_arrays(arrays + compute(batch), names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
 
-def _quoted(name: str) -> str:
+def spans(column: pa.Array, limit: int = 8 << 20) -> list[tuple[int, int]]:
+    """Ranges of rows that hold about ``limit`` bytes or list elements together, at least one row each."""
+    length = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+    sizes = pc.fill_null(length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    found, first, held = [], 0, 0
+    for n, size in enumerate(sizes.tolist()):
+        if n > first and held + size > limit:
+            found.append((first, n))
+            first, held = n, 0
+        held += size
+    if len(sizes):
+        found.append((first, len(sizes)))
+    return found
+
+
+def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
