@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.llm import bpe, labelled, language, quality, toxicity
+from barfold.llm import bpe, labelled, language, quality, token_files, toxicity
 from barfold.llm.texts import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,13 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
     counted = encoded.withColumn("n_tokens", F.size("ids").cast("long"))
     return append(counted, fields, digests, by="ids").drop("ids")
+
+
+@query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = token_files.folder(spark, "tokens")
+    encoded = token_files.encode(documents, public_tokenizers.path("word_bpe_49k.json"), end=2)
+    token_files.write(encoded, path)
+    return token_files.read(spark, path).select(
+        F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
