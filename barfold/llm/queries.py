@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.llm import bpe, labelled, language, quality, token_files, toxicity
+from barfold.llm import bpe, labelled, language, mixing, quality, token_files, toxicity
 from barfold.llm.texts import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,53 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write(encoded, path)
     return token_files.read(spark, path).select(
         F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+#: Target weights of the mixture; sources that are not listed share one weight.
+WEIGHTS = {f"src{n}": 2 + n % 5 for n in range(20)}
+REST_WEIGHT = 3
+BLOCK_ROWS = 32
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(documents, WEIGHTS, rest=REST_WEIGHT, block_rows=BLOCK_ROWS)
+
+
+ORACLE["op1_mixing"] = f"""
+WITH RECURSIVE weighted(source, weight) AS (
+  VALUES {", ".join(f"('{s}', {w})" for s, w in WEIGHTS.items())}, ('*', {REST_WEIGHT})),
+docs AS (
+  SELECT doc_id, d.source, coalesce(w.source, '*') AS mixed,
+    row_number() OVER (PARTITION BY coalesce(w.source, '*') ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id NULLS FIRST) - 1 AS n
+  FROM documents d LEFT JOIN weighted w ON w.source = d.source),
+sources AS (
+  SELECT mixed AS source, weight, count(*) AS n_rows, (count(*) + {BLOCK_ROWS - 1}) // {BLOCK_ROWS} AS blocks
+  FROM docs JOIN weighted w ON w.source = mixed GROUP BY mixed, weight),
+served AS (  -- every frame and every source's blocks in it
+  SELECT frame, source, weight, least(weight, blocks - weight * frame) AS m
+  FROM sources, (SELECT unnest(generate_series(0, (SELECT max((blocks - 1) // weight) FROM sources))) AS frame)
+  WHERE blocks > weight * frame),
+jobs AS (
+  SELECT frame, source, k,
+    (SELECT sum(least(o.weight * j.k, o.m * j.weight)) FROM served o WHERE o.frame = j.frame) // j.weight AS released,
+    -((-(SELECT sum(least(o.weight * (j.k + 1), o.m * j.weight)) FROM served o WHERE o.frame = j.frame)) // j.weight) AS due
+  FROM (SELECT frame, source, weight, unnest(generate_series(0, m - 1)) AS k FROM served) j),
+listed AS (
+  SELECT frame, list({{'source': source, 'k': k, 'released': released}} ORDER BY due, source, k) AS waiting
+  FROM jobs GROUP BY frame),
+slots(frame, slot, waiting, run) AS (
+  SELECT frame, -1, waiting, waiting[1] FROM listed
+  UNION ALL
+  SELECT frame, slot + 1, list_filter(waiting, lambda x: x <> picked), picked
+  FROM (SELECT *, list_filter(waiting, lambda x: x.released <= slot + 1)[1] AS picked FROM slots WHERE len(waiting) > 0)),
+placed AS (
+  SELECT run.source AS source, frame * s.weight + run.k AS block,
+    least({BLOCK_ROWS}, s.n_rows - (frame * s.weight + run.k) * {BLOCK_ROWS}) AS held, frame, slot
+  FROM slots JOIN sources s ON s.source = run.source WHERE slot >= 0),
+starts AS (
+  SELECT source, block, sum(held) OVER (ORDER BY frame, slot) - held AS first_row FROM placed)
+SELECT doc_id, d.source, block, CAST(first_row + n % {BLOCK_ROWS} AS BIGINT) AS position
+FROM docs d JOIN starts s ON s.source = d.mixed AND s.block = d.n // {BLOCK_ROWS}
+"""
