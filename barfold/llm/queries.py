@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.llm import bpe, chat, labelled, language, mixing, quality, token_files, toxicity
+from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, quality, token_files, toxicity
 from barfold.llm.texts import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,3 +186,8 @@ def _digest_rows(rows: list[tuple]) -> pa.RecordBatch:
     names = [part.split()[0] for part in DIGEST.split(", ")]
     columns = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, percent=85))
