@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, quality, token_files, toxicity
+from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, neardup, quality, token_files, toxicity
 from barfold.llm.texts import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,3 +191,8 @@ def _digest_rows(rows: list[tuple]) -> pa.RecordBatch:
 @query
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"), jaccard.Rule(words=4, percent=85))
+
+
+@query
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(table(spark, sf_dir, "embeddings"), cosine=0.98)
