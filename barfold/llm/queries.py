@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, neardup, quality, token_files, toxicity
+from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, neardup, quality, search, token_files, toxicity
 from barfold.llm.texts import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +196,34 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
+TOP = 10
+
+
+@query
+def op9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    asked = documents.where("doc_id % 50 = 0").withColumnRenamed("doc_id", "query_id")
+    return search.top_k(documents, asked, TOP)
+
+
+ORACLE["op9_search"] = f"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM documents),
+tf AS (SELECT doc_id, word, count(*) AS tf FROM words GROUP BY ALL),
+dl AS (SELECT doc_id, sum(tf) AS dl FROM tf GROUP BY ALL),
+df AS (SELECT word, count(*) AS df FROM tf GROUP BY ALL),
+size AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT count(*) FROM words) AS total),
+scored AS (
+  SELECT q.doc_id AS query_id, d.doc_id, round(sum(
+    q.tf * ln(1 + (n - df + 0.5) / (df + 0.5)) * d.tf * {search.K1 + 1}
+    / (d.tf + {search.K1} * ({1 - search.B} + {search.B} * dl / (total / n)))), {search.DIGITS}) AS score
+  FROM tf q JOIN tf d USING (word) JOIN df USING (word) JOIN dl ON dl.doc_id = d.doc_id, size
+  WHERE q.doc_id % 50 = 0 GROUP BY ALL)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored)
+WHERE rank <= {TOP}
+"""
