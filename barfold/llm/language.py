@@ -145,8 +145,10 @@ def _has_letter(text: str | None) -> bool:
     return any(map(str.isalpha, text or ""))
 
 
-def predict(frame: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
-    """``frame`` with ``lang_pred`` and ``score``, the corrected share of n-grams of that language."""
+def predict(
+    frame: DataFrame, model: Model, *, text: str = "text", to: tuple[str, str] = ("lang_pred", "score")
+) -> DataFrame:
+    """``frame`` with the predicted language and its score, the corrected share of n-grams of that language."""
     sent = frame.sparkSession.sparkContext.broadcast(model)
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -182,5 +184,4 @@ def predict(frame: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
         named = [learned.langs[k] if ok else UNDETERMINED for k, ok in zip(best, plain, strict=True)]
         return [pa.array(named, pa.string()), pa.array(np.where(plain, score, 0.0))]
 
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    return append(frame, fields, compute)
+    return append(frame, [T.StructField(to[0], T.StringType()), T.StructField(to[1], T.DoubleType())], compute, by=text)

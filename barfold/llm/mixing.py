@@ -94,23 +94,27 @@ def mix(
     block_rows: int = 64,
     source: str = "source",
     order: tuple[str, ...] = ("doc_id",),
+    to: tuple[str, str] = ("block", "position"),
 ) -> DataFrame:
-    """``frame`` with ``block`` (number of the block among its source's) and ``position`` (from 0, the row's
-    place in the mixture)."""
+    """``frame`` with the number of the row's block among its source's, and the row's place in the mixture,
+    from 0, under the names ``to``."""
     if any(w < 1 for w in [rest, *weights.values()]):
         raise ValueError("weights are positive integers")
-    kept = frame.drop("block", "position")
+    # The row travels as one column, so its own columns cannot clash with those of the plan.
+    kept = frame.select(
+        F.struct(*[quoted(c) for c in frame.columns if c not in to]).alias("_whole"),
+        F.col(source).alias("_name"), F.array(*[F.col(c).cast("string") for c in order]).alias("_key"))
     known = F.array(*map(F.lit, weights)) if weights else F.expr("cast(array() as array<string>)")
-    named = F.when(F.array_contains(known, F.coalesce(F.col(source), F.lit(REST))), F.col(source)).otherwise(REST)
-    text = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order])
-    keyed = kept.withColumns({"_source": named, "_order": F.md5(text)})
+    named = F.when(F.array_contains(known, F.coalesce("_name", F.lit(REST))), F.col("_name")).otherwise(REST)
+    text = F.array_join("_key", "\x1f", "")
+    keyed = kept.withColumns({"_source": named, "_order": F.md5(text)}).drop("_name")
     keyed = keyed.withColumn("_range", F.conv(F.substring("_order", 1, 3), 16, 10).cast("int"))
 
     counts = keyed.groupBy("_source", "_range").agg(F.count("*").alias("n"))
     by_range = Window.partitionBy("_source").orderBy("_range")
     offsets = counts.select(
         "_source", "_range", (F.sum("n").over(by_range) - F.col("n")).alias("_before"))
-    in_range = Window.partitionBy("_source", "_range").orderBy("_order", *[F.col(c) for c in order])
+    in_range = Window.partitionBy("_source", "_range").orderBy("_order", "_key")
     numbered = (
         keyed.withColumn("_row", F.row_number().over(in_range).cast("long") - 1)
         .join(F.broadcast(offsets), ["_source", "_range"])
@@ -136,7 +140,7 @@ def mix(
         .withColumn("position", (
             F.col("first_slot") + (F.col("_frame") - F.col("_from")) * F.col("slots") + F.col("slot")
         ) * block_rows - F.col("missing") + F.col("_row") % block_rows)
-        .select(*[quoted(c) for c in kept.columns], "block", "position")
+        .select("_whole.*", F.col("block").alias(to[0]), F.col("position").alias(to[1]))
     )
 
 

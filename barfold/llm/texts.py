@@ -182,5 +182,13 @@ def spans(column: pa.Array, limit: int = 8 << 20) -> list[tuple[int, int]]:
     return found
 
 
+def spare(frame: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``frame`` does not have."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
