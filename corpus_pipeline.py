@@ -4,34 +4,89 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barfold.llm import language
-from barfold.llm.queries import table
+from barfold.llm import bpe, jaccard, labelled, language, mixing, toxicity
+from barfold.llm.queries import BLOCK_ROWS, REST_WEIGHT, WEIGHTS, table
+from barfold.llm.texts import quoted, spare
 from barfold.sources.scratch import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: A document whose share of known n-grams is below this is in none of the learned languages.
 LEAST_LANGUAGE_SHARE = 0.4
+#: A document with this score or more is toxic.
+TOXIC = 0.5
+
+
+def _columns(docs: DataFrame) -> list[str]:
+    return [quoted(c) for c in docs.columns]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those that resemble no learned language."""
-    model = language.fit(docs, F.lit(True))
-    scored = language.predict(docs.withColumns({"_lang": F.col("lang")}), model)
-    kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SHARE)
-    return scored.where(kept).select(*docs.columns)
+    predicted, share = spare(docs, "lang_pred"), spare(docs, "score")
+    scored = language.predict(docs, language.fit(docs, F.lit(True)), to=(predicted, share))
+    kept = (F.col(predicted) != language.UNDETERMINED) & (F.col(share) >= LEAST_LANGUAGE_SHARE)
+    return scored.where(kept).select(*_columns(docs))
+
+
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that score as toxic, by a model of the labelled ones."""
+    model = toxicity.fit(labelled.sample(docs, table(spark, sf_dir, "labels"), "toxic", F.lit(True), 8000))
+    score = spare(docs, "score")
+    return toxicity.score(docs, model, to=score).where(F.col(score) < TOXIC).select(*_columns(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group: the one with the smallest number.
+
+    Rows that repeat that number are copies too, of which the first by text stays. Documents without a
+    word or a number belong to no group and stay.
+    """
+    groups = jaccard.join(docs, jaccard.Rule(words=5, percent=80)).where("n_shingles > 0 and doc_id is not null")
+    dropped = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    row, several = spare(docs, "row"), spare(docs, "several")
+    repeated = groups.groupBy("doc_id").agg(F.count("*").alias(several)).where(F.col(several) > 1)
+    first = Window.partitionBy("doc_id").orderBy(F.col("text"), *[F.col(c) for c in _columns(docs)])
+    left = docs.join(dropped, "doc_id", "left_anti").select(*_columns(docs))
+    once = (
+        left.where("doc_id is not null").join(repeated.select("doc_id"), "doc_id", "left_semi")
+        .withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).select(*_columns(docs))
+    )
+    return left.join(repeated.select("doc_id"), "doc_id", "left_anti").select(*_columns(docs)).unionByName(once)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Store the documents in the order of the mixture."""
+    place, block = spare(docs, "position"), spare(docs, "block")
+    mixed = mixing.mix(docs, WEIGHTS, rest=REST_WEIGHT, block_rows=BLOCK_ROWS, to=(block, place))
+    return mixed.orderBy(place).select(*_columns(docs))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document."""
+    tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer)
+    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-STAGES: list[tuple[str, Stage]] = [("language_id", language_id)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("toxicity", toxic_documents),
+    ("near_duplicates", near_duplicates),
+    ("mix_sources", mix_sources),
+    ("encode", encode),
+]
 
-#: SQL cannot express the learned stages; tests/llm holds the pipeline against brute force.
+#: SQL cannot express the learned stages; tests/llm holds the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each reads what the one before has stored."""
     docs = table(spark, sf_dir, "documents")
     for n, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
