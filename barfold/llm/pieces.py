@@ -48,14 +48,18 @@ class Pieces:
     bounds: np.ndarray
 
 
-def cut(column: pa.Array, before: Callable[[np.ndarray], np.ndarray]) -> Pieces:
+def cut(
+    column: pa.Array,
+    before: Callable[[np.ndarray], np.ndarray],
+    change: Callable[[np.ndarray], np.ndarray] = lambda data: data,
+) -> Pieces:
     """Texts of ``column`` (null: empty) cut before each byte that ``before`` marks.
 
     ``before`` gets the bytes of all texts in one array with a zero byte after each text, so no
-    mark depends on the neighbouring text.
+    mark depends on the neighbouring text. ``change`` may put other bytes in the place of bytes.
     """
     texts = [t or b"" for t in column.cast(pa.binary()).to_pylist()]
-    data = np.frombuffer(b"\0".join([*texts, b""]), np.uint8)
+    data = change(np.frombuffer(b"\0".join([*texts, b""]), np.uint8))
     starts = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=starts[1:])
     marked = np.zeros(len(data) + 1, bool)

@@ -18,6 +18,7 @@ by a block (about ``BLOCK_IDS`` ids) or the longest row, and the code by the num
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -30,18 +31,25 @@ from pyspark.sql import types as T
 
 from barfold.llm import huffman
 from barfold.llm.pieces import Ragged, cut
-from barfold.llm.texts import append
+from barfold.llm.texts import append, lowered
 from barfold.sources.scratch import checkpoint_dir
 
 BLOCK_IDS = 1 << 18
 REMEMBERED = 400_000
+MARKS = b",.!?;:"
+PROBES = ("a", "the", "engine", "nonstopwords", "s", "re")
+_MARK, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(MARKS)] = True
+_LETTER[97:123] = True
 
 
 class WordIds:
-    """A tokenizer file that drops white space, over pieces cut at spaces and line feeds.
+    """A tokenizer file that drops white space, over pieces cut at spaces, line feeds and before marks.
 
-    No word crosses white space there, so a text's ids are those of its pieces. Recent pieces are
-    remembered, at most twice ``REMEMBERED``.
+    No word crosses those places, so a text's ids are those of its pieces. If the file lower-cases texts,
+    A-Z are lower-cased before, and a piece of a-z alone goes straight to the file's merges, since
+    nothing else in the file changes it. Both are tried on ``PROBES`` when the file is loaded, and
+    left where a text holds an added token. Recent pieces are remembered, at most twice ``REMEMBERED``.
     """
 
     def __init__(self, content: str) -> None:
@@ -51,27 +59,52 @@ class WordIds:
         self.file = Tokenizer.from_str(content)
         self.file.no_truncation()
         self.file.no_padding()
+        self.added = [t.content.lower().encode() for t in self.file.get_added_tokens_decoder().values()]
+        ids = lambda text: self.file.encode(text, add_special_tokens=False).ids
+        self.folds = all(
+            ids(a.upper() + m + b) == ids(a) + ids(m) + ids(b) == self._merged(a) + ids(m) + self._merged(b)
+            for a in PROBES for b in PROBES for m in MARKS.decode())
         self.now: dict[bytes, bytes] = {}
         self.past: dict[bytes, bytes] = {}
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        for piece, found in zip(pieces, self.file.encode_batch_fast(
-                [p.decode() for p in pieces], add_special_tokens=False), strict=True):
-            self.now[piece] = np.array(found.ids, np.uint32).tobytes()
+    def _merged(self, word: str) -> list[int]:
+        return [t.id for t in self.file.model.tokenize(word)]
+
+    def _learn(self, pieces: list[bytes], plain: bool) -> None:
+        simple = [p for p in pieces if plain and p.isalpha() and p.isascii()]
+        for piece in simple:
+            self.now[piece] = array("I", self._merged(piece.decode())).tobytes()
+        others = [p for p in pieces if p not in self.now]
+        for piece, found in zip(others, self.file.encode_batch_fast(
+                [p.decode() for p in others], add_special_tokens=False), strict=True):
+            self.now[piece] = array("I", found.ids).tobytes()
 
     def encode(self, column: pa.Array) -> Ragged:
-        pieces = cut(column, lambda data: (data == 32) | (data == 10))
+        plain = self.folds
+
+        def change(data: np.ndarray) -> np.ndarray:
+            nonlocal plain
+            folded = lowered(data)
+            content = folded.tobytes()
+            plain = self.folds and not any(a in content for a in self.added)
+            return folded if plain else data
+
+        def before(data: np.ndarray) -> np.ndarray:
+            spaces = (data == 32) | (data == 10)
+            if plain:
+                spaces[1:] |= _MARK[data[1:]] & _LETTER[data[:-1]]
+            return spaces
+
+        pieces = cut(column, before, change)
+        distinct = [p.strip(b" \n") for p in pieces.distinct]
         if len(self.now) > REMEMBERED:
             self.past, self.now = self.now, {}
-        now, past, new = self.now, self.past, []
-        for piece in pieces.distinct:
-            if piece not in now:
-                if piece in past:
-                    now[piece] = past[piece]
-                else:
-                    new.append(piece)
-        self._learn(new)
-        rows = [now[p] for p in pieces.distinct]
+        now, past = self.now, self.past
+        new = {p for p in distinct if p not in now}
+        known = [p for p in new if p in past]
+        now.update(zip(known, map(past.__getitem__, known), strict=True))
+        self._learn([p for p in new if p not in past], plain)
+        rows = [now[p] for p in distinct]
         offsets = np.concatenate(([0], np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) >> 2)))
         ids = Ragged(np.frombuffer(b"".join(rows), np.uint32), offsets)
         return ids.take(pieces.numbers).grouped(pieces.bounds)
