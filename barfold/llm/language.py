@@ -53,7 +53,7 @@ class Model:
 def _grams(part: Slice) -> tuple[np.ndarray, np.ndarray]:
     """n-gram hashes and their documents: letters of one word, at most one edge at each end."""
     codes = np.concatenate((np.zeros(1, np.uint8), LETTERS[part.data]))
-    found, owners = [], []
+    found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for size in SIZES:
         n = len(codes) - size + 1
         if n <= 0:
