@@ -17,6 +17,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: A document whose share of known n-grams is below this is in none of the learned languages.
 LEAST_LANGUAGE_SHARE = 0.4
+#: Fewer characters are too little to say so; such a text goes only if it has no letter.
+LEAST_CHARS = 20
 #: A document with this score or more is toxic.
 TOXIC = 0.5
 
@@ -29,7 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those that resemble no learned language."""
     predicted, share = spare(docs, "lang_pred"), spare(docs, "score")
     scored = language.predict(docs, language.fit(docs, F.lit(True)), to=(predicted, share))
-    kept = (F.col(predicted) != language.UNDETERMINED) & (F.col(share) >= LEAST_LANGUAGE_SHARE)
+    short = F.char_length("text") < LEAST_CHARS
+    kept = (F.col(predicted) != language.UNDETERMINED) & ((F.col(share) >= LEAST_LANGUAGE_SHARE) | short)
     return scored.where(kept).select(*_columns(docs))
 
 
