@@ -175,11 +175,17 @@ def _kept(source: str, *by: str) -> str:
     return f"(SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE {match}))"
 
 
-def _max_date(where: str, default: str | None) -> str:
-    found = f'(SELECT max(r."Date") FROM ret r WHERE r.sec_id = s.sec_id AND {where})'
+def _resume(where: str, default: str | None) -> str:
+    """Every security with its last qualifying date: one grouped pass over the joined returns."""
+    found = f'max(r."Date") FILTER (WHERE {where})'
     if default:
         found = f"coalesce({found}, DATE '{default}')"
-    return _with(["stocks", "ret"], f'SELECT s.sec_id, s.id_yahoo, {found} AS "Date" FROM stocks s')
+    return f'''SELECT s.sec_id, s.id_yahoo, {found} AS "Date"
+FROM stocks s LEFT JOIN ret r USING (sec_id) GROUP BY ALL'''
+
+
+def _max_date(where: str, default: str | None) -> str:
+    return _with(["stocks", "ret"], _resume(where, default))
 
 
 def _extended(enum: str, source: str, column: str) -> str:
@@ -189,10 +195,11 @@ FROM (SELECT DISTINCT {column} AS value FROM {source} s WHERE {column} IS NOT NU
   AND NOT EXISTS (SELECT 1 FROM {enum} e WHERE e.value = s.{column}))"""
 
 
-_UNCHANGED = """SELECT {columns} FROM {table} a WHERE NOT EXISTS (
-  SELECT 1 FROM {table} b WHERE b.{key} = a.{key} AND coalesce(b.{check}, '') = coalesce(a.{check}, '')
-    AND b.{ordinal} = (SELECT max(c.{ordinal}) FROM {table} c
-      WHERE c.{key} = a.{key} AND c.{ordinal} < a.{ordinal}))"""
+_UNCHANGED = """SELECT {columns} FROM (
+  SELECT *, lag(shown) OVER run AS earlier, row_number() OVER run AS place
+  FROM (SELECT *, coalesce({check}, '') AS shown FROM {table})
+  WINDOW run AS (PARTITION BY {key} ORDER BY {ordinal}))
+WHERE place = 1 OR earlier <> shown"""
 
 ORACLE: dict[str, str] = {
     "bars": _with(["bars"], "SELECT * FROM bars"),
@@ -233,10 +240,8 @@ WHERE coalesce(last_stored, DATE '1900-01-01') < last_return
   AND (drifted OR "Date" > coalesce(last_stored, DATE '1900-01-01'))"""),
     "securities_first": _with(["stocks"], "SELECT * FROM stocks"),
     "fetch_bars": _with(["stocks", "ret", "quotes"], """
-SELECT q.* FROM quotes q JOIN (
-  SELECT id_yahoo, coalesce((SELECT max(r."Date") FROM ret r WHERE r.sec_id = s.sec_id
-    AND r.volume <> 0 AND r."Date" < DATE '1998-01-01'), DATE '1900-01-01') AS since FROM stocks s) m
-ON m.id_yahoo = q.symbol WHERE q."date" >= m.since AND q."date" <= DATE '2000-12-31'"""),
+SELECT q.* FROM quotes q JOIN (""" + _resume("""r.volume <> 0 AND r."Date" < DATE '1998-01-01'""", "1900-01-01") + """) m
+ON m.id_yahoo = q.symbol AND q."date" BETWEEN m."Date" AND DATE '2000-12-31'"""),
     "normalise_bars": _with(["stocks", "quotes"], """
 SELECT m.sec_id, q."date" AS "Date", q."open", q.high, q.low, q."close",
   coalesce(q.volume, 0) AS volume, q.adjusted AS adj_close
@@ -257,12 +262,12 @@ SELECT {_SERIES} FROM ret WHERE "Date" >= DATE '1996-01-01' AND "Date" <= DATE '
     "max_date_positive": _max_date("r.volume > 0", "1900-01-01"),
     "max_date_notnull": _max_date("r.volume IS NOT NULL", None),
     "last_date": _with(["stocks", "ret", "stored", "last_p"], """
-SELECT s.sec_id, s.id_yahoo,
-  coalesce((SELECT max(r."Date") FROM ret r WHERE r.sec_id = s.sec_id), DATE '1900-01-01') AS last_return_date,
-  coalesce((SELECT max(p."Date") FROM stored p WHERE p.sec_id = s.sec_id), DATE '1900-01-01') AS last_price_date,
-  coalesce((SELECT p."close" FROM stored p WHERE p.sec_id = s.sec_id AND p."Date" = (
-    SELECT max(q."Date") FROM stored q WHERE q.sec_id = s.sec_id)), 0) AS last_close
-FROM stocks s WHERE EXISTS (SELECT 1 FROM last_p l WHERE l.sec_id = s.sec_id)"""),
+SELECT sec_id, id_yahoo, coalesce(returned, DATE '1900-01-01') AS last_return_date,
+  coalesce(priced, DATE '1900-01-01') AS last_price_date, coalesce(closed, 0) AS last_close
+FROM (SELECT sec_id, id_yahoo FROM stocks SEMI JOIN last_p USING (sec_id))
+LEFT JOIN (SELECT sec_id, max("Date") AS returned FROM ret GROUP BY sec_id) USING (sec_id)
+LEFT JOIN (SELECT sec_id, max("Date") AS priced, arg_max("close", "Date") AS closed
+  FROM stored GROUP BY sec_id) USING (sec_id)"""),
     "param_query": _with(["bars", "date_ranges"], """
 SELECT p.param_no, b.sec_id, b."Date", b."close", b.volume
 FROM date_ranges p JOIN bars b ON b."Date" BETWEEN p.lo AND p.hi"""),
