@@ -49,13 +49,18 @@ def pct_step(x: Column, base: Column) -> Column:
     return finite((x - base) / F.abs(base))
 
 
+def last_before(value: Column | str, window: WindowSpec) -> Column:
+    """The last value of the rows strictly before that is not null."""
+    return F.last(value, ignorenulls=True).over(_before(window))
+
+
 def pct_chg(x: Column | str, window: WindowSpec) -> Column:
     """Relative change from the last usable value strictly before the row.
 
     Zero and NaN count as missing, both as value and as base.
     """
     value = nonzero(x)
-    return pct_step(value, F.last(value, ignorenulls=True).over(_before(window)))
+    return pct_step(value, last_before(value, window))
 
 
 def growth_factor(change: Column | str) -> Column:

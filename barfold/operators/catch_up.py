@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from barfold.functions.series import growth_factor
 from barfold.operators.levels import reconstruct
 from barfold.operators.maintain import upsert
-from barfold.schema import EARLIEST, KEY, LEVELS, ON, PRICES, VOLUME
+from barfold.schema import FIRST_DATE, KEY, LEVELS, ON, PRICES, VOLUME
 from barfold.sources.scratch import materialise
 
 
 def _stale(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
            last_prices: DataFrame) -> DataFrame:
-    """Securities whose last price is older than their last return, and its date, ``_from``.
+    """Securities whose last price is older than their last return, and its date, ``_from``;
+    null if none was ever stored.
 
     One row per security, from two columns of each table; worth computing once.
     """
@@ -29,29 +30,29 @@ def _stale(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
         .join(last_prices.select(KEY), KEY, "left_semi")
         .join(last_return, KEY)
         .join(last_level, KEY, "left")
-        .withColumn("_from", F.coalesce("_from", F.lit(EARLIEST)))
-        .where(F.col("_from") < F.col("_to"))
+        .where(F.col("_from").isNull() | (F.col("_from") < F.col("_to")))
         .drop("_to")
     )
 
 
 def price_catch_up(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
                    last_prices: DataFrame, last_volumes: DataFrame,
-                   compare: Sequence[str] = LEVELS, tolerance: float = 1e-6,
+                   compare: Sequence[str] = LEVELS, tolerance: float = 1e-12,
                    span_days: int | None = None) -> DataFrame:
     """The price rows that are missing or no longer right.
 
     Only securities whose last price is older than their last return take part.
     They are rebuilt from their last price date on, which needs just the returns
-    since that date. Where the stored row of that date is not the rebuilt one (in
-    ``compare``, within ``tolerance`` absolute plus a billionth), the
-    security is rebuilt as a whole.
+    since that date; one that was never stored needs all. Where the stored row of that date is
+    not the rebuilt one (in ``compare``, both rounded, but for a relative ``tolerance`` that covers the
+    error of doubles), the security is rebuilt as a whole.
     """
     stale = _stale(stocks, returns, prices, last_prices)
     # The earliest date in question lets the scans skip files before any join.
-    never_stored = F.col("_from") == F.lit(EARLIEST)
-    since = stale.agg(F.min("_from")).scalar()
-    since_stored = stale.where(~never_stored).agg(F.min("_from")).scalar()
+    never_stored = F.col("_from").isNull()
+    any_never = F.coalesce(F.max(never_stored), F.lit(False))
+    since = stale.agg(F.when(any_never, F.lit(FIRST_DATE).cast("date")).otherwise(F.min("_from"))).scalar()
+    since_stored = stale.agg(F.min("_from")).scalar()
     stored = (
         prices.where(F.col(ON) >= since_stored)
         .join(stale.withColumnRenamed("_from", ON), [KEY, ON])
@@ -60,17 +61,18 @@ def price_catch_up(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
     open_returns = (
         returns.where(F.col(ON) >= since)
         .join(stale, KEY)
-        .where(F.col(ON) >= F.col("_from"))
+        .where(never_stored | (F.col(ON) >= F.col("_from")))
     )
+    # Read twice below, by the drifted securities and by the appended rows.
     recent = (
-        reconstruct(open_returns, last_prices, last_volumes, span_days)
+        materialise(reconstruct(open_returns, last_prices, last_volumes, span_days))
         .join(stale, KEY)
         .join(stored, KEY, "left")
     )
 
     def same(c: str) -> Column:
         stored, rebuilt = F.col(f"_stored_{c}"), F.col(c)
-        near = F.abs(stored - rebuilt) <= tolerance + 1e-9 * F.abs(stored)
+        near = F.abs(stored - rebuilt) <= tolerance * F.abs(stored)
         return F.coalesce(near, stored.isNull() & rebuilt.isNull())
 
     confirmed = F.when(F.col(ON) == F.col("_from"), reduce(and_, [same(c) for c in compare]))

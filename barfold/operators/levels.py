@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barfold.functions.series import finite, growth_factor, not_nan, positive
+from barfold.functions.series import finite, growth_factor, lag_cum_chg, not_nan, positive
 from barfold.functions.spans import date_span
 from barfold.operators.returns import (
     last_price,
@@ -29,14 +29,8 @@ _ANCHOR_ON = {c: "_volume_on" if c == VOLUME else "_price_on" for c in LEVELS}
 
 def _with_newer(rows: DataFrame, span_days: int | None) -> DataFrame:
     """Per level column the product of the factors of all newer rows of the run."""
-    newer = (
-        Window.partitionBy(*series_key(span_days)).orderBy(F.desc(ON))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return rows.withColumns({
-        f"_{c}_newer": F.coalesce(F.product(growth_factor(c)).over(newer), F.lit(1.0))
-        for c in LEVELS
-    })
+    newest_first = Window.partitionBy(*series_key(span_days)).orderBy(F.desc(ON))
+    return rows.withColumns({f"_{c}_newer": lag_cum_chg(c, newest_first) for c in LEVELS})
 
 
 def _levels(rows: DataFrame) -> list[Column]:

@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barfold.functions.series import nonzero, pct_step, positive
+from barfold.functions.series import last_before, nonzero, pct_step, positive
 from barfold.functions.spans import date_span
 from barfold.schema import KEY, LEVELS, ON, PRICES, VOLUME
 
@@ -48,9 +48,8 @@ def with_changes(bars: DataFrame, values: Mapping[str, Column],
     keyed = with_span(bars.withColumns({used[c]: v for c, v in values.items()}), span_days)
 
     ordered = Window.partitionBy(*run).orderBy(ON)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     rows = keyed.withColumns(
-        {f"{u}_base": F.last(u, ignorenulls=True).over(before) for u in used.values()}
+        {f"{u}_base": last_before(u, ordered) for u in used.values()}
         | {"_twice": F.lag(ON).over(ordered) == F.col(ON)}
     )
     if span_days is not None:
@@ -99,13 +98,27 @@ def returns(bars: DataFrame, span_days: int | None = None) -> DataFrame:
     )
 
 
+# Rows of one day are told apart by this many bits of a row number's hash.
+_TELL = 1 << 41
+
+
 def _last_row(bars: DataFrame, traded_on: str, columns: tuple[str, ...]) -> DataFrame:
-    return (
-        bars.where(positive(traded_on))
-        .groupBy(KEY)
-        .agg(F.max(ON).alias("_date"), *[F.max_by(c, ON).alias(c) for c in columns])
-        .select(KEY, F.col("_date").alias(ON), *columns)
+    """The latest qualifying bar per security; two bars on that day raise.
+
+    The largest and the smallest row mark of the latest day come from the same combined aggregate
+    as the values: with one bar they are the same.
+    """
+    mark = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(_TELL))
+    dated = bars.where(positive(traded_on)).withColumn("_mark", mark)
+    day = F.unix_date(ON).cast("long") * _TELL
+    latest = (
+        dated.groupBy(KEY)
+        .agg(F.max(ON).alias("_date"), *[F.max_by(c, ON).alias(c) for c in columns],
+             F.max(day + F.col("_mark")).alias("_high"), F.max(day + _TELL - 1 - F.col("_mark")).alias("_low"))
     )
+    several = F.pmod("_high", F.lit(_TELL)) + F.pmod("_low", F.lit(_TELL)) != _TELL - 1
+    repeated = F.raise_error(F.lit("more than one bar for a sec_id and Date"))
+    return latest.where(F.when(several, repeated).otherwise(True)).select(KEY, F.col("_date").alias(ON), *columns)
 
 
 def last_price(bars: DataFrame) -> DataFrame:

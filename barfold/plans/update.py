@@ -23,7 +23,7 @@ def update_all(store: Store, securities: DataFrame, bars: DataFrame,
     """Merge a security master and new bars into the tables of ``store``.
 
     Each security's bars count from its resume date: its last date before ``start``
-    with a volume change, or the beginning. Returns and last levels are merged in one
+    with a volume change, or all dates. Returns and last levels are merged in one
     step, then prices in a second one: ``'needed'`` builds the price rows that change,
     ``'all'`` those of every security and date. Missing tables are created; create
     them beforehand to choose another partitioning.
@@ -35,7 +35,7 @@ def update_all(store: Store, securities: DataFrame, bars: DataFrame,
 
     before = store.version()
     stocks = store.read("stocks")
-    resume = max_date(stocks, store.read("stock_return"), before=start)
+    resume = max_date(stocks, store.read("stock_return"), before=start, default=None)
     fetched = normalise_bars(select_bars(bars, resume, end), stocks)
     with store.staged(fetched) as fresh, store.staged(returns(fresh)) as changes:
         store.upsert({

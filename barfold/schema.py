@@ -21,6 +21,9 @@ LEVELS = ("open", "high", "low", "close", "volume", "adj_close")
 EARLIEST = date(1900, 1, 1)
 LATEST = date(9999, 1, 1)
 
+# The first date there is: a lower bound that cuts nothing.
+FIRST_DATE = "0001-01-01"
+
 KEY = "sec_id"
 ON = "Date"
 
@@ -68,6 +71,7 @@ def _doubles(names: Iterable[str]) -> list[tuple[str, T.DataType]]:
 
 _SERIES_KEY: list[tuple[str, T.DataType]] = [(KEY, T.LongType()), (ON, T.DateType())]
 
+# The table definitions.
 STOCKS = _table(
     "stocks",
     [(KEY, T.LongType())]

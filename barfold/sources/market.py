@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,9 +21,30 @@ def stack(frames: Sequence[DataFrame]) -> DataFrame:
 
 def _load(spark: SparkSession, paths: Sequence[str], source_format: str,
           schema: T.StructType, options: dict[str, str]) -> DataFrame:
-    if source_format == "csv":
-        options = {"header": "true"} | options
-    return spark.read.format(source_format).schema(schema).options(**options).load(list(paths))
+    """Columns of ``schema`` by name, whatever their order; a column the source lacks is null."""
+    if source_format != "csv":
+        return spark.read.format(source_format).schema(schema).options(**options).load(list(paths))
+    return stack([_load_csv(spark, path, schema, options) for path in paths])
+
+
+def _load_csv(spark: SparkSession, path: str, schema: T.StructType, options: dict[str, str]) -> DataFrame:
+    """One CSV source, by its header. A value that is not of its column's type raises, as does a
+    row or a further file that does not fit the header."""
+    named = {"header": "true", "mode": "FAILFAST", "enforceSchema": "false"} | options
+    text = spark.read.options(**named).csv(path)
+    if named["header"] != "true":
+        # Without a header there is only the position.
+        text = text.toDF(*[f.name for f in schema.fields][:len(text.columns)])
+
+    def typed(field: T.StructField) -> Column:
+        if field.name not in text.columns:
+            return F.lit(None).cast(field.dataType).alias(field.name)
+        value = F.col(field.name)
+        cast = value.try_cast(field.dataType)
+        wrong = F.raise_error(F.concat(F.lit(f"{field.name}: not a {field.dataType.simpleString()}: "), value))
+        return F.when(value.isNotNull() & cast.isNull(), wrong).otherwise(cast).alias(field.name)
+
+    return text.select(*map(typed, schema.fields))
 
 
 def read_bars(spark: SparkSession, paths: Sequence[str], source_format: str = "parquet",
@@ -32,8 +53,8 @@ def read_bars(spark: SparkSession, paths: Sequence[str], source_format: str = "p
     """Bars of all symbols: ``symbol, date, open, high, low, close, volume, adjusted``.
 
     ``resume`` (``id_yahoo, Date``, see :func:`barfold.operators.lookups.max_date`)
-    gives each symbol its own first date and drops symbols it does not list; ``end``
-    is the last date, included. NaN and infinities are read as null.
+    gives each symbol its own first date, null for all dates, and drops symbols it does not
+    list; ``end`` is the last date, included. CSV columns are found by their header. NaN and infinities are read as null.
     """
     return select_bars(_load(spark, paths, source_format, BAR_SCHEMA, options), resume, end)
 
@@ -45,7 +66,8 @@ def select_bars(bars: DataFrame, resume: DataFrame | None = None,
         bars = bars.where(F.col("date") <= F.lit(end))
     if resume is not None:
         starts = resume.select(F.col("id_yahoo").alias("symbol"), F.col(ON).alias("_start"))
-        bars = bars.join(starts, "symbol").where(F.col("date") >= F.col("_start")).drop("_start")
+        wanted = F.col("_start").isNull() | (F.col("date") >= F.col("_start"))
+        bars = bars.join(starts, "symbol").where(wanted).drop("_start")
     numbers = [f.name for f in bars.schema.fields if isinstance(f.dataType, T.DoubleType)]
     return bars.withColumns({c: finite(c) for c in numbers})
 

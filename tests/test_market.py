@@ -1,5 +1,7 @@
 """Changes, last levels and reconstruction against hand tables and brute force."""
 
+from datetime import date
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -112,3 +114,14 @@ def test_round_trip_is_exact_where_whole_days_are_missing(spark):
     assert len(out) == 120
     diffs = [r[f"{c}_diff"] for r in out for c in LEVELS if r[f"{c}_diff"] is not None]
     assert len(diffs) > 500 and max(abs(d) for d in diffs) < 1e-9
+
+
+@pytest.mark.parametrize("last", [op.last_price, op.last_volume])
+def test_two_bars_on_the_last_day_raise(spark, last):
+    columns = "sec_id long, Date date, open double, high double, low double, close double, volume double, adj_close double"
+    one = (1, date(1960, 1, 2), 1.0, 1.0, 1.0, 1.0, 5.0, 1.0)
+    older = (1, date(1960, 1, 1), 2.0, 2.0, 2.0, 2.0, 6.0, 2.0)
+    assert last(spark.createDataFrame([one, older, older], columns)).count() == 1
+    for other in (one, (1, date(1960, 1, 2), 3.0, 3.0, 3.0, 3.0, 7.0, 3.0)):
+        with pytest.raises(Exception, match="more than one bar"):
+            last(spark.createDataFrame([one, other, older], columns)).collect()

@@ -106,3 +106,30 @@ def test_registry():
 
 def test_checkpoint_folder_is_the_one_the_session_names(spark):
     assert spark.conf.get("spark.checkpoint.dir") in src.checkpoint_dir(spark)
+
+
+def _csv(folder, name, text):
+    path = folder / name
+    path.write_text(text)
+    return str(path)
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    one = _csv(tmp_path, "a.csv", "date,symbol,close,open\n2020-01-01,A,7.5,6\n")
+    two = _csv(tmp_path, "b.csv", "symbol,extra,volume,date\nB,x,,2020-01-02\n")
+    found = src.read_bars(spark, [one, two], "csv").orderBy("symbol").collect()
+    assert [(r["symbol"], str(r["date"]), r["open"], r["close"], r["volume"]) for r in found] == [
+        ("A", "2020-01-01", 6.0, 7.5, None), ("B", "2020-01-02", None, None, None)]
+
+
+@pytest.mark.parametrize("text", [
+    "symbol,date,open\nA,2020-01-01,oops\n", "symbol,date,open\nA,someday,1\n", "symbol,date,open\nA,2020-01-01\n"])
+def test_malformed_csv_raises(spark, tmp_path, text):
+    with pytest.raises(Exception, match="not a|MALFORMED|malformed"):
+        src.read_bars(spark, [_csv(tmp_path, "a.csv", text)], "csv").collect()
+
+
+def test_a_symbol_without_a_start_date_gets_all_dates(spark, tmp_path):
+    path = _csv(tmp_path, "a.csv", "symbol,date,open\nA,1850-01-01,1\nB,1850-01-01,1\nC,1850-01-01,1\n")
+    resume = spark.createDataFrame([("A", None), ("B", date(1900, 1, 1))], "id_yahoo string, Date date")
+    assert [r["symbol"] for r in src.read_bars(spark, [path], "csv", resume=resume).collect()] == ["A"]

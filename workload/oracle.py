@@ -236,8 +236,15 @@ SELECT {_SERIES} FROM stored WHERE sec_id NOT IN (
   SELECT sec_id FROM state WHERE last_stored < last_return AND drifted)
 UNION ALL
 SELECT {_SERIES} FROM history JOIN state USING (sec_id)
-WHERE coalesce(last_stored, DATE '1900-01-01') < last_return
-  AND (drifted OR "Date" > coalesce(last_stored, DATE '1900-01-01'))"""),
+WHERE last_stored IS NULL OR (last_stored < last_return AND (drifted OR "Date" > last_stored))"""),
+    "refresh_prices_small_drift": _with(["history"], f"""
+SELECT sec_id, "Date", {', '.join('round(volume * 1e7, 0) AS volume' if c == 'volume' else f'"{c}"' for c in LEVELS)}
+FROM history"""),
+    "read_bars_csv": _with(["quotes"], """
+SELECT * FROM quotes WHERE "date" <= DATE '2000-12-31'"""),
+    "read_securities_csv": _with(["stocks"], """
+SELECT sec_id, name, CASE WHEN sec_id NOT IN (SELECT s_suppkey FROM supplier) THEN ccy END AS ccy, exch_yahoo, id_yahoo
+FROM stocks"""),
     "securities_first": _with(["stocks"], "SELECT * FROM stocks"),
     "fetch_bars": _with(["stocks", "ret", "quotes"], """
 SELECT q.* FROM quotes q JOIN (""" + _resume("""r.volume <> 0 AND r."Date" < DATE '1998-01-01'""", "1900-01-01") + """) m
@@ -302,3 +309,7 @@ UNION ALL SELECT 'enum_p_type', id, value FROM ({_extended('enum_p_type', 'parts
 SELECT p_partkey, (SELECT min(id) FROM enum_p_brand e WHERE e.value = p.p_brand) AS p_brand,
   (SELECT min(id) FROM enum_p_type e WHERE e.value = p.p_type) AS p_type FROM parts p"""),
 }
+
+# The same series a hundred years earlier.
+ORACLE["refresh_prices_early"] = (
+    "SELECT * REPLACE (CAST(\"Date\" - INTERVAL 100 YEAR AS DATE) AS \"Date\") FROM (" + ORACLE["refresh_prices"] + ")")

@@ -134,6 +134,38 @@ def refresh_prices(t):
     return op.refresh_prices(make.stocks(t), changes, stored, prices, volumes)
 
 
+def _years_back(rows: DataFrame, years: int) -> DataFrame:
+    return rows.withColumn(ON, F.add_months(ON, -12 * years))
+
+
+@query
+def refresh_prices_early(t):
+    """The same a hundred years earlier, over a price table that is partly empty."""
+    b = _years_back(make.bars(t), 100)
+    changes, prices, volumes = (
+        src.materialise(table) for table in (op.returns(b), op.last_price(b), op.last_volume(b))
+    )
+    late = make.stored_prices(t, _years_back(op.reconstruct(changes, prices, volumes), -100))
+    stored = src.materialise(_years_back(late, 100))
+    return op.refresh_prices(make.stocks(t), changes, stored, prices, volumes)
+
+
+@query
+def refresh_prices_small_drift(t):
+    """Stored levels off by a millionth of a unit, with volumes near a billion."""
+    b = make.bars(t).withColumn("volume", F.col("volume") * 1e7)
+    changes, prices, volumes = (
+        src.materialise(table) for table in (op.returns(b), op.last_price(b), op.last_volume(b))
+    )
+    stored = src.materialise(
+        op.reconstruct(changes, prices, volumes)
+        .where(F.col(ON) <= F.lit(FIRST_RUN_END))
+        .withColumn("close", F.round(F.col("close") + F.when(F.pmod(KEY, F.lit(2)) == 0, 1e-6).otherwise(0.0), 6))
+    )
+    found = op.refresh_prices(make.stocks(t), changes, stored, prices, volumes)
+    return found.withColumn("volume", F.round("volume", 0))
+
+
 # Sources
 
 
@@ -148,6 +180,28 @@ def fetch_bars(t):
     return src.select_bars(make.quotes(t), resume, FETCH_END)
 
 
+def _csv(t, name: str, rows: DataFrame) -> str:
+    path = _scratch(rows.sparkSession, name)
+    rows.select(*sorted(rows.columns, reverse=True)).write.csv(path, header=True)
+    return path
+
+
+@query
+def read_bars_csv(t):
+    """Bars from CSV files whose columns stand in another order."""
+    path = _csv(t, "quotes", make.quotes(t))
+    return src.read_bars(make.quotes(t).sparkSession, [path], "csv", end=FETCH_END)
+
+
+@query
+def read_securities_csv(t):
+    """Two CSV sheets whose columns stand in another order, one of them lacking a column."""
+    rows = make.securities(t)
+    sheets = [rows.where(F.col("sheet_ord") == n).drop("sheet_ord", *more) for n, more in ((0, ["ccy"]), (1, []))]
+    paths = [_csv(t, "sheet", sheet) for sheet in sheets]
+    return src.read_securities(rows.sparkSession, paths)
+
+
 @query
 def normalise_bars(t):
     return src.normalise_bars(make.quotes(t), make.stocks(t))
