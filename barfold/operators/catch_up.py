@@ -97,7 +97,7 @@ def refresh_prices(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
 
 def price_changes(fresh: DataFrame, returns: DataFrame, prices: DataFrame, volumes: DataFrame,
                   old_returns: DataFrame, old_prices: DataFrame, old_volumes: DataFrame,
-                  tolerance: float = 1e-11) -> DataFrame:
+                  stored: DataFrame | None = None, tolerance: float = 1e-11) -> DataFrame:
     """The price rows a rebuild of everything would change after ``fresh`` was merged.
 
     ``fresh`` are the return rows of this run; the other tables are the return, last
@@ -107,22 +107,29 @@ def price_changes(fresh: DataFrame, returns: DataFrame, prices: DataFrame, volum
     of a security by one factor per column. Where every factor is 1, which is the
     normal day, only the rows after its last return date are built. A security is
     rebuilt as a whole if it is new, if a stored return was revised, if an anchor came or
-    went or moved back, if prices were not anchored on the last return, or if a
-    factor is not 1 within ``tolerance``.
+    went or moved back, if prices were not anchored on the last return, if a
+    factor is not 1 within ``tolerance``, or if its prices in ``stored``, the price table before this
+    run, do not end with its returns, as after a run that did not finish.
     """
     ends = old_returns.groupBy(KEY).agg(F.max(ON).alias("_end"))
+    if stored is not None:
+        priced = stored.groupBy(KEY).agg(F.max(ON).alias("_priced"))
+        ends = materialise(ends.join(priced, KEY, "left").select(
+            KEY, "_end", (~F.col("_priced").eqNullSafe(F.col("_end"))).alias("_behind")))
+    else:
+        ends = ends.withColumn("_behind", F.lit(False))
     dated = fresh.select(KEY, ON, *LEVELS).join(ends, KEY, "left")
     added = dated.where(F.col("_end").isNull() | (F.col(ON) > F.col("_end")))
 
     first = fresh.agg(F.min(ON)).scalar()
-    stored = old_returns.where(F.col(ON) >= first).select(
+    held_returns = old_returns.where(F.col(ON) >= first).select(
         *[F.col(c).alias(f"_was_{c}") for c in (KEY, ON, *LEVELS)]
     )
     unchanged = reduce(and_, [F.col(c) == F.col(f"_was_{c}") for c in (KEY, ON)]
                        + [F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in LEVELS])
     revised = (
         dated.where(F.col(ON) <= F.col("_end"))
-        .join(stored, unchanged, "left_anti")
+        .join(held_returns, unchanged, "left_anti")
         .select(KEY).distinct().withColumn("_revised", F.lit(True))
     )
     steps = added.groupBy(KEY).agg(
@@ -131,7 +138,8 @@ def price_changes(fresh: DataFrame, returns: DataFrame, prices: DataFrame, volum
 
     # The four anchors of each security this run touched, and whether their dates are rows.
     touched = fresh.select(KEY).unionByName(prices.subtract(old_prices).select(KEY))
-    touched = touched.unionByName(volumes.subtract(old_volumes).select(KEY)).distinct()
+    touched = touched.unionByName(volumes.subtract(old_volumes).select(KEY))
+    touched = touched.unionByName(ends.where("_behind").select(KEY)).distinct()
     named = {"price": prices, "old_price": old_prices, "volume": volumes, "old_volume": old_volumes}
     anchors = materialise(reduce(
         lambda rows, name: rows.join(
@@ -170,7 +178,7 @@ def price_changes(fresh: DataFrame, returns: DataFrame, prices: DataFrame, volum
     no_volume = date_of("volume").isNull() & date_of("old_volume").isNull()
     same_volume = (date_of("volume") >= date_of("old_volume")) & scaled(VOLUME, "volume")
     stands = F.coalesce(
-        F.col("_revised").isNull() & same_prices & (no_volume | same_volume), F.lit(False)
+        F.col("_revised").isNull() & ~F.col("_behind") & same_prices & (no_volume | same_volume), F.lit(False)
     )
     state = materialise(state.select(KEY, stands.alias("_stands")))
 

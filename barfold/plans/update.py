@@ -23,30 +23,29 @@ def update_all(store: Store, securities: DataFrame, bars: DataFrame,
     """Merge a security master and new bars into the tables of ``store``.
 
     Each security's bars count from its resume date: its last date before ``start``
-    with a volume change, or all dates. Returns and last levels are merged in one
-    step, then prices in a second one: ``'needed'`` builds the price rows that change,
-    ``'all'`` those of every security and date. Missing tables are created; create
+    with a volume change, or all dates. All tables change in one step or not at all.
+    ``'needed'`` builds the price rows that change, and those of securities whose stored prices do
+    not end where their returns do; ``'all'`` builds those of every security and date. Missing tables are created; create
     them beforehand to choose another partitioning.
     """
     if rebuild not in REBUILDS:
         raise ValueError(f"rebuild must be one of {REBUILDS}, not {rebuild!r}")
     store.create(*MARKET_TABLES)
-    store.upsert({"stocks": securities})
-
-    before = store.version()
-    stocks = store.read("stocks")
-    resume = max_date(stocks, store.read("stock_return"), before=start, default=None)
-    fetched = normalise_bars(select_bars(bars, resume, end), stocks)
-    with store.staged(fetched) as fresh, store.staged(returns(fresh)) as changes:
-        store.upsert({
-            "last_price": last_price(fresh),
-            "last_volume": last_volume(fresh),
-            "stock_return": changes,
-        })
-        tables = ("stock_return", "last_price", "last_volume")
-        current = [store.read(name) for name in tables]
-        if rebuild == "all":
-            rows = reconstruct(*current)
-        else:
-            rows = price_changes(changes, *current, *[store.read(name, before) for name in tables])
-        store.upsert({"stock_price": rows})
+    with store.change() as change:
+        change.upsert({"stocks": securities})
+        stocks, tables = change.read("stocks"), ("stock_return", "last_price", "last_volume")
+        before = [change.read(name) for name in tables]
+        resume = max_date(stocks, before[0], before=start, default=None)
+        fetched = normalise_bars(select_bars(bars, resume, end), stocks)
+        with store.staged(fetched) as fresh, store.staged(returns(fresh)) as changes:
+            change.upsert({
+                "last_price": last_price(fresh),
+                "last_volume": last_volume(fresh),
+                "stock_return": changes,
+            })
+            current = [change.read(name) for name in tables]
+            if rebuild == "all":
+                rows = reconstruct(*current)
+            else:
+                rows = price_changes(changes, *current, *before, stored=change.read("stock_price"))
+            change.upsert({"stock_price": rows})

@@ -36,6 +36,37 @@ class ConcurrentChange(RuntimeError):
     """Another writer published first; nothing of this change is visible."""
 
 
+class Change:
+    """Tables as they will be once a change is published; see :meth:`Store.change`."""
+
+    def __init__(self, store: Store, base: int) -> None:
+        self._store, self.base = store, base
+        self.manifest = store._manifest(base)
+
+    def read(self, name: str) -> DataFrame:
+        entry = self.manifest[name]
+        return self._store._rows(entry, list(entry["parts"]))
+
+    def upsert(self, sources: Mapping[str, DataFrame],
+               by: Mapping[str, list[str]] | None = None) -> None:
+        """Merge source rows into tables, as :meth:`Store.upsert` does, without publishing them."""
+        store = self._store
+
+        def merge(name: str) -> dict:
+            if name not in self.manifest:
+                raise KeyError(f"no table {name!r} in {store.root}")
+            entry = self.manifest[name]
+            spec = store._spec(name, entry)
+            delete_by = list((by or {}).get(name, spec.primary_key))
+            with store.staged(conform(sources[name], spec)) as staged:
+                return store._merged(entry, spec, staged, delete_by)
+
+        # The tables' jobs run side by side: small ones fill the gaps of large ones.
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            merged = dict(zip(sources, pool.map(inheritable_thread_target(store.spark)(merge), sources)))
+        self.manifest = self.manifest | merged
+
+
 class Store:
     """Keyed tables under one root directory."""
 
@@ -177,20 +208,18 @@ class Store:
         place of those with a matching primary key. Each source is written once to a
         staging directory, as it is read several times.
         """
-        base = self.version()
-        manifest = self._manifest(base)
+        with self.change() as change:
+            change.upsert(sources, by)
 
-        def merge(name: str) -> dict:
-            entry = self._entry(name, base)
-            spec = self._spec(name, entry)
-            delete_by = list((by or {}).get(name, spec.primary_key))
-            with self.staged(conform(sources[name], spec)) as staged:
-                return self._merged(entry, spec, staged, delete_by)
+    @contextmanager
+    def change(self) -> Iterator[Change]:
+        """Several merges, each seeing those before it, that become visible together at the end.
 
-        # The tables' jobs run side by side: small ones fill the gaps of large ones.
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            merged = dict(zip(sources, pool.map(inheritable_thread_target(self.spark)(merge), sources)))
-        self._switch(base, manifest | merged)
+        If the block raises, nothing does.
+        """
+        change = Change(self, self.version())
+        yield change
+        self._switch(change.base, change.manifest)
 
     @contextmanager
     def staged(self, rows: DataFrame) -> Iterator[DataFrame]:

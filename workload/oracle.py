@@ -225,6 +225,7 @@ SELECT sec_id, "Date", level AS volume, volume AS volume_chg FROM volume_chg""")
     "return_table_in_spans": _with(["ret"], f"SELECT {_SERIES} FROM ret"),
     "price_history_in_spans": _with(["history"], f"SELECT {_SERIES} FROM history"),
     "update_all_prices": _with(["history"], f"SELECT {_SERIES} FROM history"),
+    "update_all_interrupted": _with(["history"], f"SELECT {_SERIES} FROM history"),
     "roundtrip_diff": _with(["unrounded", "bars"], f"""
 SELECT sec_id, "Date", {', '.join(f'"{c}"' for c in LEVELS)},
   {', '.join(f'round("{c}" - "{c}_built", 6) + 0.0::DOUBLE AS "{c}_diff"' for c in LEVELS)}

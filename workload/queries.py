@@ -15,7 +15,7 @@ from barfold import operators as op
 from barfold import sources as src
 from barfold.functions import lag_cum_chg, lag_cum_chg_na, pct_chg
 from barfold.plans import update_all
-from barfold.schema import KEY, LEVELS, ON, TableSpec
+from barfold.schema import KEY, LEVELS, MARKET_TABLES, ON, TableSpec
 from barfold.sources.store import Store
 from workload import standins as make
 
@@ -366,6 +366,21 @@ def update_all_prices(t):
     return store.read("stock_price")
 
 
+@query
+def update_all_interrupted(t):
+    """Returns and last levels of a first run without their prices, then two runs."""
+    quotes = src.materialise(make.quotes(t))
+    spark, stocks = quotes.sparkSession, make.stocks(t)
+    store = Store(spark, _scratch(spark, "market"))
+    store.create(*MARKET_TABLES)
+    fetched = src.materialise(src.normalise_bars(src.select_bars(quotes, end=RESUME_BEFORE), stocks))
+    store.upsert({"stocks": stocks, "last_price": op.last_price(fetched),
+                  "last_volume": op.last_volume(fetched), "stock_return": op.returns(fetched)})
+    update_all(store, stocks, quotes, start=RESUME_BEFORE, end=FIRST_RUN_END)
+    update_all(store, stocks, quotes, start=FIRST_RUN_END)
+    return store.read("stock_price")
+
+
 # Dictionaries
 
 
