@@ -32,8 +32,3 @@ def position(ordinal: Column | str, data_type: T.DataType) -> Column | None:
         clock = F.hour(ordinal) * 3600 + F.minute(ordinal) * 60 + F.second(ordinal)
         return F.unix_date(ordinal.cast("date")).cast("long") * 86_400 + clock
     return None
-
-
-def span(place: Column, width: Column) -> Column:
-    """Number of the ``width``-wide span an integer position falls into."""
-    return F.floor(place / width).cast("long")

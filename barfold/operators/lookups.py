@@ -70,42 +70,58 @@ def last_date(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
     )
 
 
+# Bounds of a range condition: the parameter columns of its lower and upper end, None for no end.
+Ends = tuple[str | None, str | None]
+
+
 def param_query(table: DataFrame, params: DataFrame | None,
                 equal: Mapping[str, str] | None = None,
-                between: Mapping[str, tuple[str, str]] | None = None,
-                pieces: int = 1024) -> DataFrame:
+                between: Mapping[str, Ends] | None = None,
+                within: Mapping[str, Ends] | None = None,
+                agg: Mapping[str, Column] | None = None,
+                pieces: int = 64) -> DataFrame:
     """The rows of ``table`` that match each parameter row, with all its parameters.
 
-    ``equal`` maps table columns to parameter columns, ``between`` maps table columns
-    to a pair of parameter columns, both bounds included. A table row comes back once
-    per matching parameter row; without parameters the table is returned as it is.
-
-    Every condition set becomes an equi-join. Where there are only ranges, the extent
-    of the first one's column is cut into ``pieces``; a parameter row stands for the
-    pieces its range meets, and each table row falls into exactly one piece, so no
-    pair is met twice. That takes a number, date or time.
+    ``equal`` maps table columns to parameter columns. ``between`` maps table columns to a pair
+    of parameter columns with both bounds included, ``within`` with both left out; None
+    in place of a column leaves that side open. A table row comes back once per matching
+    parameter row; without parameters the table is returned as it is. ``agg`` names aggregates of
+    table columns that skip nulls: then there is one row per different parameter row, also where
+    nothing matches, since each takes part with one more table row of nulls.
+
+    Every condition set becomes an equi-join. Where there are only ranges, the first one's column
+    is cut into ``pieces`` at its quantiles, so pieces hold about as many rows each; a parameter row
+    stands for the pieces its range meets, and each table row falls into exactly one
+    piece, so no pair is met twice. That takes a number, date or time.
     """
     if params is None:
         return table
-    equal, between = dict(equal or {}), dict(between or {})
-    if not equal and not between:
-        raise ValueError("param_query needs a condition in equal or between")
+    equal, between, within = dict(equal or {}), dict(between or {}), dict(within or {})
+    if not equal and not between and not within:
+        raise ValueError("param_query needs a condition in equal, between or within")
     clash = set(table.columns) & set(params.columns)
     if clash:
         raise ValueError(f"parameter columns {sorted(clash)} also name table columns")
 
     left, right = table, params
     keys = [F.col(c) == F.col(p) for c, p in equal.items()]
-    ranges = [F.col(c).between(F.col(lo), F.col(hi)) for c, (lo, hi) in between.items()]
+    ranges = [F.col(c) >= F.col(lo) for c, (lo, _) in between.items() if lo]
+    ranges += [F.col(c) <= F.col(hi) for c, (_, hi) in between.items() if hi]
+    ranges += [F.col(c) > F.col(lo) for c, (lo, _) in within.items() if lo]
+    ranges += [F.col(c) < F.col(hi) for c, (_, hi) in within.items() if hi]
     if not equal:
-        column, (lo, hi) = next(iter(between.items()))
+        column, (lo, hi) = next(iter((between | within).items()))
         left, right = _in_pieces(table, params, column, lo, hi, pieces)
         keys = [F.col("_piece") == F.col("_match")]
-    condition = reduce(and_, keys + ranges)
-    return right.join(left, condition).select(*params.columns, *table.columns)
+    found = right.join(left, reduce(and_, keys + ranges)).select(*params.columns, *table.columns)
+    if agg is None:
+        return found
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields]
+    rows = found.unionByName(params.distinct().select(*params.columns, *nulls)).groupBy(*params.columns)
+    return rows.agg(*[value.alias(name) for name, value in agg.items()])
 
 
-def _in_pieces(table: DataFrame, params: DataFrame, column: str, lo: str, hi: str,
+def _in_pieces(table: DataFrame, params: DataFrame, column: str, lo: str | None, hi: str | None,
                pieces: int) -> tuple[DataFrame, DataFrame]:
     """``table`` with its ``_piece``, and ``params`` once per piece to ``_match``."""
     data_type = table.schema[column].dataType
@@ -119,19 +135,22 @@ def _in_pieces(table: DataFrame, params: DataFrame, column: str, lo: str, hi: st
             raise TypeError(f"{column}: a range alone needs a number, date or time")
         return found
 
-    extent = table.agg(F.min(place(F.col(column))).alias("first"),
-                       F.max(place(F.col(column))).alias("last"))
-    first, last = extent.select("first").scalar(), extent.select("last").scalar()
-    width = (last - first) / F.lit(float(pieces))
+    shares = [n / pieces for n in range(1, pieces)] or [0.5]
+    cuts = table.agg(F.percentile_approx(place(F.col(column)), shares).alias("cuts")).first()["cuts"]
+    bounds = sorted(set(cuts or []))
 
     def piece(at: Column) -> Column:
-        return F.when(width > 0, F.floor((at - first) / width)).otherwise(0).cast("int")
-
+        """The number of bounds that are not above."""
+        if not bounds:
+            return F.lit(0)
+        return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= at))
+
+    ends = [F.lit(0) if lo is None else piece(place(F.col(lo))),
+            F.lit(len(bounds)) if hi is None else piece(place(F.col(hi)))]
+    present = reduce(and_, [F.col(c).isNotNull() for c in (lo, hi) if c], F.lit(True))
     asked = (
-        params.where(F.col(lo).isNotNull() & F.col(hi).isNotNull())
-        .withColumns({"_from": F.greatest(place(F.col(lo)), first),
-                      "_to": F.least(place(F.col(hi)), last)})
+        params.where(present).withColumns({"_from": ends[0], "_to": ends[1]})
         .where(F.col("_from") <= F.col("_to"))
-        .withColumn("_match", F.explode(F.sequence(piece(F.col("_from")), piece(F.col("_to")))))
+        .withColumn("_match", F.explode(F.sequence("_from", "_to")))
     )
-    return table.withColumn("_piece", piece(place(F.col(column)))), asked
+    return table.where(F.col(column).isNotNull()).withColumn("_piece", piece(place(F.col(column)))), asked

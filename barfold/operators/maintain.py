@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.functions.spans import position, span
 from barfold.sources.scratch import materialise
 from barfold.sources.staging import conform
 
@@ -109,32 +108,17 @@ def _same(column: T.StructField) -> Column:
     return here.eqNullSafe(previous)
 
 
-def _long_keys(rows: DataFrame, keys: Sequence[str], place: Column, limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows, with the ``_width`` of position that holds about
-    ``limit`` of them. At most one row per ``limit`` rows of the table."""
-    extent = F.max(place) - F.min(place) + 1
-    return materialise(
-        rows.groupBy(*keys).agg(F.count("*").alias("_n"), extent.alias("_extent"))
-        .where(F.col("_n") > limit)
-        .select(*keys, F.greatest(F.lit(1), F.floor(F.col("_extent") * F.lit(float(limit))
-                                                    / F.col("_n"))).alias("_width"))
-    )
-
-
 def _in_spans(rows: DataFrame, ordinal: str, keys: Sequence[str], limit: int) -> DataFrame:
     """``rows`` with the number of their ``_span``, null for keys of up to ``limit`` rows.
 
-    Within a key spans follow each other in the order of the ordinal. Integers, dates
-    and times are cut by arithmetic. Other types have to be range partitioned, and
-    written, so that every later step sees the same ranges.
+    Longer keys are range partitioned by key and ordinal, so spans hold about as many rows each
+    however the ordinals lie, and follow each other in the order of the ordinal. They are written
+    once, so that every later step sees the same ranges.
     """
-    place = position(ordinal, rows.schema[ordinal].dataType)
-    long_keys = _long_keys(rows, keys, F.lit(0) if place is None else place, limit)
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
+    long_keys = materialise(counted.select(*keys))
     if long_keys.isEmpty():
         return rows.withColumn("_span", F.lit(None).cast("long"))
-    if place is not None:
-        wide = rows.join(long_keys, list(keys), "left")
-        return wide.withColumn("_span", span(place, F.col("_width"))).drop("_width")
     ranged = materialise(
         rows.join(long_keys, list(keys), "left_semi")
         .repartitionByRange(*keys, ordinal)

@@ -279,6 +279,13 @@ LEFT JOIN (SELECT sec_id, max("Date") AS priced, arg_max("close", "Date") AS clo
     "param_query": _with(["bars", "date_ranges"], """
 SELECT p.param_no, b.sec_id, b."Date", b."close", b.volume
 FROM date_ranges p JOIN bars b ON b."Date" BETWEEN p.lo AND p.hi"""),
+    "param_query_outlier": _with(["bars", "date_ranges"], f"""
+SELECT p.param_no, b.sec_id, b."Date", b."close", b.volume FROM date_ranges p JOIN (
+  SELECT sec_id, "Date", "close", volume FROM bars
+  UNION ALL SELECT min(sec_id), DATE '9000-01-01', 1.0, 1.0 FROM bars) b ON b."Date" BETWEEN p.lo AND p.hi"""),
+    "param_query_before": _with(["bars", "date_ranges"], """
+SELECT param_no, lo, max("Date") AS latest, count(sec_id) AS n_bars
+FROM date_ranges LEFT JOIN (SELECT sec_id, "Date" FROM bars WHERE volume > 0) ON "Date" < lo GROUP BY ALL"""),
     "param_query_by_security": _with(["bars", "security_ranges"], """
 SELECT p.param_no, b.sec_id, b."Date", b."close", b.volume
 FROM security_ranges p JOIN bars b ON b.sec_id = p.wanted AND b."Date" BETWEEN p.lo AND p.hi"""),
@@ -295,6 +302,11 @@ FROM security_ranges p JOIN bars b ON b.sec_id = p.wanted AND b."Date" BETWEEN p
                              _insert_absent(_kept("latest", "o_date", "o_custkey"), "latest")),
     "drop_unchanged": _UNCHANGED.format(columns="user_id, event_id, event_type", table="events",
                                         key="user_id", check="event_type", ordinal="event_id"),
+    "drop_unchanged_uneven": _UNCHANGED.format(
+        columns="user_id, event_id, event_type", key="user_id", check="event_type", ordinal="event_id",
+        table="""(SELECT user_id % 3 AS user_id, event_type, CASE
+    WHEN event_id % 997 = 0 THEN event_id - 9223372036854775807
+    WHEN event_id % 991 = 0 THEN 9223372036854775807 - event_id ELSE event_id END AS event_id FROM events)"""),
     "drop_unchanged_status": _UNCHANGED.format(
         columns="o_custkey, o_orderkey, o_orderstatus, o_orderpriority", table="orders",
         key="o_custkey", check="o_orderstatus", ordinal="o_orderkey"),

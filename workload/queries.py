@@ -281,6 +281,27 @@ def param_query_by_security(t):
     return found.select("param_no", KEY, ON, "close", "volume")
 
 
+def _with_outlier(rows: DataFrame) -> DataFrame:
+    """Bars and one far from all others."""
+    far = F.to_date(F.lit("9000-01-01"))
+    return rows.unionByName(rows.agg(F.min(KEY).alias(KEY), *[
+        F.lit(1.0).alias(c) for c in LEVELS]).withColumn(ON, far))
+
+
+@query
+def param_query_outlier(t):
+    found = op.param_query(_with_outlier(make.bars(t)), make.date_ranges(t), between={ON: ("lo", "hi")})
+    return found.select("param_no", KEY, ON, "close", "volume")
+
+
+@query
+def param_query_before(t):
+    """The latest date with volume strictly before each range begins, one row per range."""
+    traded = make.bars(t).where("volume > 0")
+    return op.param_query(traded, make.date_ranges(t).select("param_no", "lo"), within={ON: (None, "lo")},
+                          agg={"latest": F.max(ON), "n_bars": F.count(KEY)})
+
+
 # Keyed maintenance
 
 
@@ -324,6 +345,16 @@ def drop_unchanged(t):
                              "event_id", ["user_id"])
 
 
+@query
+def drop_unchanged_uneven(t):
+    """Ordinals from one end of the integers to the other, most of them close together, in cut keys."""
+    most = 9223372036854775807
+    place = (F.when(F.col("event_id") % 997 == 0, F.col("event_id") - most)
+             .when(F.col("event_id") % 991 == 0, most - F.col("event_id")).otherwise(F.col("event_id")))
+    rows = t("events").select((F.col("user_id") % 3).alias("user_id"), place.alias("event_id"), "event_type")
+    return op.drop_unchanged(rows, "event_id", ["user_id"], rows_per_span=100)
+
+
 @query
 def drop_unchanged_status(t):
     """A customer's orders whose status differs from that of the order before."""
