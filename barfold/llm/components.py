@@ -30,6 +30,12 @@ def components(links: DataFrame) -> DataFrame:
         roots.withColumn("component", F.col("node")))
 
 
+def small(frame: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A narrow table for a join: stored, and broadcast if it is found to have at most ``rows`` rows."""
+    stored = materialise(frame)
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def _print(links: DataFrame) -> tuple:
     """Number of links and a sum that tells one set of links from another."""
     row = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.max("u"), F.max("v")).first()

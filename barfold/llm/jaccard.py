@@ -8,8 +8,8 @@ of bytes other than ASCII white space; with fewer words, the whole sequence is o
 2. Sets that link share a shingle among their first ``n - ceil(percent * n / 100) + 1`` in any one order of all
    shingles, so classes meet under those shingles only. The order puts shingles that are frequent in a
    bounded sample last; the sample decides no result, only how large the groups are. Shingles with
-   equal lists of classes are one group. Groups of more than ``WIDE`` classes are dealt out by size band.
-3. In each group a signature tree is built: leaves are classes, with a token bitmap and a size, nodes hold the
+   equal lists of classes are one group, and a class stays in it only if another has a near enough size. Groups of more than ``WIDE`` classes are dealt out by size band.
+3. In each group a signature tree is built for every two neighbouring size bands: leaves are classes, with a token bitmap and a size, nodes hold the
    OR of their bitmaps and the range of sizes. A dual traversal from the root prunes node pairs whose
    maximum possible overlap (common bits, and tokens that share a bit) is too small. Pairs that
    remain join classes to clusters; a pair inside one cluster adds nothing and is skipped, so what comes out
@@ -30,10 +30,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barfold.llm.components import components
+from barfold.llm.components import components, small
 from barfold.llm.texts import byte_classes, hashes, lowered, mix, runs, shingled, slices
 from barfold.sources.scratch import materialise
 
@@ -45,6 +45,7 @@ WIDE = 4096
 PART = 2048
 FAN = 8
 LEAST_BITS = 64
+PLACES = 4
 
 
 @dataclass(frozen=True)
@@ -79,8 +80,8 @@ def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 
 def _bitmap(tokens: np.ndarray) -> np.ndarray:
-    """Bits of tokens, at least two places for each, as 64-bit words."""
-    size = max(LEAST_BITS, 1 << int(2 * len(tokens) - 1).bit_length())
+    """Bits of tokens, at least ``PLACES`` for each, as 64-bit words."""
+    size = max(LEAST_BITS, 1 << int(PLACES * len(tokens) - 1).bit_length())
     bits = np.zeros(size, np.uint8)
     bits[(tokens >> np.uint64(20)) & np.uint64(size - 1)] = 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
@@ -223,7 +224,7 @@ class SignatureTree:
                 waiting.append((level - 1, x[k : k + chunk], y[k : k + chunk]))
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 1 << 62) -> Iterator[list[dict]]:
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[dict]]:
     """Rows of one key after another, from batches sorted by the keys."""
     now, rows = None, []
     for batch in batches:
@@ -238,6 +239,18 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 1 <
         yield rows
 
 
+def _bands(group: list[dict], rule: Rule) -> Iterator[list[dict]]:
+    """Members of each size band with those of the next, so that a tree's bitmaps are of like width."""
+    sizes = np.array([r["n"] for r in group])
+    band = sizes if rule.percent == 100 else np.floor(np.log(sizes) / -np.log(rule.percent / 100)).astype(np.int64)
+    present = set(band.tolist())
+    for low in sorted(present):
+        if low + 1 in present or low - 1 not in present:
+            some = np.flatnonzero((band == low) | (band == low + 1))
+            if len(some) > 1:
+                yield [group[n] for n in some]
+
+
 def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*pairs, strict=True) if pairs else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -245,7 +258,7 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _candidates(classes: DataFrame, rule: Rule) -> DataFrame:
     """``a``, ``b``: classes that may link, a forest of each group's."""
-    rows = classes.select("doc_id", F.explode("prefix").alias("token")).repartition("token")
+    rows = classes.select("doc_id", "n", F.explode("prefix").alias("token")).repartition("token")
     lists = (
         rows.groupBy("token").agg(
             F.count("*").alias("held"), F.bit_xor(F.xxhash64("doc_id")).alias("one"),
@@ -254,13 +267,17 @@ def _candidates(classes: DataFrame, rule: Rule) -> DataFrame:
         .groupBy("held", "one", "two").agg(F.min("token").alias("token"))
         .select("token", "held")
     )
+    # A class without another of a near enough size in its group meets nobody there.
+    by_size = Window.partitionBy("token").orderBy("n")
+    near = (100 * F.col("n") >= rule.percent * F.lead("n").over(by_size)) | (
+        100 * F.lag("n").over(by_size) >= rule.percent * F.col("n"))
+    picked = rows.join(lists, "token").withColumn("near", near).where("near").drop("near", "n")
     band = F.floor(F.log(F.col("n").cast("double")) / -np.log(rule.percent / 100)).cast("int") if rule.percent < 100 \
         else F.col("n").cast("int")
     # Sizes of a link are in one band or in neighbouring ones.
     bands = F.when(F.col("held") > WIDE, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))
     members = (
-        rows.join(lists, "token")
-        .join(classes.select("doc_id", "n", "bits", F.element_at("prefix", 1).alias("lead")), "doc_id")
+        picked.join(classes.select("doc_id", "n", "bits", F.element_at("prefix", 1).alias("lead")), "doc_id")
         .withColumn("band", F.explode(bands))
         .repartition("token", "band").sortWithinPartitions("token", "band", "lead", "n", "doc_id")
     )
@@ -270,10 +287,11 @@ def _candidates(classes: DataFrame, rule: Rule) -> DataFrame:
         for group in _grouped(batches, ["token", "band"]):
             if len(group) < 2:
                 continue
-            tree = SignatureTree([np.frombuffer(r["bits"], np.uint64) for r in group],
-                                 np.array([r["n"] for r in group]))
-            ids = [r["doc_id"] for r in group]
-            held.update((min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in tree.joined(rule.percent))
+            for some in _bands(group, rule):
+                tree = SignatureTree([np.frombuffer(r["bits"], np.uint64) for r in some],
+                                     np.array([r["n"] for r in some]))
+                ids = [r["doc_id"] for r in some]
+                held.update((min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in tree.joined(rule.percent))
             if len(held) > 1 << 16:
                 yield _edges(sorted(held))
                 held.clear()
@@ -294,7 +312,7 @@ def _verified(documents: DataFrame, clusters: DataFrame, rule: Rule) -> DataFram
                 F.greatest("mine", "other").alias("two"))
     )
     texts = (
-        documents.join(dealt, "doc_id").repartition("component", "one", "two")
+        documents.join(small(dealt), "doc_id").repartition("component", "one", "two")
         .sortWithinPartitions("component", "one", "two", "doc_id")
     )
 
@@ -341,10 +359,10 @@ def join(documents: DataFrame, rule: Rule, *, key: str = "doc_id", text: str = "
     named = found.where("n > 0 and doc_id is not null")
     classes = named.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("first"))
     keys = ["key_a", "key_b"]
-    shown = materialise(
-        named.join(classes.withColumnRenamed("first", "doc_id"), [*keys, "doc_id"])
-        .select("doc_id", "n", "bits", "prefix", *keys).dropDuplicates(["doc_id", *keys]))
-    maybe = components(_candidates(shown.drop(*keys), rule))
+    copies = (
+        named.select("doc_id", *keys).join(classes, keys).where("doc_id <> first").select("doc_id", *keys).distinct())
+    shown = named.join(small(copies), ["doc_id", *keys], "left_anti").select("doc_id", "n", "bits", "prefix")
+    maybe = components(_candidates(shown, rule))
     links = _verified(plain, maybe, rule)
     # Rows that repeat a number are one document: their classes are linked by it.
     several = named.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1").select("doc_id")
