@@ -107,3 +107,17 @@ def test_no_match_and_no_parameters(spark, returns):
         op.param_query(returns, none)
     with pytest.raises(ValueError, match="also name"):
         op.param_query(returns, returns, equal={"sec_id": "sec_id"})
+
+
+def test_strict_and_open_bounds_with_aggregates(spark):
+    table = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 3.0), (None, 4.0)], "at long, x double")
+    params = spark.createDataFrame([("a", 1, 3), ("b", 3, 3), ("c", None, 9)], "p string, lo long, hi long")
+
+    def found(**how):
+        rows = op.param_query(table, params, agg={"n": F.count("x"), "top": F.max("x")}, **how).collect()
+        return {r["p"]: (r["n"], r["top"]) for r in rows}
+
+    assert found(within={"at": ("lo", "hi")}) == {"a": (1, 2.0), "b": (0, None), "c": (0, None)}
+    assert found(between={"at": ("lo", "hi")}) == {"a": (3, 3.0), "b": (1, 3.0), "c": (0, None)}
+    assert found(within={"at": (None, "hi")}) == {"a": (2, 2.0), "b": (2, 2.0), "c": (3, 3.0)}
+    assert found(between={"at": ("lo", None)}) == {"a": (3, 3.0), "b": (1, 3.0), "c": (0, None)}

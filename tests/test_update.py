@@ -145,3 +145,34 @@ def test_an_ordinary_day_builds_only_its_own_rows(spark):
     new = [materialise(op.upsert(o, f, k)) for o, f, k in zip(old, fresh, keys)]
     rows = op.price_changes(fresh[0], *new, *old)
     assert sorted(em.keyed(rows)) == [(s, 19) for s in (1, 2, 3)]
+
+
+def test_an_update_that_stops_half_way_changes_nothing_and_the_next_one_heals(spark, tmp_path, monkeypatch):
+    from barfold.plans import update
+
+    store, first = Store(spark, str(tmp_path / "store")), em.DAY0 + timedelta(days=12)
+    update_all(store, master(spark), quotes(spark, BARS), end=first)
+    version, rows = store.version(), store.read("stock_return").count()
+
+    def stop(*_, **__):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(update, "price_changes", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            update_all(store, master(spark), quotes(spark, BARS), start=first)
+    assert (store.version(), store.read("stock_return").count()) == (version, rows)
+
+    update_all(store, master(spark), quotes(spark, BARS), start=first)
+    history = em.keyed(op.price_history(em.frame(spark, BARS)))
+    em.assert_same(em.keyed(store.read("stock_price")), history)
+
+
+def test_prices_that_end_before_their_returns_are_rebuilt(spark, tmp_path):
+    store, first = Store(spark, str(tmp_path / "store")), em.DAY0 + timedelta(days=12)
+    update_all(store, master(spark), quotes(spark, BARS), end=first)
+    behind = materialise(store.read("stock_price").where(F.col(ON) < F.lit(first - timedelta(days=3))))
+    store.publish({"stock_price": behind})
+    update_all(store, master(spark), quotes(spark, BARS).limit(0), start=first)
+    df = em.frame(spark, BARS).where(F.col(ON) <= F.lit(first))
+    em.assert_same(em.keyed(store.read("stock_price")), em.keyed(op.price_history(df)))
