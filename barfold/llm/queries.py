@@ -55,7 +55,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir, toxicity, "toxic", remainder(5) == 0, per_class=8000)
+    return _classified(spark, sf_dir, toxicity, "toxic", remainder(5) == 0, per_class=5000)
 
 
 @query

@@ -74,22 +74,28 @@ def _clean_log(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def _learn(word, sentence, document, label, *, epochs, rate, decay, min_docs, floor, prior) -> tuple[np.ndarray, float]:
-    """Full-batch Adam on the noisy-or's log loss, over features that ``min_docs`` documents hold.
-
-    ``floor`` keeps the step of a rare feature small, ``decay`` draws it to its starting value.
+def _counts(words: list[np.ndarray], label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents, and toxic documents, that hold each feature."""
+    held, toxic = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
+    for own, is_toxic in zip(words, label.tolist(), strict=True):
+        seen = np.unique(own)
+        held[seen] += 1
+        toxic[seen] += is_toxic
+    return held, toxic
+
+
+def _learn(word, sentence, document, label, held, toxic, *, epochs, rate, decay, floor, prior) -> tuple[np.ndarray, float]:
+    """Full-batch Adam on the noisy-or's log loss.
+
+    ``floor`` keeps the step of a rare feature small, ``decay`` draws it to its starting value: log odds
+    of documents, shrunk to the share of toxic ones, so that features many documents agree
+    on explain them before rare ones do.
     """
     n_docs, n_sentences = len(label), len(document)
-    in_docs = np.unique((document[sentence].astype(np.int64) << 18) | word)
-    place, toxic_doc = in_docs & (DIMENSIONS - 1), label[in_docs >> 18] == 1
-    held = np.bincount(place, minlength=DIMENSIONS)
-    word, sentence = word[held[word] >= min_docs], sentence[held[word] >= min_docs]
-    # Start from log odds of documents, shrunk to the share of toxic ones, so that words many
-    # documents agree on explain them before rare ones do.
     usual = label.mean()
-    odds = (np.bincount(place, weights=toxic_doc, minlength=DIMENSIONS) + prior * usual) / (held + prior)
+    odds = (toxic + prior * usual) / (held + prior)
     state = np.zeros(DIMENSIONS + 1)
-    state[:-1] = np.where(held >= min_docs, np.log(odds / (1 - odds)) - np.log(usual / (1 - usual)), 0)
+    state[:-1] = np.log(odds / (1 - odds)) - np.log(usual / (1 - usual))
     start = state.copy()
     # Sentences start clean enough for a document of average length to be so.
     state[-1] = np.log(0.1 / max(1.0, n_sentences / max(1, n_docs)))
@@ -148,17 +154,20 @@ def fit(
         label = rows["label"].to_numpy()
         if not {0, 1} <= set(label.tolist()):
             return None
+        words = [np.frombuffer(w, np.int32) for w in rows["words"]]
+        held, toxic = _counts(words, label)
+        # Rare features are left out before anything is put together.
+        held[held < min_docs] = toxic[held < min_docs] = 0
         word, sentence, document, at = [], [], [], 0
-        for n, (words, sentences) in enumerate(zip(rows["words"], rows["sentences"], strict=True)):
-            mine = np.frombuffer(sentences, np.int32)
+        for n, (own, sentences) in enumerate(zip(words, rows["sentences"], strict=True)):
+            mine, known = np.frombuffer(sentences, np.int32), held[own] > 0
             count = int(mine[-1]) + 1 if len(mine) else 0
-            word.append(np.frombuffer(words, np.int32))
-            sentence.append(mine.astype(np.int64) + at)
-            document.append(np.full(count, n))
+            word.append(own[known])
+            sentence.append(mine[known] + np.int32(at))
+            document.append(np.full(count, n, np.int32))
             at += count
-        return _learn(np.concatenate(word).astype(np.int64), np.concatenate(sentence),
-                      np.concatenate(document), label, epochs=epochs, rate=rate, decay=decay,
-                      min_docs=min_docs, floor=floor, prior=prior)
+        return _learn(np.concatenate(word), np.concatenate(sentence), np.concatenate(document), label, held, toxic,
+                      epochs=epochs, rate=rate, decay=decay, floor=floor, prior=prior)
 
     def group(frames):
         import pandas as pd
