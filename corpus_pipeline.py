@@ -38,7 +38,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that score as toxic, by a model of the labelled ones."""
-    model = toxicity.fit(labelled.sample(docs, table(spark, sf_dir, "labels"), "toxic", F.lit(True), 8000))
+    model = toxicity.fit(labelled.sample(docs, table(spark, sf_dir, "labels"), "toxic", F.lit(True), 5000))
     score = spare(docs, "score")
     return toxicity.score(docs, model, to=score).where(F.col(score) < TOXIC).select(*_columns(docs))
 
