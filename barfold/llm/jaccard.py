@@ -38,9 +38,9 @@ from barfold.llm.texts import byte_classes, hashes, lowered, mix, runs, shingled
 from barfold.sources.scratch import materialise
 
 WORD = byte_classes(word=set(range(256)) - {0x20, *range(0x09, 0x0E)})
-SAMPLE_DOCS = 4000
+SAMPLE_DOCS = 20_000
 SAMPLE_TIMES = 3
-HOT = 100_000
+HOT = 200_000
 WIDE = 4096
 PART = 2048
 FAN = 8
