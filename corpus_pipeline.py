@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barfold.llm import bpe, jaccard, labelled, language, mixing, toxicity
 from barfold.llm.queries import BLOCK_ROWS, REST_WEIGHT, WEIGHTS, table
 from barfold.llm.texts import quoted, spare
-from barfold.sources.scratch import materialise
+from barfold.sources.scratch import in_stored_order, materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -70,9 +70,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
+    """Token ids of every document, in the order in which the mixture is stored."""
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), tokenizer)
+    encoded = bpe.encode(in_stored_order(docs).select("doc_id", "lang", "source", "text"), tokenizer)
     return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

@@ -9,8 +9,9 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from barfold.llm import jaccard
-from barfold.llm.queries import ORACLE, QUERIES
+from barfold.llm import jaccard, mixing
+from barfold.llm.queries import BLOCK_ROWS, ORACLE, QUERIES, REST_WEIGHT, WEIGHTS
+from barfold.sources.scratch import in_stored_order
 from tests.conftest import SMALL
 from tests.llm.test_groups import joined
 from tests.test_oracle import TABLES, ordered
@@ -89,6 +90,27 @@ def test_mixture_keeps_all_rows(stored):
     assert sorted(map(str, before.collect())) == sorted(map(str, after.collect()))
 
 
+def test_mixture_order_outlives_several_files(spark, folder, tmp_path, monkeypatch):
+    docs = spark.createDataFrame(
+        [(n, "word " * (1 + n * 7919 % 400), "en", f"src{n % 7}") for n in range(700)],
+        "doc_id long, text string, lang string, source string")
+    mixed = mixing.mix(docs, WEIGHTS, rest=REST_WEIGHT, block_rows=BLOCK_ROWS)
+    expected = [r["doc_id"] for r in mixed.orderBy("position").collect()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        read = docs
+        for name in ("mix_sources", "encode"):
+            STAGES[name](spark, read, folder).write.parquet(str(tmp_path / name))
+            read = spark.read.parquet(str(tmp_path / name))
+            assert len(list((tmp_path / name).glob("part-*"))) > 4
+            assert [r["doc_id"] for r in in_stored_order(read).collect()] == expected
+        monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+        docs.write.parquet(str(tmp_path / "documents.parquet"))
+        assert [r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()] == expected
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_encoded(stored):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     texts_ = {r["doc_id"]: r["text"] for r in stored["mix_sources"].collect()}
