@@ -8,11 +8,12 @@ of bytes other than ASCII white space; with fewer words, the whole sequence is o
 2. Sets that link share a shingle among their first ``n - ceil(percent * n / 100) + 1`` in any one order of all
    shingles, so classes meet under those shingles only. The order puts shingles that are frequent in a
    bounded sample last; the sample decides no result, only how large the groups are. Shingles with
-   equal lists of classes are one group, and a class stays in it only if another has a near enough size. Groups of more than ``WIDE`` classes are dealt out by size band.
+   equal lists of classes are one group, and a class stays in it only if another has a near enough size. Groups of more than ``WIDE`` classes are dealt
+   out by size band, and bands of more than ``WIDE`` by pairs of parts of about ``PART``.
 3. In each group a signature tree is built for every two neighbouring size bands: leaves are classes, with a token bitmap and a size, nodes hold the
    OR of their bitmaps and the range of sizes. A dual traversal from the root prunes node pairs whose
    maximum possible overlap (common bits, and tokens that share a bit) is too small. Pairs that
-   remain join classes to clusters; a pair inside one cluster adds nothing and is skipped, so what comes out
+   remain join classes to clusters; a pair inside one cluster, or of nodes inside one, adds nothing and is skipped, so what comes out
    is a forest, not all pairs.
 4. Any link lies within a cluster. Clusters are verified exactly on whole texts, by counting common
    shingles through an inverted index; a cluster of more than ``PART`` classes is dealt out by pairs of
@@ -161,14 +162,17 @@ class Forest:
         return a != b
 
     def roots(self) -> np.ndarray:
-        return np.array([self.find(x) for x in range(len(self.parent))])
+        found = np.array(self.parent, np.int64)
+        while (found != (above := found[found])).any():
+            found = above
+        return found
 
 
 class SignatureTree:
     """Classes in the order given, ``FAN`` to a node; a node has OR-ed bitmaps, a size range and the largest
-    number of tokens that share bits."""
+    number of tokens that share bits. With ``sides``, only members of different sides meet."""
 
-    def __init__(self, bitmaps: list[np.ndarray], sizes: np.ndarray) -> None:
+    def __init__(self, bitmaps: list[np.ndarray], sizes: np.ndarray, sides: np.ndarray | None = None) -> None:
         width = min(map(len, bitmaps))
         bits = np.array([_folded(b, width) for b in bitmaps])
         spare = sizes - np.bitwise_count(bits).sum(1, dtype=np.int64)
@@ -178,6 +182,16 @@ class SignatureTree:
             at = np.arange(0, len(bits), FAN)
             self.levels.append((np.bitwise_or.reduceat(bits, at), np.minimum.reduceat(low, at),
                                 np.maximum.reduceat(high, at), np.maximum.reduceat(spare, at)))
+        self.sides = None if sides is None else self._alike(sides)
+
+    def _alike(self, marks: np.ndarray) -> list[np.ndarray]:
+        """By level, the mark (from 0) that all members of a node have, or -1."""
+        found = [marks]
+        for level in self.levels[:-1]:
+            at = np.arange(0, len(level[0]), FAN)
+            low, high = np.minimum.reduceat(found[-1], at), np.maximum.reduceat(found[-1], at)
+            found.append(np.where(low == high, low, -1))
+        return found
 
     def _possible(self, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
         """Whether a member of each node ``a`` may link with a member of ``b``, by maximum possible overlap."""
@@ -196,11 +210,12 @@ class SignatureTree:
         forest = Forest(count)
         tops = len(self.levels) - 1
         waiting = [(tops, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-        root = np.arange(count)
+        root = self._alike(np.arange(count))
         while waiting:
             level, a, b = waiting.pop()
-            if level == 0:
-                fresh = root[a] != root[b]
+            # Nodes whose members are all in one cluster, or all on one side, have nothing to give.
+            for marks in (root, self.sides) if self.sides else (root,):
+                fresh = (marks[level][a] != marks[level][b]) | (marks[level][a] < 0)
                 a, b = a[fresh], b[fresh]
             ok = self._possible(level, a, b, percent)
             a, b = a[ok], b[ok]
@@ -211,7 +226,7 @@ class SignatureTree:
                         grown = True
                         yield x, y
                 if grown:
-                    root = forest.roots()
+                    root = self._alike(forest.roots())
                 continue
             below = len(self.levels[level - 1][0])
             steps = np.arange(FAN)
@@ -256,8 +271,8 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _candidates(classes: DataFrame, rule: Rule) -> DataFrame:
-    """``a``, ``b``: classes that may link, a forest of each group's."""
+def _members(classes: DataFrame, rule: Rule) -> DataFrame:
+    """Classes by the group (``token``, ``band``) and the two parts of it (``one``, ``two``) in which they meet."""
     rows = classes.select("doc_id", "n", F.explode("prefix").alias("token")).repartition("token")
     lists = (
         rows.groupBy("token").agg(
@@ -276,20 +291,42 @@ def _candidates(classes: DataFrame, rule: Rule) -> DataFrame:
         else F.col("n").cast("int")
     # Sizes of a link are in one band or in neighbouring ones.
     bands = F.when(F.col("held") > WIDE, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))
-    members = (
-        picked.join(classes.select("doc_id", "n", "bits", F.element_at("prefix", 1).alias("lead")), "doc_id")
+    # A band of near copies can still hold any share of the table: large ones are met by pairs of parts. A band of at
+    # most WIDE / 2 is not counted, which leaves parts within a constant of PART.
+    crowds = (
+        rows.groupBy("token", band.alias("band")).agg(F.count("*").alias("many")).where(F.col("many") > WIDE // 2)
+        .withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+        .groupBy("token", "band").agg(F.sum("many").alias("many")).where(F.col("many") > WIDE)
+        .groupBy("token").agg(F.map_from_entries(F.collect_list(
+            F.struct("band", F.ceil(F.col("many") / PART).cast("int")))).alias("crowds"))
+    )
+    keys = ["token", "band", "one", "two"]
+    return (
+        picked.join(crowds, "token", "left")
+        .join(classes.select("doc_id", "n", "bits", F.element_at("prefix", 1).alias("lead")), "doc_id")
         .withColumn("band", F.explode(bands))
-        .repartition("token", "band").sortWithinPartitions("token", "band", "lead", "n", "doc_id")
+        .withColumn("parts", F.coalesce(F.element_at("crowds", F.col("band")), F.lit(1)))
+        .withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumns({"one": F.least("mine", "other"), "two": F.greatest("mine", "other")})
+        .repartition(*keys).sortWithinPartitions(*keys, "mine", "lead", "n", "doc_id")
+        .select(*keys, "mine", "doc_id", "n", "bits")
     )
 
+
+def _candidates(classes: DataFrame, rule: Rule) -> DataFrame:
+    """``a``, ``b``: classes that may link, a forest of each group's."""
+
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: set[tuple[int, int]] = set()
-        for group in _grouped(batches, ["token", "band"]):
+        for group in _grouped(batches, ["token", "band", "one", "two"]):
             if len(group) < 2:
                 continue
+            crossed = group[0]["one"] != group[0]["two"]
             for some in _bands(group, rule):
                 tree = SignatureTree([np.frombuffer(r["bits"], np.uint64) for r in some],
-                                     np.array([r["n"] for r in some]))
+                                     np.array([r["n"] for r in some]),
+                                     np.array([r["mine"] for r in some]) if crossed else None)
                 ids = [r["doc_id"] for r in some]
                 held.update((min(ids[x], ids[y]), max(ids[x], ids[y])) for x, y in tree.joined(rule.percent))
             if len(held) > 1 << 16:
@@ -297,7 +334,7 @@ def _candidates(classes: DataFrame, rule: Rule) -> DataFrame:
                 held.clear()
         yield _edges(sorted(held))
 
-    return members.select("token", "band", "doc_id", "n", "bits").mapInArrow(traverse, "a long, b long").distinct()
+    return _members(classes, rule).mapInArrow(traverse, "a long, b long").distinct()
 
 
 def _verified(documents: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:

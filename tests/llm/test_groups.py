@@ -93,6 +93,37 @@ def test_large_groups_in_parts(spark, texts, monkeypatch):
     assert sorted(map(tuple, found)) == joined(rows, rule)
 
 
+def test_family_of_one_size_in_parts(spark, texts, monkeypatch):
+    monkeypatch.setattr(jaccard, "WIDE", 8)
+    monkeypatch.setattr(jaccard, "PART", 4)
+    words, rule = texts("en", "template", 90).split(), jaccard.Rule(5, 80)
+    # A third are near copies with two words of their own; some of these are too far from each other to link.
+    rows = [(n, " ".join([*words[:20 + n % 3], f"own{n}", *words[21 + n % 3:-1 - n % 2], f"last{n}"])) for n in range(60)]
+    rows += [(100 + n, texts("en", ("other", n), 91)) for n in range(120)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = jaccard._signatures(frame, rule).select("doc_id", "n", "bits", "prefix")
+    held = jaccard._members(classes, rule).groupBy("token", "band", "one", "two").count().toPandas()
+    assert held["two"].max() > 5 and held["count"].max() <= 8 * jaccard.PART
+    assert sorted(map(tuple, jaccard.join(frame, rule).collect())) == joined(rows, rule)
+
+
+def test_nodes_inside_one_cluster_are_not_expanded(monkeypatch):
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 1 << 62, 300).astype(np.uint64)
+    sets = [np.unique(np.append(base, draw.integers(0, 1 << 62, 2).astype(np.uint64))) for _ in range(2048)]
+    bitmaps, sizes = [jaccard._bitmap(s) for s in sets], np.array([len(s) for s in sets])
+    seen, possible = [], jaccard.SignatureTree._possible
+    monkeypatch.setattr(jaccard.SignatureTree, "_possible", lambda self, level, a, b, percent: (
+        seen.append(len(a) * (level > 0)), possible(self, level, a, b, percent))[1])
+    assert len(list(jaccard.SignatureTree(bitmaps, sizes).joined(80))) == len(sets) - 1
+    # There are 33,000 pairs of the nodes above the members.
+    whole, _ = sum(seen), seen.clear()
+    sides = np.repeat([0, 1], len(sets) // 2)
+    pairs = list(jaccard.SignatureTree(bitmaps, sizes, sides).joined(80))
+    assert len(pairs) == len(sets) - 1 and all(sides[x] != sides[y] for x, y in pairs)
+    assert max(whole, sum(seen)) < 20_000
+
+
 def test_odd_rows(spark, odd_rows, no_rows):
     rule = jaccard.Rule()
     found = [tuple(r) for r in jaccard.join(odd_rows, rule).collect()]
