@@ -35,6 +35,7 @@ SAMPLE = 16_384
 OCCUPANCY = 64
 PART = 4096
 BLOCK = 2048
+APART = 1e-4
 ROUNDS = 12
 
 
@@ -63,8 +64,12 @@ def _squares(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
 
 
 def _codebook(points: np.ndarray, size: int) -> np.ndarray:
-    """k-means from evenly spaced rows; fewer centroids if there are fewer different points."""
-    points = np.unique(points, axis=0)
+    """k-means from evenly spaced rows; fewer centroids if there are fewer different points.
+
+    No two centroids are closer than ``APART``: the bounds divide by their distance. Points that differ by
+    rounding only, as one vector at several scales, are one point.
+    """
+    points = np.unique(points.round(4), axis=0)
     centroids = points[np.linspace(0, len(points) - 1, min(size, len(points))).astype(int)]
     for _ in range(ROUNDS):
         nearest = _squares(points, centroids).argmin(1)
@@ -72,18 +77,26 @@ def _codebook(points: np.ndarray, size: int) -> np.ndarray:
         np.add.at(sums, nearest, points)
         held = np.bincount(nearest, minlength=len(centroids))
         centroids = np.where(held[:, None] > 0, sums / np.maximum(held, 1)[:, None], centroids)
-    return np.unique(centroids, axis=0)
+    kept: list[np.ndarray] = []
+    for centroid in np.unique(centroids, axis=0):
+        if not kept or (((np.array(kept) - centroid) ** 2).sum(1) >= APART**2).all():
+            kept.append(centroid)
+    return np.array(kept).reshape(len(kept), points.shape[1])
 
 
 def _bounds(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Squared lower bound of the distance from each point to each centroid's part of space."""
+    """Squared lower bound of the distance from each point to each centroid's part of space.
+
+    The squares that place a vector and a point are off by rounding; ``error`` covers both.
+    """
     squares = _squares(points, centroids)
-    apart = np.sqrt(_squares(centroids, centroids))
+    error = 32 * (centroids.shape[1] + 4) * np.finfo(np.float64).eps
+    apart = np.array([np.sqrt(((centroids - c) ** 2).sum(1)) for c in centroids])
     np.fill_diagonal(apart, np.inf)
     least = np.zeros_like(squares)
     for k in range(len(centroids)):
-        least[:, k] = ((squares[:, k, None] - squares) / (2 * apart[k])).max(1, initial=0)
-    return least**2
+        least[:, k] = ((squares[:, k, None] - error - squares) / (2 * apart[k])).max(1, initial=0)
+    return np.nan_to_num(least, nan=0.0, posinf=0.0) ** 2
 
 
 class Index:

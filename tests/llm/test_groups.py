@@ -193,6 +193,47 @@ def test_embeddings(spark, monkeypatch, part, length):
     assert sorted(map(tuple, found.collect())) == linked(rows, 0.98)
 
 
+def scaled(seed, count, length):
+    """A third of the rows are one vector at different scales, as floats; the others lie around it or anywhere."""
+    draw = np.random.default_rng(seed)
+    one = draw.normal(size=length)
+    rows = [one * draw.uniform(0.1, 10) for _ in range(count // 3)]
+    rows += [one + 0.1 * draw.normal(size=length) for _ in range(count // 6)]
+    rows += [draw.normal(size=length) for _ in range(count - len(rows))]
+    return np.array(rows).astype(np.float32)
+
+
+def test_centroids_that_nearly_coincide_lose_no_cell():
+    found = scaled(3, 3000, 64).astype(np.float64)
+    found /= np.linalg.norm(found, axis=1)[:, None]
+    books = tuple(neardup._codebook(h, 32) for h in neardup._half(found))
+    for book in books:
+        apart = np.sqrt(((book[:, None] - book) ** 2).sum(2))
+        assert len(book) > 16 and apart[~np.eye(len(book), dtype=bool)].min() >= neardup.APART
+    index = neardup.Index({64: books})
+    cells = index.cells(found)
+    near = found @ found.T >= 0.98
+    for row, seen in enumerate(index.visits(found, np.sqrt(2 - 2 * 0.98))):
+        assert set(cells[near[row]].tolist()) <= set(seen.tolist())
+
+
+def test_bounds_hold_for_any_centroids():
+    points = scaled(4, 300, 16).astype(np.float64)
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    centroids = points[::3]  # many of these differ by rounding only
+    least = neardup._bounds(points, centroids)
+    own = neardup._squares(points, centroids).argmin(1)
+    squares = ((points[:, None] - points) ** 2).sum(2)
+    assert np.isfinite(least).all() and (least[:, own] <= squares + 1e-9).all()
+
+
+def test_one_vector_at_many_scales(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "OCCUPANCY", 2)
+    rows = [(n, [float(x) for x in v], 1) for n, v in enumerate(scaled(5, 600, 64))]
+    found = neardup.link(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), cosine=0.98)
+    assert sorted(map(tuple, found.collect())) == linked(rows, 0.98)
+
+
 def test_odd_vectors(spark):
     rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], 2), (4, [0.0, 0.0], 1), (5, None, 1), (6, [], 1),
             (7, [float("nan"), 1.0], 1), (8, [float("inf"), 1.0], 1), (9, [1.0, None], 1), (10, [1.0, 0.0], None),
