@@ -6,9 +6,9 @@ n-gram's slots gives all languages that contain it. A text's n-grams are looked
 are counted per language, each count is corrected for the filter's false positives, and the
 highest corrected share decides.
 
-Fitting reads at most about ``docs_per_lang`` documents of each language, chosen by a hash of the
-row (a documented bound; the filter itself is bounded by its number of slots). Scoring reads
-whole texts.
+Fitting reads at most about ``docs_per_lang`` different texts of each language, chosen by a hash of the
+text (a documented bound; the filter itself is bounded by its number of slots). Copies of a text
+are one, in the sample and in the least number of texts that make an n-gram known. Scoring reads whole texts.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0. A text with
 letters of which no n-gram is known gets the most frequent learned language with score 0. Equal
@@ -87,17 +87,19 @@ def fit(
 ) -> Model:
     """Filters from rows that are ``usable`` and have text and language."""
     rows = documents.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang)).count().collect()}
+    by_text = rows.groupBy(F.col(lang).alias("lang"), F.xxhash64(F.col(text), F.lit(1)).alias("of")).agg(F.count("*").alias("n"))
+    found = by_text.groupBy("lang").agg(F.sum("n"), F.count("*")).collect()
+    counts, distinct = {r[0]: r[1] for r in found}, {r[0]: r[2] for r in found}
     langs = sorted(counts)
     if not langs:
         return Model([], np.zeros((slots, 1), np.int64), np.zeros(0), 0)
-    # Kept by the hash of the whole text, so a share of the rows of each language is known beforehand.
+    # Kept by the hash of the whole text, so a share of the texts of each language is known beforehand.
     share = F.create_map(*[
-        F.lit(x) for name in langs for x in (name, min(1.0, docs_per_lang / counts[name]))
+        F.lit(x) for name in langs for x in (name, min(1.0, docs_per_lang / distinct[name]))
     ])
     draw = F.pmod(F.xxhash64(F.col(text), F.lit(1)), F.lit(1 << 20)) / float(1 << 20)
     sample = rows.where(draw < F.element_at(share, F.col(lang))).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"))
+        F.col(lang).alias("lang"), F.col(text).alias("text")).distinct()
     number = {name: n for n, name in enumerate(langs)}
 
     def count(batches):
@@ -118,7 +120,7 @@ def fit(
 
     least = F.create_map(*[
         F.lit(x) for n, name in enumerate(langs)
-        for x in (n, max(2.0, min_share * min(counts[name], docs_per_lang)))
+        for x in (n, max(1.0, min_share * min(distinct[name], docs_per_lang)))
     ])
     kept = (
         sample.mapInArrow(count, "lang long, gram long, docs long")

@@ -15,6 +15,23 @@ def test_languages_of_unseen_texts(spark, texts):
     assert all(r["lang_pred"] == r["lang"] and 0.5 < r["score"] <= 1 for r in found.collect())
 
 
+def test_language_of_mostly_copies_is_learned(spark, texts):
+    page = [(n, texts("de", "page"), "de") for n in range(6000)]
+    rows = [(n, texts(lang, n), lang) for n in range(60) for lang in ("en", "de")]
+    frame = spark.createDataFrame(page + rows, "doc_id long, text string, lang string")
+    model = language.fit(frame, F.lit(True), docs_per_lang=50, min_share=0.1)
+    unseen = [(n, texts("de", 1000 + n), "de") for n in range(30)] + page[:1]
+    found = language.predict(spark.createDataFrame(unseen, frame.schema), model).collect()
+    assert all(r["lang_pred"] == "de" and r["score"] > 0.5 for r in found)
+
+
+def test_language_of_one_text_is_learned(spark, texts):
+    rows = [(n, texts("de", "page"), "de") for n in range(20)] + [(n, texts("en", n), "en") for n in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.predict(frame, language.fit(frame, F.lit(True))).collect()
+    assert all(r["lang_pred"] == r["lang"] and r["score"] > 0.5 for r in found)
+
+
 def test_odd_rows(spark, texts, odd_rows):
     found = language.predict(odd_rows, learned(spark, texts)).collect()
     assert len(found) == odd_rows.count()
