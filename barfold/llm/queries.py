@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, neardup, quality, search, token_files, toxicity
+from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, neardup, quality, search, token_files, toxicity, variants
 from barfold.llm.texts import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,3 +227,12 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored)
 WHERE rank <= {TOP}
 """
+
+
+#: One occurrence in so many loses a letter, so that the whole table holds misspelt words.
+SLIP = 97
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(variants.vocabulary(table(spark, sf_dir, "documents"), slip=SLIP))
