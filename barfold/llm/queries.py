@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, neardup, quality, search, token_files, toxicity, variants
+from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, neardup, quality, search, token_files, toxicity, variants, warc
 from barfold.llm.texts import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,3 +236,12 @@ SLIP = 97
 @query
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group(variants.vocabulary(table(spark, sf_dir, "documents"), slip=SLIP))
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.records(warc.scan(spark, path, payloads=False)).select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
