@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.llm import bpe, chat, jaccard, labelled, language, mixing, neardup, quality, search, token_files, toxicity, variants, warc
+from barfold.llm import bpe, chat, collocations, jaccard, labelled, language, mixing, neardup, quality, search, token_files, toxicity, variants, warc
 from barfold.llm.texts import append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -245,3 +245,47 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.records(warc.scan(spark, path, payloads=False)).select(
         F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"))
+
+
+PHRASES = {"least": 30, "longest": 4, "inside": 80, "top": 2000}
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"), **PHRASES)
+
+
+ORACLE["op12_collocations"] = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+texts AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, w[i : i + k - 1] AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+        FROM (SELECT lang, w, unnest(range(1, {longest} + 1)) AS k FROM texts) WHERE k <= len(w))),
+f AS (SELECT lang, g, count(*) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(a) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+candidates AS (SELECT * FROM f WHERE len(g) > 1 AND a >= {least}),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.g, c.a, c.k, x.a AS l, y.a AS r,
+    (CAST(2000000 AS HUGEINT) * c.a) // (CAST(x.a AS HUGEINT) + y.a) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.g = c.g[1 : c.k]
+    JOIN f y ON y.lang = c.lang AND y.g = c.g[c.k + 1 : len(c.g)]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+held AS (
+  SELECT lang, g[i : i + s - 1] AS g, max(a) AS longer
+  FROM (SELECT lang, g, a, s, unnest(range(1, len(g) - s + 2)) AS i
+        FROM (SELECT lang, g, a, unnest(range(2, len(g))) AS s FROM candidates WHERE len(g) > 2))
+  GROUP BY ALL),
+kept AS (
+  SELECT l.* FROM lowest l LEFT JOIN held h ON h.lang = l.lang AND h.g = l.g
+  WHERE h.longer IS NULL OR CAST(100 AS HUGEINT) * h.longer < CAST({inside} AS HUGEINT) * l.a),
+ranked AS (
+  SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= {top}
+""".format(**PHRASES)
