@@ -40,6 +40,8 @@ from barfold.llm.texts import append
 #: The pattern that byte-level files split words by.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BULK = 64
+#: Pairs of a state and a token whose answer is kept.
+REMEMBERED = 1 << 20
 _SPACES = np.zeros(256, bool)
 _SPACES[[*range(9, 14), *range(28, 33), 0x85, 0]] = True
 #: First bytes of white space beyond ASCII; no cut before them, nor before an added token.
@@ -97,6 +99,7 @@ class Automaton:
         self.label = [b""] * size
         for text, token in vocabulary.items():
             self.label[token] = text
+        self.plain: _Plain | None = None
         self._compile(size, merges)
         self._trie(vocabulary)
 
@@ -163,19 +166,42 @@ class Automaton:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         rows: list[np.ndarray | None] = [None] * len(words)
         low = 0
-        for high in (8, 16, 32, BULK, *(1 << k for k in range(7, 40))):
-            if low >= (lengths.max() if len(words) else 0):
-                break
+        for high in (8, 16, 32, BULK):
             some = np.flatnonzero((lengths > low) & (lengths <= high))
             # Long words make wide tables, so few of them at a time.
-            for k in range(0, len(some), max(1, (1 << 22) // high)):
-                part = some[k : k + max(1, (1 << 22) // high)]
-                if len(part):
-                    self._encode_some(words, lengths, part, rows)
+            for k in range(0, len(some), (1 << 22) // high):
+                self._encode_some(words, lengths, some[k : k + (1 << 22) // high], rows)
             low = high
+        for n in np.flatnonzero(lengths > BULK).tolist():
+            rows[n] = self._encode_long(words[n])
         empty = np.zeros(0, np.int64)
         return Ragged.of([empty if r is None else r for r in rows], np.int64)
 
+    def _encode_long(self, word: bytes) -> np.ndarray:
+        """Ids of one word of any length, by the same transitions place by place; time is linear in the word."""
+        if self.plain is None:
+            self.plain = _Plain(self)
+        plain, size = self.plain, len(word)
+        steps, token_at, target, span = plain.steps, plain.token_at, plain.target, plain.span
+        arrived = [-1] * (size + 1)
+        for start in range(size):
+            before = arrived[start]
+            if before < 0 and start:
+                continue
+            state, node = target[before] if start else 0, 0
+            for end in range(start, size):
+                node = steps.get(node << 8 | word[end], -1)
+                if node < 0:
+                    break
+                token = token_at[node]
+                if token >= 0 and plain.follows(state, token):
+                    arrived[end + 1] = token
+        found, place = [], size
+        while place:
+            found.append(arrived[place])
+            place -= span[arrived[place]]
+        return np.array(found[::-1], np.int64)
+
     def _encode_some(self, words, lengths, some: np.ndarray, rows: list) -> None:
         width = int(lengths[some].max())
         joined = b"".join([words[n].ljust(width, b"\0") for n in some])
@@ -216,6 +242,36 @@ class Automaton:
             rows[n] = ids
 
 
+class _Plain:
+    """The tables of an automaton for one place at a time, made when a worker first meets a long word."""
+
+    def __init__(self, of: Automaton) -> None:
+        filled = np.flatnonzero(of.steps.keys >= 0)
+        self.steps = dict(zip(of.steps.keys[filled].tolist(), of.steps.values[filled].tolist(), strict=True))
+        filled = np.flatnonzero(of.removals.keys >= 0)
+        self.removals = dict(zip(of.removals.keys[filled].tolist(), of.removals.values[filled].tolist(), strict=True))
+        self.token_at, self.target, self.span = of.token_at.tolist(), of.target.tolist(), [len(x) for x in of.label]
+        self.parts, self.limits = of.parts, of.limits
+        self.chains: dict[int, list[tuple[int, int]]] = {}
+        self.known: dict[tuple[int, int], bool] = {}
+
+    def follows(self, state: int, token: int) -> bool:
+        """Whether the state has a transition by the token; answers are kept, up to ``REMEMBERED`` of them."""
+        answer = self.known.get((state, token))
+        if answer is None:
+            chain = self.chains.get(token)
+            if chain is None:
+                parts = self.parts[:, token]
+                chain = self.chains[token] = [
+                    (p, m) for p, m in zip(parts.tolist(), self.limits[:, token].tolist(), strict=True) if p >= 0]
+            gone, first = self.removals, state << 24
+            answer = all(gone.get(first | p, _DEAD) > limit for p, limit in chain)
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[state, token] = answer
+        return answer
+
+
 class ByteLevel:
     """A byte-level tokenizer file: its added tokens, its word pattern and its automaton."""
 

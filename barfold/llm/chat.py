@@ -35,6 +35,10 @@ from barfold.llm.texts import append
 CONTROLS = ("<s>", "[INST]", "[/INST]", "</s>")
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CONTROL = r"(?=/?(?:s>|INST\]))"
+#: Fixed value: Unicode white space. A run of it longer than ``LONG_SPACE`` is not left to the word pattern.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_SPACE = 4096
+_LONG = re.compile(f"[{_SPACE}]{{{LONG_SPACE},}}")
 _PLAIN = re.compile(r"([<\[])(\\*)" + _CONTROL)
 _ESCAPED = re.compile(r"([<\[])\\(\\*)" + _CONTROL)
 
@@ -58,6 +62,29 @@ class Format:
         first = max(table.values()) + 1
         self.open, self.begin, self.end, self.close = range(first, first + len(CONTROLS))
 
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text, as ordinary text.
+
+        The word pattern steps back over white space one call a character, which a very long run has too many of. So
+        the word that the pattern takes of such a run is taken here: all of it, or all but the last
+        character if something follows. What stands before and after it is split as it would be in one text.
+        """
+        cut = {n: self._parts(t) for n, t in enumerate(texts) if len(t) >= LONG_SPACE and _LONG.search(t)}
+        found = self.codes.encode_ordinary_batch(["" if n in cut else t for n, t in enumerate(texts)], num_threads=1)
+        for n, parts in cut.items():
+            found[n] = [i for part, space in parts for i in (
+                self.codes._encode_single_piece(part) if space else self.codes.encode_ordinary(part))]
+        return found
+
+    @staticmethod
+    def _parts(text: str) -> list[tuple[str, bool]]:
+        parts, done = [], 0
+        for run in _LONG.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            parts += [(text[done : run.start()], False), (text[run.start() : end], True)]
+            done = end
+        return [*parts, (text[done:], False)]
+
     def turn(self, role: list[int], text: list[int], learned: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids and loss mask of one turn."""
         ids = np.concatenate(([self.open], role, [self.begin], text, [self.end, self.close])).astype(np.int32)
@@ -110,9 +137,10 @@ def format_turns(
         form = template.here()
         roles = [r or "" for r in batch.column(role).to_pylist()]
         texts = [escape(t or "") for t in batch.column(text).to_pylist()]
-        names = {r: form.codes.encode_ordinary(escape(r)) for r in set(roles)}
+        distinct = sorted(set(roles))
+        names = dict(zip(distinct, form.encode([escape(r) for r in distinct]), strict=True))
         ids, masks, strings = [], [], []
-        for r, t, codes in zip(roles, texts, form.codes.encode_ordinary_batch(texts, num_threads=1), strict=True):
+        for r, t, codes in zip(roles, texts, form.encode(texts), strict=True):
             one, mask = form.turn(names[r], codes, r in learned)
             ids.append(one)
             masks.append(mask)

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barfold.llm.components import components, small
+from barfold.llm.labelled import draw
 from barfold.llm.texts import byte_classes, hashes, lowered, mix, runs, shingled, slices
 from barfold.sources.scratch import materialise
 
@@ -96,8 +97,7 @@ def _folded(words: np.ndarray, size: int) -> np.ndarray:
 def _frequent(documents: DataFrame, rule: Rule) -> np.ndarray:
     """Shingles frequent in a sample of about ``SAMPLE_DOCS`` documents, at most ``HOT``; an order's parameter only."""
     total = documents.count()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
-    sample = documents.where(draw < min(1.0, SAMPLE_DOCS / max(1, total)))
+    sample = documents.where(draw("doc_id", F.lit(5)) < min(1.0, SAMPLE_DOCS / max(1, total)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

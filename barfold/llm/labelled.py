@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def draw(*key: Column | str) -> Column:
+    """A number from 0 to below 1 by a hash of ``key``, in 2^53 steps, so that shares of any table are kept to."""
+    return F.shiftrightunsigned(F.xxhash64(*key), 11) / float(1 << 53)
+
+
 def sample(
     documents: DataFrame,
     labels: DataFrame,
@@ -31,7 +36,6 @@ def sample(
     counts = {r[0]: r[1] for r in clear.groupBy("label").count().collect()}
     share = F.when(F.col("label") == 1, min(1.0, per_class / counts.get(1, 1))).otherwise(
         min(1.0, per_class / counts.get(0, 1)))
-    draw = F.pmod(F.xxhash64("key", F.lit(3)), F.lit(1 << 20)) / float(1 << 20)
-    chosen = F.broadcast(clear.where(draw < share))
+    chosen = F.broadcast(clear.where(draw("key", F.lit(3)) < share))
     rows = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return rows.join(chosen, "key").select("text", "label")

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barfold.llm.labelled import draw
 from barfold.llm.texts import Slice, append, mix, slices
 
 UNDETERMINED = "und"
@@ -97,8 +98,7 @@ def fit(
     share = F.create_map(*[
         F.lit(x) for name in langs for x in (name, min(1.0, docs_per_lang / distinct[name]))
     ])
-    draw = F.pmod(F.xxhash64(F.col(text), F.lit(1)), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.where(draw < F.element_at(share, F.col(lang))).select(
+    sample = rows.where(draw(F.col(text), F.lit(1)) < F.element_at(share, F.col(lang))).select(
         F.col(lang).alias("lang"), F.col(text).alias("text")).distinct()
     number = {name: n for n, name in enumerate(langs)}
 

@@ -18,7 +18,7 @@ hash range, so a source of any size is spread over ``RANGES`` parts.
 
 Defined cases: a source not in ``weights`` (null included) belongs to the source ``REST``, with
 weight ``rest``; a source's last block may be short; no rows give no rows. Rows that agree in the
-order columns are dealt in any order, so equal rows are interchangeable. Other columns are kept, and a
+order columns are dealt by a hash of the whole row, so only equal rows are interchangeable. Other columns are kept, and a
 column with an output's name is replaced.
 """
 
@@ -103,7 +103,9 @@ def mix(
     # The row travels as one column, so its own columns cannot clash with those of the plan.
     kept = frame.select(
         F.struct(*[quoted(c) for c in frame.columns if c not in to]).alias("_whole"),
-        F.col(source).alias("_name"), F.array(*[F.col(c).cast("string") for c in order]).alias("_key"))
+        F.col(source).alias("_name"), F.array(*[F.col(c).cast("string") for c in order]).alias("_key"),
+        # Maps have no hash; rows that differ in maps alone may change places.
+        F.xxhash64(*[quoted(f.name) for f in frame.schema.fields if "map<" not in f.dataType.simpleString()]).alias("_row_hash"))
     known = F.array(*map(F.lit, weights)) if weights else F.expr("cast(array() as array<string>)")
     named = F.when(F.array_contains(known, F.coalesce("_name", F.lit(REST))), F.col("_name")).otherwise(REST)
     text = F.array_join("_key", "\x1f", "")
@@ -114,7 +116,7 @@ def mix(
     by_range = Window.partitionBy("_source").orderBy("_range")
     offsets = counts.select(
         "_source", "_range", (F.sum("n").over(by_range) - F.col("n")).alias("_before"))
-    in_range = Window.partitionBy("_source", "_range").orderBy("_order", "_key")
+    in_range = Window.partitionBy("_source", "_range").orderBy("_order", "_key", "_row_hash")
     numbered = (
         keyed.withColumn("_row", F.row_number().over(in_range).cast("long") - 1)
         .join(F.broadcast(offsets), ["_source", "_range"])

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from barfold.llm.components import components
 from barfold.llm.jaccard import Forest
+from barfold.llm.labelled import draw
 from barfold.sources.scratch import materialise
 
 SAMPLE = 16_384
@@ -132,8 +133,7 @@ def build(vectors: DataFrame) -> Index:
     """Codebooks from about ``SAMPLE`` rows (``label``, ``embedding``), sized for ``OCCUPANCY`` vectors of a label in a cell."""
     count, labels = vectors.agg(F.count("*"), F.approx_count_distinct("label")).first()
     size = max(1, min(int(np.ceil(np.sqrt(count / max(1, labels) / OCCUPANCY))), SAMPLE // 16))
-    draw = F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(1 << 20)) / float(1 << 20)
-    sample = vectors.where(draw < min(1.0, SAMPLE / max(1, count))).select("vec_id", "embedding")
+    sample = vectors.where(draw("vec_id", F.lit(9)) < min(1.0, SAMPLE / max(1, count))).select("vec_id", "embedding")
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         # One group: its rows are the bounded sample.

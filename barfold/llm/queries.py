@@ -80,7 +80,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = token_files.folder(spark, "tokens")
     encoded = token_files.encode(documents, public_tokenizers.path("word_bpe_49k.json"), end=2)
-    token_files.write(encoded, path)
+    token_files.write(encoded, path, counts="counts")
     return token_files.read(spark, path).select(
         F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 

@@ -6,10 +6,12 @@ one row per block: ``shard`` (range partition of the key order), ``before`` (ids
 block), and per row of the block its key, number of ids, byte offset in the payload and checkpoints
 (bit offsets every ``huffman.STEP`` ids). A block needs only the code to be decoded.
 
-Rows are in ascending key order, nulls first; rows with one key stand in the order of their packed
-bytes. Ids are counted over all rows. The id table is written once to the shared checkpoint folder, since
-both the counts and the packing need it, and range bounds come from a quantile sketch of the keys, so
-the shuffle carries packed rows only.
+Rows are in ascending key order, nulls first; rows with one key stand in the order of the crc32 of their packed
+bytes, then of those bytes. Ids are counted over all rows: ``encode`` counts each batch as it makes it, and only
+those counts are read again. The id table is written once to the shared checkpoint folder, since
+both the counts and the packing need it. Range bounds come from a quantile sketch of the keys, so
+the shuffle carries packed rows only; a key that several bounds fall on has as many shards more, to which
+its rows go by the crc32. Only rows equal in key and ids stay together.
 
 Defined cases: null and empty texts have only the end id; no rows give no blocks. Memory is bounded
 by a block (about ``BLOCK_IDS`` ids) or the longest row, and the code by the number of ids there are.
@@ -18,6 +20,7 @@ by a block (about ``BLOCK_IDS`` ids) or the longest row, and the code by the num
 from __future__ import annotations
 
 import os
+import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -130,69 +133,97 @@ def _numbers(column: pa.Array, kind: str) -> Ragged:
     return Ragged(np.frombuffer(b"".join(rows), kind), offsets)
 
 
-def encode(frame: DataFrame, path: str, *, end: int, text: str = "text", to: str = "ids") -> DataFrame:
-    """``frame`` with the ids of its texts and the id ``end`` in ``to``, as little-endian 32-bit numbers."""
+def encode(
+    frame: DataFrame, path: str, *, end: int, text: str = "text", to: str = "ids", counts: str = "counts"
+) -> DataFrame:
+    """``frame`` with the ids of its texts and the id ``end`` in ``to``, as little-endian 32-bit numbers.
+
+    The first row of each batch has in ``counts`` how often each id occurs in the batch, as pairs of 64-bit numbers.
+    """
     sent = frame.sparkSession.sparkContext.broadcast(Path(path).read_text())
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
         found = _loaded(sent.value).encode(batch.column(text))
         values = np.insert(found.values, found.offsets[1:], end)
-        return [_binary(Ragged(values, found.offsets + np.arange(len(found.offsets))), "<u4")]
+        rows = _binary(Ragged(values, found.offsets + np.arange(len(found.offsets))), "<u4")
+        times = np.bincount(values)
+        ids = np.flatnonzero(times)
+        pairs = np.stack([ids, times[ids]], axis=1).astype("<i8").tobytes()
+        return [rows, pa.array([pairs] + [None] * (len(batch) - 1) if len(batch) else [], pa.binary())]
 
-    return append(frame, [T.StructField(to, T.BinaryType())], compute, by=text)
+    fields = [T.StructField(to, T.BinaryType()), T.StructField(counts, T.BinaryType())]
+    return append(frame, fields, compute, by=text)
 
 
 def _counts(stored: DataFrame) -> np.ndarray:
-    """How often each id occurs; bounded by the largest id."""
+    """How often each id occurs, from the counts of batches if there are any; bounded by the largest id."""
+    column = "counts" if "counts" in stored.columns else "ids"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            more = np.bincount(_numbers(batch.column("ids"), "<u4").values)
+            if column == "counts":
+                pairs = _numbers(batch.column(0), "<i8").values.reshape(-1, 2)
+                more = np.zeros(int(pairs[:, 0].max(initial=0)) + 1, np.int64)
+                np.add.at(more, pairs[:, 0], pairs[:, 1])
+            else:
+                more = np.bincount(_numbers(batch.column(0), "<u4").values)
             if len(more) > len(total):
                 total = np.pad(total, (0, len(more) - len(total)))
             total[: len(more)] += more
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["id", "n"])
 
-    rows = stored.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    rows = stored.select(column).where(F.col(column).isNotNull()).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(int(np.max(rows["id"].to_numpy(), initial=-1)) + 1, np.int64)
     counts[rows["id"].to_numpy()] = rows["n"].to_numpy()
     return counts
 
 
-def write(frame: DataFrame, path: str, *, key: str = "doc_id", ids: str = "ids", shards: int | None = None) -> None:
-    """Store ``key`` and ``ids`` (packed little-endian 32-bit numbers) of all rows under ``path``."""
+def write(
+    frame: DataFrame, path: str, *, key: str = "doc_id", ids: str = "ids", counts: str | None = None,
+    shards: int | None = None,
+) -> None:
+    """Store ``key`` and ``ids`` (packed little-endian 32-bit numbers) of all rows under ``path``.
+
+    ``counts`` names the column in which :func:`encode` has counted the ids; without it they are counted here.
+    """
     spark = frame.sparkSession
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = f"{path.rstrip('/')}/_ids"
-    (frame.select(F.col(key).cast("long").alias("key"), F.col(ids).alias("ids"))
-     .write.option("compression", "zstd").parquet(scratch))
-    stored = spark.read.schema("key long, ids binary").parquet(scratch)
+    kept = [F.col(key).cast("long").alias("key"), F.col(ids).alias("ids"), *([F.col(counts).alias("counts")] if counts else [])]
+    frame.select(*kept).write.option("compression", "zstd").parquet(scratch)
+    stored = spark.read.schema(f"key long, ids binary{', counts binary' if counts else ''}").parquet(scratch)
     lengths = huffman.code_lengths(_counts(stored))
     used = np.flatnonzero(lengths)
     spark.createDataFrame(pa.table({"id": pa.array(used), "length": pa.array(lengths[used].astype(np.int32))}),
                           "id long, length int").coalesce(1).write.parquet(f"{path}/code")
     code = spark.sparkContext.broadcast(huffman.Code(lengths))
 
+    # A null key counts as the least number, before which nothing can stand.
+    sorted_as = F.coalesce("key", F.lit(-(1 << 63)))
+    bounds = stored.agg(F.percentile_approx(sorted_as, [k / shards for k in range(1, shards)] or [0.5], 10000)).first()[0]
+    inner = np.array(sorted(bounds or [])[: shards - 1], np.int64)
+
     def pack(batch: pa.RecordBatch) -> list[pa.Array]:
         rows = _numbers(batch.column("ids"), "<u4")
         packed, marks = code.value.pack(rows)
+        data, ends = packed.values.astype(np.uint8).tobytes(), packed.offsets.tolist()
+        crc = np.array([zlib.crc32(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], np.int64)
+        at = batch.column("key").fill_null(-(1 << 63)).to_numpy()
+        low, high = np.searchsorted(inner, at, "left"), np.searchsorted(inner, at, "right")
+        shard = low + ((high - low + 1) * crc >> 32)
         return [_binary(packed, "u1"), pa.array(rows.lengths()),
-                pa.ListArray.from_arrays(pa.array(marks.offsets.astype(np.int32)), pa.array(marks.values))]
+                pa.ListArray.from_arrays(pa.array(marks.offsets.astype(np.int32)), pa.array(marks.values)),
+                pa.array(crc), pa.array(shard.astype(np.int32))]
 
     fields = [T.StructField("packed", T.BinaryType()), T.StructField("n", T.LongType()),
-              T.StructField("marks", T.ArrayType(T.LongType()))]
-    bounds = [b for b in stored.agg(F.percentile_approx(
-        "key", [k / shards for k in range(1, shards)] or [0.5], 10000)).first()[0] or []]
-    inner = sorted(set(bounds))[: shards - 1]
-    # The number of bounds below the key; nulls first.
-    shard = F.coalesce(F.size(F.filter(F.array(*map(F.lit, inner)), lambda b: b < F.col("key"))), F.lit(0)) \
-        if inner else F.lit(0)
+              T.StructField("marks", T.ArrayType(T.LongType())), T.StructField("crc", T.LongType()),
+              T.StructField("shard", T.IntegerType())]
     ordered = (
-        append(stored, fields, pack, by="ids").drop("ids").withColumn("shard", shard.cast("int"))
+        append(stored.select("key", "ids"), fields, pack, by="ids").drop("ids")
         .repartitionById(len(inner) + 1, F.col("shard"))
-        .sortWithinPartitions(F.col("shard"), F.col("key").asc_nulls_first(), "packed")
+        .sortWithinPartitions(F.col("shard"), F.col("key").asc_nulls_first(), "crc", "packed")
     )
     ordered.mapInArrow(_blocks, BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     _remove(spark, scratch)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from barfold.llm import bpe, jaccard, labelled, language, mixing, toxicity  # first: the one import that may fail
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barfold.llm import bpe, jaccard, labelled, language, mixing, toxicity
 from barfold.llm.queries import BLOCK_ROWS, REST_WEIGHT, WEIGHTS, table
 from barfold.llm.texts import quoted, spare
-from barfold.sources.scratch import in_stored_order, materialise
+from barfold.sources.scratch import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -19,6 +19,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 LEAST_LANGUAGE_SHARE = 0.4
 #: Fewer characters are too little to say so; such a text goes only if it has no letter.
 LEAST_CHARS = 20
+#: The column that carries a document's place in the mixture.
+PLACE = "position"
 #: A document with this score or more is toxic.
 TOXIC = 0.5
 
@@ -63,17 +65,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Store the documents in the order of the mixture."""
-    place, block = spare(docs, "position"), spare(docs, "block")
-    mixed = mixing.mix(docs, WEIGHTS, rest=REST_WEIGHT, block_rows=BLOCK_ROWS, to=(block, place))
-    return mixed.orderBy(place).select(*_columns(docs))
+    """The documents with their place in the mixture, ``position``, from 0.
+
+    The place is the decision of this stage, so it travels as a column; the order of rows and files means
+    nothing. A column of that name is replaced. A null source, like one without a weight of its own, shares
+    the rest's; rows that agree in their number are dealt by a hash of the row; no documents give none.
+    """
+    block = spare(docs, "block")
+    return mixing.mix(docs, WEIGHTS, rest=REST_WEIGHT, block_rows=BLOCK_ROWS, to=(block, PLACE)).drop(block)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, in the order in which the mixture is stored."""
+    """Token ids of every document, with its place in the mixture; documents that have none keep a null place.
+
+    A null or empty text has no ids, other columns than those named are left out, rows that repeat are all kept.
+    """
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path("byte_bpe_50k.json"))
-    encoded = bpe.encode(in_stored_order(docs).select("doc_id", "lang", "source", "text"), tokenizer)
-    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    place = F.col(PLACE) if PLACE in docs.columns else F.lit(None).cast("long").alias(PLACE)
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", place, "text"), tokenizer)
+    return encoded.select("doc_id", "lang", "source", PLACE, F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -83,3 +83,16 @@ def test_odd_rows_round_trip(spark, odd_rows, no_rows):
     assert bpe.encode(no_rows, tokenizer).count() == 0
     nulls = spark.createDataFrame([(None,), ([220],)], "ids array<int>")
     assert sorted(r["text"] for r in bpe.decode(nulls, tokenizer).collect()) == ["", " "]
+
+
+def test_long_words(library, ours):
+    import random
+    import time
+
+    draw = random.Random(4)
+    words = ["a" * 100_000, "".join(chr(draw.randint(0x4E00, 0x9FFF)) for _ in range(20_000)),
+             "".join(draw.choice(["the", "ing", "er", "on"]) for _ in range(5000)), "?!" * 40, "x" * 65]
+    begin = time.perf_counter()
+    found = [ours.encode(pa.array([w])).values.tolist() for w in words]
+    assert time.perf_counter() - begin < 5
+    assert found == [library.encode(w, add_special_tokens=False).ids for w in words]

@@ -50,3 +50,23 @@ def test_not_a_turn(form):
 
     with pytest.raises(ValueError, match="not a formatted turn"):
         form.parts(np.array([form.open, form.begin, 5, 6]), np.zeros(4))
+
+
+PARTS = st.lists(st.sampled_from([" ", "\n", "\t", "　", "\x85", "\x1c", "a", "b1", "é", "'s", "!", "​"]), max_size=14).map("".join)
+
+
+@given(PARTS)
+def test_long_white_space_is_split_as_by_the_pattern(form, text):
+    import re
+    from unittest.mock import patch
+
+    with patch.object(chat, "LONG_SPACE", 3), patch.object(chat, "_LONG", re.compile(f"[{chat._SPACE}]{{3,}}")):
+        assert form.encode([text]) == [form.codes.encode_ordinary(text)]
+
+
+def test_a_million_spaces(spark):
+    template = chat.Template(spark, PATH)
+    texts = [" " * 1_000_000, "x" + "\n" * 1_000_000 + "y", "z" * 300_000]
+    turns = spark.createDataFrame([(1, n, "assistant", t) for n, t in enumerate(texts)], "conv_id long, turn int, role string, text string")
+    back = chat.read(chat.assemble(chat.format_turns(turns, template)), template)
+    assert [r["read_text"] for r in back.orderBy("turn").collect()] == texts

@@ -63,3 +63,12 @@ def test_odd_rows(spark, odd_rows, no_rows):
 def test_no_python_in_the_plan(spark, odd_rows):
     plan = mixing.mix(odd_rows, {"a": 2})._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_rows_of_one_number_have_a_defined_order(spark):
+    rows = [(n % 3, f"text {n}", "ab"[n % 2], {"k": n}) for n in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, more map<string,int>")
+    places = [
+        {r["text"]: r["position"] for r in mixing.mix(f, {"a": 2, "b": 1}, block_rows=4).collect()}
+        for f in (frame, frame.repartition(7), frame.orderBy(F.rand(3)))]
+    assert places[0] == places[1] == places[2]

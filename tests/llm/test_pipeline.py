@@ -11,7 +11,6 @@ import __spark_entry__ as contract
 import corpus_pipeline
 from barfold.llm import jaccard, mixing
 from barfold.llm.queries import BLOCK_ROWS, ORACLE, QUERIES, REST_WEIGHT, WEIGHTS
-from barfold.sources.scratch import in_stored_order
 from tests.conftest import SMALL
 from tests.llm.test_groups import joined
 from tests.test_oracle import TABLES, ordered
@@ -58,9 +57,10 @@ def numbers(frame):
 
 
 def test_columns(stored):
-    for name in list(STAGES)[:-1]:
+    for name in list(STAGES)[:-2]:
         assert stored[name].columns == stored["documents"].columns
-    assert stored["encode"].columns == ["doc_id", "lang", "source", "n_tokens", "ids"]
+    assert stored["mix_sources"].columns == [*stored["documents"].columns, "position"]
+    assert stored["encode"].columns == ["doc_id", "lang", "source", "position", "n_tokens", "ids"]
 
 
 def test_language_stage_drops_only_what_is_no_language(stored):
@@ -87,28 +87,28 @@ def test_one_document_of_each_group_stays(stored):
 
 def test_mixture_keeps_all_rows(stored):
     before, after = stored["near_duplicates"], stored["mix_sources"]
-    assert sorted(map(str, before.collect())) == sorted(map(str, after.collect()))
+    assert sorted(map(str, before.collect())) == sorted(map(str, after.drop("position").collect()))
 
 
 def test_mixture_order_outlives_several_files(spark, folder, tmp_path, monkeypatch):
     docs = spark.createDataFrame(
-        [(n, "word " * (1 + n * 7919 % 400), "en", f"src{n % 7}") for n in range(700)],
-        "doc_id long, text string, lang string, source string")
+        [(n, "word " * (1 + n * 7919 % 400), "en", f"src{n % 7}", -1) for n in range(700)],
+        "doc_id long, text string, lang string, source string, position long")
     mixed = mixing.mix(docs, WEIGHTS, rest=REST_WEIGHT, block_rows=BLOCK_ROWS)
-    expected = [r["doc_id"] for r in mixed.orderBy("position").collect()]
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        read = docs
-        for name in ("mix_sources", "encode"):
-            STAGES[name](spark, read, folder).write.parquet(str(tmp_path / name))
-            read = spark.read.parquet(str(tmp_path / name))
-            assert len(list((tmp_path / name).glob("part-*"))) > 4
-            assert [r["doc_id"] for r in in_stored_order(read).collect()] == expected
-        monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
-        docs.write.parquet(str(tmp_path / "documents.parquet"))
-        assert [r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()] == expected
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    expected = {r["doc_id"]: r["position"] for r in mixed.collect()}
+    read = docs
+    for name in ("mix_sources", "encode"):
+        STAGES[name](spark, read, folder).repartition(5).write.parquet(str(tmp_path / name))
+        read = spark.read.parquet(str(tmp_path / name))
+        assert {r["doc_id"]: r["position"] for r in read.collect()} == expected
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["position"] for r in found} == expected
+
+
+def test_positions_are_dense(stored):
+    assert sorted(r["position"] for r in stored["encode"].collect()) == list(range(stored["mix_sources"].count()))
 
 
 def test_encoded(stored):
@@ -133,7 +133,7 @@ def test_run_is_the_stages(spark, folder, stored):
 
 def test_registered():
     names = contract.queries()
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert "pipeline" in names and set(contract.oracle_sql()) <= set(names)
 
 

@@ -103,3 +103,26 @@ def test_blocks_and_shards(spark, texts, tmp_path, monkeypatch):
     blocks = spark.read.parquet(str(tmp_path / "t" / "blocks"))
     assert 1 < blocks.select("shard").distinct().count() <= 4
     assert not (tmp_path / "t" / "_ids").exists()
+
+
+def test_one_key_over_several_shards(spark, texts, tmp_path):
+    rows = [(None if n % 3 else n, texts("en", n % 50, 60)) for n in range(240)] + [(7, texts("de", n, 30)) for n in range(200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = stored(spark, frame, tmp_path / "t", shards=8).orderBy("start").collect()
+    assert [r["start"] for r in found] == np.cumsum([0] + [r["n_tokens"] for r in found])[:-1].tolist()
+    keys = [r["key"] for r in found]
+    assert keys == sorted((k for k, _ in rows), key=lambda k: (k is not None, k or 0))
+    library = Tokenizer.from_file(PATH)
+    want = sorted((str(k), library.encode(t, add_special_tokens=False).ids + [2]) for k, t in rows)
+    assert sorted((str(r["key"]), np.frombuffer(r["ids"], "<u4").tolist()) for r in found) == want
+    blocks = spark.read.parquet(str(tmp_path / "t" / "blocks")).select("shard", "keys").collect()
+    for key in (None, 7):
+        assert len({b["shard"] for b in blocks if key in b["keys"]}) > 2
+
+
+def test_counts_of_batches_and_of_rows_are_one_code(spark, odd_rows, tmp_path):
+    frame = token_files.encode(odd_rows, PATH, end=2)
+    for name, counts in (("a", "counts"), ("b", None)):
+        token_files.write(frame, str(tmp_path / name), counts=counts)
+    a, b = (sorted(map(tuple, spark.read.parquet(str(tmp_path / n / "code")).collect())) for n in "ab")
+    assert a == b and a
