@@ -1,5 +1,5 @@
 """Multi-table plans."""
 
-from barfold.plans.update import update_all
+from barfold.plans.update import refresh_stored, stored_return, update_all
 
-__all__ = ["update_all"]
+__all__ = ["refresh_stored", "stored_return", "update_all"]

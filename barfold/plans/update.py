@@ -6,11 +6,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from barfold.operators.catch_up import price_changes
+from barfold.operators.catch_up import price_catch_up, price_changes
 from barfold.operators.levels import reconstruct
 from barfold.operators.lookups import max_date
 from barfold.operators.returns import last_price, last_volume, returns
-from barfold.schema import EARLIEST, MARKET_TABLES
+from barfold.schema import EARLIEST, LATEST, MARKET_TABLES, ON
 from barfold.sources.market import normalise_bars, select_bars
 from barfold.sources.store import Store
 
@@ -49,3 +49,19 @@ def update_all(store: Store, securities: DataFrame, bars: DataFrame,
             else:
                 rows = price_changes(changes, *current, *before, stored=change.read("stock_price"))
             change.upsert({"stock_price": rows})
+
+
+def refresh_stored(store: Store, **options) -> None:
+    """Catch the stored price table up with the stored returns and last levels.
+
+    The rows :func:`barfold.operators.catch_up.price_catch_up` finds missing or wrong are merged into the
+    partitions they fall into; no other partition is read for the merge or written.
+    """
+    with store.change() as change:
+        tables = [change.read(n) for n in ("stocks", "stock_return", "stock_price", "last_price", "last_volume")]
+        change.upsert({"stock_price": price_catch_up(*tables, **options)})
+
+
+def stored_return(store: Store, start: date = EARLIEST, end: date = LATEST) -> DataFrame:
+    """Stored returns with ``start <= Date <= end``, opening only the years between."""
+    return store.read("stock_return", between={ON: (start, end)})

@@ -30,20 +30,45 @@ ON = "Date"
 ENUM_PREFIX = "enum_"
 
 
+#: Buckets of the securities in series tables.
+BUCKETS = 16
+
+
+@dataclass(frozen=True)
+class Partition:
+    """One level of a table's folders: an integer expression over one primary key column.
+
+    ``expr`` is SQL with ``{}`` in the place of the column. A ``rising`` one never falls as
+    the column rises, so a range of the column is a range of the partition too.
+    """
+
+    name: str
+    expr: str
+    column: str
+    rising: bool = False
+
+    def of(self, value: str | None = None) -> str:
+        """The expression over the column, or over SQL text in its place."""
+        return self.expr.format(self.column if value is None else value)
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """Fields, primary key and storage partitioning of one table.
 
-    ``partition_by`` is an integer SQL expression over primary key columns only, so
-    that a keyed change touches just the partitions its source rows fall into.
+    Partitions are made of primary key columns only, so that a keyed change touches just the
+    partitions its source rows fall into.
     """
 
     name: str
     schema: T.StructType
     primary_key: tuple[str, ...] = ()
-    partition_by: str | None = None
+    partition_by: tuple[Partition, ...] = ()
 
     def __post_init__(self) -> None:
+        for p in self.partition_by:
+            if p.column not in self.primary_key or p.name in [*self.schema.fieldNames(), "change"]:
+                raise ValueError(f"{self.name}: partition {p.name!r} is not over a key column, or its name is taken")
         unknown = [k for k in self.primary_key if k not in self.schema.fieldNames()]
         if unknown:
             raise ValueError(f"{self.name}: key columns {unknown} are not fields")
@@ -59,7 +84,7 @@ class TableSpec:
 
 
 def _table(name: str, columns: list[tuple[str, T.DataType]], key: tuple[str, ...],
-           partition_by: str | None = None, required: Iterable[str] = ()) -> TableSpec:
+           partition_by: tuple[Partition, ...] = (), required: Iterable[str] = ()) -> TableSpec:
     required = {*key, *required}
     schema = T.StructType([T.StructField(c, t, c not in required) for c, t in columns])
     return TableSpec(name, schema, key, partition_by)
@@ -78,8 +103,10 @@ STOCKS = _table(
     + [(c, T.StringType()) for c in ("name", "ccy", "exch_yahoo", "id_yahoo")],
     (KEY,),
 )
-STOCK_RETURN = _table("stock_return", _SERIES_KEY + _doubles(LEVELS), (KEY, ON), f"year({ON})")
-STOCK_PRICE = _table("stock_price", _SERIES_KEY + _doubles(LEVELS), (KEY, ON), f"year({ON})")
+# A restated security is one bucket, a new day one year.
+_SERIES = (Partition("bucket", f"pmod(hash({{}}), {BUCKETS})", KEY), Partition("year", "year({})", ON, rising=True))
+STOCK_RETURN = _table("stock_return", _SERIES_KEY + _doubles(LEVELS), (KEY, ON), _SERIES)
+STOCK_PRICE = _table("stock_price", _SERIES_KEY + _doubles(LEVELS), (KEY, ON), _SERIES)
 LAST_PRICE = _table("last_price", _SERIES_KEY + _doubles(PRICES), (KEY,), required=(ON,))
 LAST_VOLUME = _table("last_volume", _SERIES_KEY + _doubles([VOLUME]), (KEY,), required=(ON,))
 

@@ -5,9 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -35,19 +33,3 @@ def materialise(frame: DataFrame) -> DataFrame:
     path = f"{checkpoint_dir(frame.sparkSession)}/table-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
-def in_stored_order(frame: DataFrame) -> DataFrame:
-    """``frame``, a table that was stored in an order, in that order again.
-
-    A scan packs files by size, so it loses the order of more than one file. A write numbers its files in
-    the order of its partitions, and a file keeps the order of its rows. What is not read
-    from files, or not the whole table as it was read, stays as it is.
-    """
-    if not frame._jdf.queryExecution().analyzed().children().isEmpty():
-        return frame
-    part = lambda pattern: F.regexp_extract("_metadata.file_name", pattern, 1).try_cast("long")
-    try:
-        return frame.orderBy(part(r"^part-(\d+)"), part(r"-c(\d+)[^-]*$"), "_metadata.file_name", "_metadata.row_index")
-    except AnalysisException:
-        return frame

@@ -5,7 +5,8 @@ mix. So a change is first computed and written in full to a new directory; then
 small numbered manifest, naming the directories that now make up each table, is
 renamed into place. A job that fails before that leaves the old state current. A
 manifest lists directories per table partition, so a keyed change rewrites only
-the partitions its source rows fall into.
+the partitions its source rows fall into. The partition columns are in the paths, as Spark
+writes them, so it prunes by them.
 
 The file system must rename atomically and refuse to rename onto an existing file
 (HDFS and POSIX-like stores do).
@@ -15,21 +16,24 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barfold.operators.maintain import replace_by
-from barfold.schema import Registry, TableSpec
+from barfold.schema import Partition, Registry, TableSpec
 from barfold.sources.staging import conform
 
-_PART = "part_key"
+# The folder of one write, as a partition level of its own: Spark wants all paths of a table to be of one form.
+_CHANGE = "change"
+
+# Bounds of a column, both included; None for an open end.
+Range = tuple[object, object]
 
 
 class ConcurrentChange(RuntimeError):
@@ -43,9 +47,8 @@ class Change:
         self._store, self.base = store, base
         self.manifest = store._manifest(base)
 
-    def read(self, name: str) -> DataFrame:
-        entry = self.manifest[name]
-        return self._store._rows(entry, list(entry["parts"]))
+    def read(self, name: str, between: Mapping[str, Range] | None = None) -> DataFrame:
+        return self._store._read(name, self.manifest[name], between)
 
     def upsert(self, sources: Mapping[str, DataFrame],
                by: Mapping[str, list[str]] | None = None) -> None:
@@ -135,24 +138,44 @@ class Store:
 
     @staticmethod
     def _spec(name: str, entry: dict) -> TableSpec:
-        return TableSpec(name, T.StructType.fromJson(entry["schema"]),
-                         tuple(entry["primary_key"]), entry["partition_by"])
+        return TableSpec(name, T.StructType.fromJson(entry["schema"]), tuple(entry["primary_key"]),
+                         tuple(Partition(*p) for p in entry["partition_by"]))
 
     def registry(self) -> Registry:
         manifest = self._manifest(self.version())
         return Registry([self._spec(n, e) for n, e in manifest.items()])
 
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        """All rows of a table, as of the current manifest or an earlier one."""
-        entry = self._entry(name, version)
-        return self._rows(entry, list(entry["parts"]))
+    def read(self, name: str, version: int | None = None,
+             between: Mapping[str, Range] | None = None) -> DataFrame:
+        """All rows of a table, as of the current manifest or an earlier one.
 
-    def _rows(self, entry: dict, parts: list[str]) -> DataFrame:
-        schema = T.StructType.fromJson(entry["schema"])
+        ``between`` bounds columns by values (date, int or text, both ends included, None for an open end); of the
+        table's folders only those that can hold such rows are opened. Equal ends also choose buckets.
+        """
+        return self._read(name, self._entry(name, version), between)
+
+    def _read(self, name: str, entry: dict, between: Mapping[str, Range] | None = None) -> DataFrame:
+        spec, tests = self._spec(name, entry), []
+        for column, (low, high) in (between or {}).items():
+            kind = spec.schema[column].dataType.simpleString()
+            low, high = (None if v is None else f"CAST('{_escaped(v)}' AS {kind})" for v in (low, high))
+            for p in [Partition(f"`{column}`", "{}", column, True), *spec.partition_by]:
+                if p.column == column and low is not None and low == high:
+                    tests.append(f"{p.name} = {p.of(low)}")
+                elif p.column == column and p.rising:
+                    tests += [f"{p.name} {sign} {p.of(v)}" for sign, v in ((">=", low), ("<=", high)) if v is not None]
+        return self._rows(entry, spec, list(entry["parts"]), tests)
+
+    def _rows(self, entry: dict, spec: TableSpec, parts: list[str], tests: Sequence[str] = ()) -> DataFrame:
         paths = [f"{self.root}/{d}" for p in parts for d in entry["parts"].get(p, [])]
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+            return self.spark.createDataFrame([], spec.schema)
+        schema = T.StructType([*spec.schema.fields, T.StructField(_CHANGE, T.StringType()),
+                               *[T.StructField(p.name, T.LongType()) for p in spec.partition_by]])
+        rows = self.spark.read.option("basePath", f"{self.root}/data/{spec.name}").schema(schema).parquet(*paths)
+        for test in tests:
+            rows = rows.where(test)
+        return rows.select(*spec.fields)
 
     def dictionaries(self) -> dict[str, DataFrame]:
         return {n: self.read(n) for n in self.registry().dictionaries()}
@@ -170,26 +193,31 @@ class Store:
     @staticmethod
     def _new_entry(spec: TableSpec) -> dict:
         return {"schema": spec.schema.jsonValue(), "primary_key": list(spec.primary_key),
-                "partition_by": spec.partition_by, "parts": {}}
+                "partition_by": [[p.name, p.expr, p.column, p.rising] for p in spec.partition_by], "parts": {}}
 
     def _write(self, spec: TableSpec, rows: DataFrame, laid_out: bool = False) -> dict[str, list[str]]:
         """Write rows to a new directory; returns the directories per partition."""
-        folder = f"data/{spec.name}/{uuid.uuid4().hex}"
-        rows = conform(rows, spec).withColumn(_PART, self._part(spec))
+        folder = f"data/{spec.name}/{_CHANGE}={uuid.uuid4().hex}"
+        names = [p.name for p in spec.partition_by]
+        rows = conform(rows, spec).withColumns(self._places(spec))
         if not laid_out:
             # AQE merges small and splits large partitions of a rebalance.
-            rows = rows.hint("rebalance", *([_PART] if spec.partition_by else []))
-        rows.write.partitionBy(_PART).parquet(f"{self.root}/{folder}")
-        parts: dict[str, list[str]] = {}
-        for status in self._fs.listStatus(self._path(f"{self.root}/{folder}")):
-            name = status.getPath().getName()
-            if name.startswith(f"{_PART}="):
-                parts[name[len(_PART) + 1:]] = [f"{folder}/{name}"]
-        return parts
+            rows = rows.hint("rebalance", *names)
+        (rows.write.partitionBy(*names) if names else rows.write).parquet(f"{self.root}/{folder}")
+        parts = [""]
+        for name in names:
+            parts = [f"{part}/{found}" if part else found for part in parts
+                     for found in self._children(f"{folder}/{part}") if found.startswith(f"{name}=")]
+        return {part: [f"{folder}/{part}" if part else folder] for part in parts}
+
+    def _children(self, folder: str) -> list[str]:
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/{folder}".rstrip("/")))]
 
     @staticmethod
-    def _part(spec: TableSpec) -> Column:
-        return F.expr(spec.partition_by).cast("long") if spec.partition_by else F.lit(0)
+    def _places(spec: TableSpec, columns: Sequence[str] | None = None) -> dict[str, Column]:
+        """The partitions of a row, or those that ``columns`` tell."""
+        return {p.name: F.expr(p.of(f"`{p.column}`")).cast("long") for p in spec.partition_by
+                if columns is None or p.column in columns}
 
     def publish(self, tables: Mapping[str, DataFrame]) -> None:
         """Replace the content of one or more tables in a single step."""
@@ -234,24 +262,18 @@ class Store:
     def _merged(self, entry: dict, spec: TableSpec, source: DataFrame, delete_by: list[str]) -> dict:
         keys = list(spec.primary_key)
         touched = list(entry["parts"])
-        if self._placed_by(spec, delete_by):
+        places = self._places(spec, delete_by)
+        if places:
             # At most one row per partition of the table.
-            parts = source.select(self._part(spec).alias(_PART)).where(f"{_PART} IS NOT NULL")
-            touched = [str(r[0]) for r in parts.distinct().collect()]
-        merged = replace_by(self._rows(entry, touched), source, delete_by, keys)
+            found = source.select(*[place.alias(name) for name, place in places.items()]).na.drop().distinct().collect()
+            wanted = {tuple(f"{name}={row[name]}" for name in places) for row in found}
+            chosen = [n for n, p in enumerate(spec.partition_by) if p.name in places]
+            touched = [part for part in touched if tuple(part.split("/")[n] for n in chosen) in wanted]
+        merged = replace_by(self._rows(entry, spec, touched), source, delete_by, keys)
         kept = {p: d for p, d in entry["parts"].items() if p not in set(touched)}
-        return entry | {"parts": kept | self._write(spec, merged)}
-
-    def _placed_by(self, spec: TableSpec, columns: list[str]) -> bool:
-        """Whether these columns alone tell a row's partition."""
-        if not spec.partition_by:
-            return False
-        fields = [f for f in spec.schema.fields if f.name in columns]
-        try:
-            self.spark.createDataFrame([], T.StructType(fields)).select(self._part(spec))
-        except AnalysisException:
-            return False
-        return True
+        # Where the columns deleted by do not tell the whole partition, new rows may join one that is kept.
+        written = self._write(spec, merged)
+        return entry | {"parts": kept | {p: kept.get(p, []) + d for p, d in written.items()}}
 
     def compact(self, name: str) -> None:
         """Rewrite a table in key order with evenly sized files; its rows stay the same."""
@@ -259,8 +281,8 @@ class Store:
         manifest = self._manifest(base)
         entry = self._entry(name, base)
         spec = self._spec(name, entry)
-        order = [self._part(spec), *[F.col(k) for k in spec.primary_key]]
-        rows = self._rows(entry, list(entry["parts"]))
+        order = [*self._places(spec).values(), *[F.col(k) for k in spec.primary_key]]
+        rows = self._rows(entry, spec, list(entry["parts"]))
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
         manifest[name] = entry | {"parts": self._write(spec, rows, laid_out=True)}
         self._switch(base, manifest)
@@ -285,3 +307,7 @@ class Store:
     def _directories(self, version: int) -> set[str]:
         return {d for entry in self._manifest(version).values()
                 for directories in entry["parts"].values() for d in directories}
+
+
+def _escaped(value: object) -> str:
+    return str(value).replace("\\", "\\\\").replace("'", "\\'")

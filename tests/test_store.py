@@ -5,14 +5,15 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.schema import STOCK_RETURN, STOCKS, TableSpec, enum_spec
+from barfold.plans import stored_return
+from barfold.schema import BUCKETS, STOCK_RETURN, STOCKS, Partition, TableSpec, enum_spec
 from barfold.sources.store import ConcurrentChange, Store
 from tests.conftest import rows_of
 
 SPEC = TableSpec(
     "t",
     T.StructType([T.StructField("k", T.LongType(), False), T.StructField("v", T.StringType())]),
-    ("k",), "k div 10",
+    ("k",), (Partition("tens", "{} div 10", "k", True),),
 )
 
 
@@ -70,7 +71,7 @@ def test_upsert_rewrites_only_the_partitions_it_touches(spark, store):
     store.upsert({"t": frame(spark, [(11, "B"), (12, "n"), (35, "z"), (None, "gone")])})
     after = store._entry("t")["parts"]
     assert rows_of(store.read("t")) == [(1, "a"), (11, "B"), (12, "n"), (21, "c"), (35, "z")]
-    assert {p for p in after if after[p] == before.get(p)} == {"0", "2"}
+    assert {p for p in after if after[p] == before.get(p)} == {"tens=0", "tens=2"}
     assert os.listdir(f"{store.root}/staging") == []
 
 
@@ -90,7 +91,9 @@ def test_replacing_dates_rewrites_only_their_years(spark, store):
     store.upsert({"stock_return": new}, by={"stock_return": ["Date"]})
     after = store._entry("stock_return")["parts"]
     assert rows_of(store.read("stock_return").where("Date = '2000-06-01'"), "sec_id") == [(3,)]
-    assert {y for y in after if after[y] == before[y]} == {"1999", "2001"}
+    kept = {p.split("/")[1] for p in after if after[p] == before.get(p)}
+    assert kept == {"year=1999", "year=2001"}
+    assert not {p for p in after if p.endswith("year=2000")} & {p for p in after if after[p] == before.get(p)}
 
 
 def test_upsert_of_different_rows_with_one_key_fails(spark, store):
@@ -139,8 +142,52 @@ def test_dictionaries_are_found_by_name(spark, store):
     assert list(store.dictionaries()) == ["enum_sector"]
 
 
-def test_partition_by_year(spark, store):
+@pytest.fixture
+def series(spark, store):
     store.create(STOCK_RETURN)
-    rows = [(1, date(y, 6, 1), *[1.0] * 6) for y in (1999, 2000, 2001)]
+    rows = [(s, date(y, 6, d), *[float(s)] * 6) for s in range(1, 60) for y in (1999, 2000, 2001) for d in (1, 9)]
     store.publish({"stock_return": spark.createDataFrame(rows, STOCK_RETURN.schema)})
-    assert sorted(store._entry("stock_return")["parts"]) == ["1999", "2000", "2001"]
+    return store
+
+
+def test_series_are_in_buckets_and_years(series):
+    parts = [p.split("/") for p in series._entry("stock_return")["parts"]]
+    assert {y for _, y in parts} == {"year=1999", "year=2000", "year=2001"}
+    assert 10 < len({b for b, _ in parts}) <= BUCKETS
+
+
+def test_a_month_opens_one_year(series):
+    one = stored_return(series, date(2000, 6, 1), date(2000, 6, 5))
+    assert one.count() == 59
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in filters and "2000" in filters
+    scan = one._jdf.queryExecution().executedPlan().collectLeaves().head()
+    files = scan.selectedPartitions().totalNumberOfFiles()
+    assert 0 < files <= BUCKETS < len(series.read("stock_return").inputFiles())
+    assert stored_return(series).count() == series.read("stock_return").count()
+    assert stored_return(series, date(2002, 1, 1)).count() == 0
+
+
+def test_one_security_opens_one_bucket(series):
+    one = series.read("stock_return", between={"sec_id": (7, 7), "Date": (None, date(2000, 6, 1))})
+    assert rows_of(one, "sec_id", "Date") == [(7, date(y, 6, d)) for y, d in ((1999, 1), (1999, 9), (2000, 1))]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_replacing_securities_rewrites_only_their_buckets(spark, series):
+    before = series._entry("stock_return")["parts"]
+    new = spark.createDataFrame([(7, date(2005, 6, 1), *[2.0] * 6)], STOCK_RETURN.schema)
+    series.upsert({"stock_return": new}, by={"stock_return": ["sec_id"]})
+    after = series._entry("stock_return")["parts"]
+    changed = {p.split("/")[0] for p in after.keys() | before.keys() if after.get(p) != before.get(p)}
+    assert len(changed) == 1
+    assert rows_of(series.read("stock_return").where("sec_id = 7"), "Date") == [(date(2005, 6, 1),)]
+    assert series.read("stock_return").count() == 58 * 6 + 1
+
+
+def test_partitions_are_checked(spark):
+    for column, name in (("v", "x"), ("k", "v"), ("k", "change")):
+        with pytest.raises(ValueError, match="partition"):
+            TableSpec("t", SPEC.schema, ("k",), (Partition(name, "{}", column),))

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from barfold import operators as op
-from barfold.plans import update_all
+from barfold.plans import refresh_stored, update_all
 from barfold.schema import KEY, ON, PRICES
 from barfold.sources import materialise
 from barfold.sources.store import Store
@@ -176,3 +176,35 @@ def test_prices_that_end_before_their_returns_are_rebuilt(spark, tmp_path):
     update_all(store, master(spark), quotes(spark, BARS).limit(0), start=first)
     df = em.frame(spark, BARS).where(F.col(ON) <= F.lit(first))
     em.assert_same(em.keyed(store.read("stock_price")), em.keyed(op.price_history(df)))
+
+
+def test_a_restated_security_rewrites_one_bucket(spark, tmp_path):
+    many = {s: {d: bar(20 + (d * 7 + s) % 11, 5 + (d + s) % 4) for d in range(0, 900, 90)} for s in range(1, 40)}
+    store = Store(spark, str(tmp_path / "store"))
+    update_all(store, master(spark, many), quotes(spark, many))
+    before = {n: store._entry(n)["parts"] for n in ("stock_return", "stock_price")}
+    many[7] = {d: bar(10 + d % 13, 7) for d in many[7]}
+    update_all(store, master(spark, many), quotes(spark, {7: many[7]}))
+    em.assert_same(em.keyed(store.read("stock_price")), em.keyed(op.price_history(em.frame(spark, many))))
+    for name, old in before.items():
+        new = store._entry(name)["parts"]
+        changed = {p for p in new if new[p] != old.get(p)}
+        assert changed and {p.split("/")[0] for p in changed} == {next(iter(changed)).split("/")[0]}
+        assert len(changed) < len(new) / 4
+
+
+def test_refresh_leaves_other_files_alone(spark, tmp_path):
+    df = em.frame(spark, BARS)
+    history = op.price_history(df)
+    cut = F.lit(em.DAY0 + timedelta(days=20))
+    store = Store(spark, str(tmp_path / "store"))
+    update_all(store, master(spark), quotes(spark, BARS))
+    store.publish({"stock_price": history.where((F.col(KEY) != 2) | (F.col(ON) <= cut))})
+    before = store._entry("stock_price")["parts"]
+    refresh_stored(store)
+    after = store._entry("stock_price")["parts"]
+    em.assert_same(em.keyed(store.read("stock_price")), em.keyed(history))
+    bucket = spark.range(1).selectExpr("pmod(hash(2L), 16) AS b").first()["b"]
+    assert {p.split("/")[0] for p in after if after[p] != before.get(p)} == {f"bucket={bucket}"}
+    refresh_stored(store)
+    assert store._entry("stock_price")["parts"] == after

@@ -26,15 +26,15 @@ _CTE = {
     {_halt("sum(CASE WHEN l_returnflag = 'R' THEN 0.0::DOUBLE ELSE l_quantity END)")} AS volume
   FROM lineitem GROUP BY 1, 2""",
     "quotes": """
-  SELECT lpad(CAST(sec_id AS VARCHAR), 8, '0') || '.HK' AS symbol, "Date" AS "date",
+  SELECT lpad(CAST(sec_id AS VARCHAR), 8, '0') || '.SW' AS symbol, "Date" AS "date",
     "open", high, low, "close", nullif(volume, 0) AS volume, adj_close AS adjusted
   FROM bars""",
     "securities": """
-  SELECT 0 AS sheet_ord, s_suppkey AS row_ord, s_suppkey AS sec_id, s_name AS name, 'HKD' AS ccy,
-    'HK' AS exch_yahoo, lpad(CAST(s_suppkey AS VARCHAR), 8, '0') || '.HK' AS id_yahoo FROM supplier
+  SELECT 0 AS sheet_ord, s_suppkey AS row_ord, s_suppkey AS sec_id, s_name AS name, 'CHF' AS ccy,
+    'SW' AS exch_yahoo, lpad(CAST(s_suppkey AS VARCHAR), 8, '0') || '.SW' AS id_yahoo FROM supplier
   UNION ALL
-  SELECT 1, c_custkey, c_custkey, c_name, 'HKD', 'HK',
-    lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '.HK' FROM customer""",
+  SELECT 1, c_custkey, c_custkey, c_name, 'CHF', 'SW',
+    lpad(CAST(c_custkey AS VARCHAR), 8, '0') || '.SW' FROM customer""",
     "stocks": """
   SELECT sec_id, name, ccy, exch_yahoo, id_yahoo FROM (
     SELECT *, row_number() OVER (PARTITION BY sec_id ORDER BY sheet_ord, row_ord) AS place
@@ -323,6 +323,14 @@ SELECT p_partkey, (SELECT min(id) FROM enum_p_brand e WHERE e.value = p.p_brand)
   (SELECT min(id) FROM enum_p_type e WHERE e.value = p.p_type) AS p_type FROM parts p"""),
 }
 
-# The same series a hundred years earlier.
+# The same series some hundred years earlier, by whole days.
 ORACLE["refresh_prices_early"] = (
-    "SELECT * REPLACE (CAST(\"Date\" - INTERVAL 100 YEAR AS DATE) AS \"Date\") FROM (" + ORACLE["refresh_prices"] + ")")
+    "SELECT * REPLACE (\"Date\" - 36524 AS \"Date\") FROM (" + ORACLE["refresh_prices"] + ")")
+ORACLE["refresh_stored_prices"] = ORACLE["refresh_prices"]
+ORACLE["return_range_stored"] = ORACLE["return_range"]
+# Bars after a split of every tenth security.
+_SPLIT = f"""sent AS ({_CTE['bars']}),
+bars AS (SELECT * REPLACE (
+    {', '.join(f'"{c}" * CASE WHEN split THEN {2.0 if c == "volume" else 0.5} ELSE 1.0 END AS "{c}"' for c in LEVELS)})
+  FROM (SELECT *, sec_id % 10 = 3 AND "Date" < DATE '1996-01-01' AS split FROM sent))"""
+ORACLE["update_all_restated"] = ORACLE["update_all_prices"].replace(f"bars AS ({_CTE['bars']})", _SPLIT)

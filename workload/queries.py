@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 from barfold import operators as op
 from barfold import sources as src
 from barfold.functions import lag_cum_chg, lag_cum_chg_na, pct_chg
-from barfold.plans import update_all
-from barfold.schema import KEY, LEVELS, MARKET_TABLES, ON, TableSpec
+from barfold.plans import refresh_stored, stored_return, update_all
+from barfold.schema import KEY, LEVELS, MARKET_TABLES, ON, Partition, TableSpec
 from barfold.sources.store import Store
 from workload import standins as make
 
@@ -134,22 +134,37 @@ def refresh_prices(t):
     return op.refresh_prices(make.stocks(t), changes, stored, prices, volumes)
 
 
-def _years_back(rows: DataFrame, years: int) -> DataFrame:
-    return rows.withColumn(ON, F.add_months(ON, -12 * years))
+def _days_back(rows: DataFrame, days: int) -> DataFrame:
+    return rows.withColumn(ON, F.date_sub(ON, days))
 
 
 @query
 def refresh_prices_early(t):
-    """The same a hundred years earlier, over a price table that is partly empty."""
-    b = _years_back(make.bars(t), 100)
+    """The same some hundred years earlier, over a price table that is partly empty."""
+    b = _days_back(make.bars(t), 36524)
     changes, prices, volumes = (
         src.materialise(table) for table in (op.returns(b), op.last_price(b), op.last_volume(b))
     )
-    late = make.stored_prices(t, _years_back(op.reconstruct(changes, prices, volumes), -100))
-    stored = src.materialise(_years_back(late, 100))
+    late = make.stored_prices(t, _days_back(op.reconstruct(changes, prices, volumes), -36524))
+    stored = src.materialise(_days_back(late, 36524))
     return op.refresh_prices(make.stocks(t), changes, stored, prices, volumes)
 
 
+@query
+def refresh_stored_prices(t):
+    """The same catch-up in a store, merged into the partitions it touches."""
+    b = make.bars(t)
+    changes, prices, volumes = (
+        src.materialise(table) for table in (op.returns(b), op.last_price(b), op.last_volume(b))
+    )
+    store = Store(b.sparkSession, _scratch(b.sparkSession, "market"))
+    store.create(*MARKET_TABLES)
+    store.publish({"stocks": make.stocks(t), "stock_return": changes, "last_price": prices, "last_volume": volumes,
+                   "stock_price": make.stored_prices(t, op.reconstruct(changes, prices, volumes))})
+    refresh_stored(store)
+    return store.read("stock_price")
+
+
 @query
 def refresh_prices_small_drift(t):
     """Stored levels off by a millionth of a unit, with volumes near a billion."""
@@ -245,6 +260,16 @@ def return_range(t):
     return op.get_return(_returns(t), date(1996, 1, 1), date(1998, 6, 30))
 
 
+@query
+def return_range_stored(t):
+    """The same from a stored table, of which only the years in question are opened."""
+    rows = _returns(t)
+    store = Store(rows.sparkSession, _scratch(rows.sparkSession, "market"))
+    store.create(*MARKET_TABLES)
+    store.publish({"stock_return": rows})
+    return stored_return(store, date(1996, 1, 1), date(1998, 6, 30))
+
+
 @query
 def max_date(t):
     return op.max_date(make.stocks(t), _returns(t), before=RESUME_BEFORE)
@@ -371,7 +396,7 @@ ORDERS = TableSpec(
         T.StructField("o_totalprice", T.DoubleType()),
         T.StructField("o_date", T.DateType()),
     ]),
-    ("o_orderkey",), "pmod(xxhash64(o_orderkey), 16)",
+    ("o_orderkey",), (Partition("part", "pmod(xxhash64({}), 16)", "o_orderkey"),),
 )
 
 
@@ -397,6 +422,17 @@ def update_all_prices(t):
     return store.read("stock_price")
 
 
+@query
+def update_all_restated(t):
+    """An update with all bars, then one with the restated bars of a few securities alone."""
+    bars = src.materialise(make.bars(t))
+    restated = make.restated(bars).where(F.pmod(KEY, F.lit(10)) == 3)
+    store = Store(bars.sparkSession, _scratch(bars.sparkSession, "market"))
+    update_all(store, make.stocks(t), make.feed(bars))
+    update_all(store, make.stocks(t), make.feed(restated))
+    return store.read("stock_price")
+
+
 @query
 def update_all_interrupted(t):
     """Returns and last levels of a first run without their prices, then two runs."""

@@ -61,7 +61,11 @@ def bars(t: Inputs) -> DataFrame:
 
 def quotes(t: Inputs) -> DataFrame:
     """The bars as a feed would deliver them: by symbol, no volume instead of 0."""
-    return bars(t).select(
+    return feed(bars(t))
+
+
+def feed(rows: DataFrame) -> DataFrame:
+    return rows.select(
         symbol_of("sec_id").alias("symbol"), F.col("Date").alias("date"),
         "open", "high", "low", "close",
         F.when(F.col("volume") != 0, F.col("volume")).alias("volume"),
@@ -69,8 +73,15 @@ def quotes(t: Inputs) -> DataFrame:
     )
 
 
+def restated(rows: DataFrame) -> DataFrame:
+    """Bars after a split: every tenth security has half the price and twice the volume before 1996."""
+    split = (F.pmod("sec_id", F.lit(10)) == 3) & (F.col("Date") < F.lit("1996-01-01").cast("date"))
+    factor = {c: 2.0 if c == "volume" else 0.5 for c in rows.columns if c not in ("sec_id", "Date")}
+    return rows.withColumns({c: F.when(split, F.col(c) * f).otherwise(F.col(c)) for c, f in factor.items()})
+
+
 def symbol_of(sec_id: str) -> Column:
-    return F.concat(F.lpad(F.col(sec_id).cast("string"), 8, "0"), F.lit(".HK"))
+    return F.concat(F.lpad(F.col(sec_id).cast("string"), 8, "0"), F.lit(".SW"))
 
 
 def securities(t: Inputs) -> DataFrame:
@@ -81,7 +92,7 @@ def securities(t: Inputs) -> DataFrame:
         return rows.select(
             F.lit(number).alias("sheet_ord"), F.col(key).alias("row_ord"),
             F.col(key).alias("sec_id"), F.col(f"{prefix}_name").alias("name"),
-            F.lit("HKD").alias("ccy"), F.lit("HK").alias("exch_yahoo"),
+            F.lit("CHF").alias("ccy"), F.lit("SW").alias("exch_yahoo"),
             symbol_of(key).alias("id_yahoo"),
         )
     return sheet("supplier", 0, "s").unionByName(sheet("customer", 1, "c"))
