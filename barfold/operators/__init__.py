@@ -1,7 +1,14 @@
 """DataFrame operators."""
 
 from barfold.operators.catch_up import price_catch_up, price_changes, refresh_prices
-from barfold.operators.dictionary import encode_enums, enums_of, extend_enum, extend_enums
+from barfold.operators.dictionary import (
+    encode_enums,
+    encode_enums_at_once,
+    enums_of,
+    extend_enum,
+    extend_enums,
+    extend_enums_at_once,
+)
 from barfold.operators.levels import price_history, reconstruct, roundtrip_diff
 from barfold.operators.lookups import get_return, last_date, max_date, param_query
 from barfold.operators.maintain import (
@@ -11,6 +18,7 @@ from barfold.operators.maintain import (
     replace_by,
     upsert,
 )
+from barfold.operators.ordered import aggregate_up_to, asof, drop_unchanged_append
 from barfold.operators.returns import (
     last_price,
     last_volume,
@@ -20,12 +28,17 @@ from barfold.operators.returns import (
 )
 
 __all__ = [
+    "aggregate_up_to",
+    "asof",
     "delete_matching",
     "drop_unchanged",
+    "drop_unchanged_append",
     "encode_enums",
+    "encode_enums_at_once",
     "enums_of",
     "extend_enum",
     "extend_enums",
+    "extend_enums_at_once",
     "get_return",
     "insert_absent",
     "last_date",

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barfold.schema import ENUM_PREFIX, is_dictionary
 from barfold.sources.scratch import materialise
@@ -94,3 +97,94 @@ def encode_enums(frame: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame
             .select(*order)
         )
     return frame
+
+
+def _unpivoted(frame: DataFrame, kinds: Mapping[str, T.DataType], keep: list[str] | None = None) -> DataFrame:
+    """``column`` and its value of each row and column of ``kinds``, one ``_<type>`` column per type of value, others null."""
+    types = sorted({k.simpleString() for k in kinds.values()})
+    values = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[
+            (F.col(c) if kind.simpleString() == t else F.lit(None)).cast(t).alias(f"_{n}") for n, t in enumerate(types)])
+        for c, kind in kinds.items()]))
+    places = [f"_{n}" for n in range(len(types))]
+    held = reduce(or_, [F.col(p).isNotNull() for p in places])
+    return frame.select(*(keep or []), values.alias("v")).select(*(keep or []), "v.*").where(held)
+
+
+def _known(tables: Mapping[str, DataFrame], names: Mapping[str, str]) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """All dictionaries in the form of :func:`_unpivoted`, with ``id``; and the type of each one's values."""
+    kinds = {c: tables[n].schema["value"].dataType for c, n in names.items()}
+    types = sorted({k.simpleString() for k in kinds.values()})
+    rows = [
+        tables[n].where(F.col("value").isNotNull()).select(
+            F.lit(c).alias("column"),
+            *[(F.col("value") if kinds[c].simpleString() == t else F.lit(None)).cast(t).alias(f"_{k}") for k, t in enumerate(types)],
+            "id")
+        for c, n in names.items()
+    ]
+    return reduce(DataFrame.unionAll, rows), kinds
+
+
+def extend_enums_at_once(tables: Mapping[str, DataFrame], source: DataFrame) -> dict[str, DataFrame]:
+    """:func:`extend_enum` for every dictionary whose column ``source`` has, in one pass over it.
+
+    The columns are stacked to rows of column and value, so that there is one scan, one range exchange and one
+    numbering for any number of columns. A value's id is its place among its column's new values.
+    """
+    names = enums_of(tables, source)
+    if not names:
+        return {}
+    known, kinds = _known(tables, names)
+    places = [c for c in known.columns if c.startswith("_")]
+    found = _unpivoted(source.select(*[F.col(c).cast(k).alias(c) for c, k in kinds.items()]), kinds).distinct()
+    same = [F.col(f"f.{p}").eqNullSafe(F.col(f"k.{p}")) for p in ["column", *places]]
+    fresh = materialise(
+        found.alias("f").join(known.alias("k"), reduce(and_, same), "left_anti")
+        .repartitionByRange("column", *places).sortWithinPartitions("column", *places)
+        .withColumn("_place", F.monotonically_increasing_id())
+    ).withColumn("_part", F.shiftright("_place", _ROW_BITS))
+    before = Window.partitionBy("column").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per column and partition.
+    offsets = (
+        fresh.groupBy("column", "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
+        .select("column", "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    )
+    tops = known.groupBy("column").agg(F.max("id").alias("_top"))
+    # Ids of null values count as well, as they do one by one.
+    highest = reduce(DataFrame.unionAll, [
+        tables[n].agg(F.max("id").alias("_top")).select(F.lit(c).alias("column"), "_top") for c, n in names.items()])
+    tops = tops.unionByName(highest).groupBy("column").agg(F.coalesce(F.max("_top"), F.lit(0)).alias("_top"))
+    numbered = materialise(
+        fresh.join(offsets, ["column", "_part"]).join(tops, "column").select(
+            "column", *places, (F.col("_top") + F.col("_offset") + F.col("_place") - F.col("_first") + 1).cast("long").alias("id")))
+    types = sorted({k.simpleString() for k in kinds.values()})
+    return {
+        name: tables[name].select("id", "value").unionByName(
+            numbered.where(F.col("column") == c).select(
+                "id", F.col(f"_{types.index(kinds[c].simpleString())}").alias("value")))
+        for c, name in names.items()
+    }
+
+
+def encode_enums_at_once(frame: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """:func:`encode_enums` for any number of columns with the same exchanges, for dictionaries too large to broadcast.
+
+    Rows are numbered and stacked to column and value; each value meets its id in one join, and one aggregate
+    per row number puts the row together again. Values that many rows hold are split by the adaptive skew join.
+    """
+    names = enums_of(tables, frame)
+    if not names:
+        return frame
+    known, kinds = _known(tables, names)
+    places = [c for c in known.columns if c.startswith("_")]
+    ids = materialise(known.groupBy("column", *places).agg(F.min("id").alias("_id")))
+    rows = materialise(frame.withColumn("_row", F.monotonically_increasing_id()))
+    cast = rows.select("_row", *[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
+    stacked = _unpivoted(cast, kinds, ["_row"])
+    same = [F.col(f"s.{p}").eqNullSafe(F.col(f"k.{p}")) for p in ["column", *places]]
+    met = stacked.alias("s").join(ids.alias("k"), reduce(and_, same)).select("s._row", "s.column", "k._id")
+    encoded = met.groupBy("_row").agg(*[
+        F.max(F.when(F.col("column") == c, F.col("_id"))).alias(f"_id_{n}") for n, c in enumerate(names)])
+    place = {c: f"_id_{n}" for n, c in enumerate(names)}
+    return rows.join(encoded, "_row", "left").select(
+        *[F.col(place[c]).alias(c) if c in place else F.col(c) for c in frame.columns])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from datetime import date
 from functools import reduce
@@ -13,7 +14,9 @@ from pyspark.sql import types as T
 
 from barfold.functions.series import not_nan
 from barfold.functions.spans import position
+from barfold.operators.ordered import aggregate_up_to
 from barfold.schema import EARLIEST, KEY, LATEST, ON, VOLUME
+from barfold.sources.scratch import materialise
 
 
 def get_return(returns: DataFrame, start: date = EARLIEST, end: date = LATEST) -> DataFrame:
@@ -78,21 +81,23 @@ def param_query(table: DataFrame, params: DataFrame | None,
                 equal: Mapping[str, str] | None = None,
                 between: Mapping[str, Ends] | None = None,
                 within: Mapping[str, Ends] | None = None,
-                agg: Mapping[str, Column] | None = None,
-                pieces: int = 64) -> DataFrame:
+                agg: Mapping[str, Column | tuple[str, str]] | None = None,
+                pieces: int | None = None) -> DataFrame:
     """The rows of ``table`` that match each parameter row, with all its parameters.
 
     ``equal`` maps table columns to parameter columns. ``between`` maps table columns to a pair
     of parameter columns with both bounds included, ``within`` with both left out; None
     in place of a column leaves that side open. A table row comes back once per matching
     parameter row; without parameters the table is returned as it is. ``agg`` names aggregates of
-    table columns that skip nulls: then there is one row per different parameter row, also where
-    nothing matches, since each takes part with one more table row of nulls.
-
-    Every condition set becomes an equi-join. Where there are only ranges, the first one's column
-    is cut into ``pieces`` at its quantiles, so pieces hold about as many rows each; a parameter row
-    stands for the pieces its range meets, and each table row falls into exactly one
-    piece, so no pair is met twice. That takes a number, date or time.
+    table columns: then there is one row per parameter row, repeated ones too, with what the aggregates are
+    over no rows where nothing matches. An aggregate is a column, or a pair of ``count``, ``sum``, ``min`` or ``max`` and
+    a table column. If all are pairs and the one range is open on a side, no pair of rows is
+    formed: :func:`~barfold.operators.ordered.aggregate_up_to` passes over both tables once.
+
+    Otherwise every condition set becomes an equi-join. Where there are only ranges, the first one's column
+    is cut into ``pieces`` (default: the session's shuffle partitions) at its quantiles, so pieces hold about
+    as many rows each; a parameter row stands for the pieces its range meets, and each table row falls into
+    exactly one piece, so no pair is met twice. That takes a number, date or time.
     """
     if params is None:
         return table
@@ -103,6 +108,13 @@ def param_query(table: DataFrame, params: DataFrame | None,
     if clash:
         raise ValueError(f"parameter columns {sorted(clash)} also name table columns")
 
+    ends = [*between.items(), *within.items()]
+    if agg and len(ends) == 1 and None in ends[0][1] and all(isinstance(a, tuple) for a in agg.values()):
+        column, (lo, hi) = ends[0]
+        return aggregate_up_to(table, params, (column, hi or lo), agg, equal, falling=hi is None, strict=bool(within))
+    names = params.columns
+    if agg is not None:
+        params = materialise(params.withColumn("_no", F.monotonically_increasing_id()))
     left, right = table, params
     keys = [F.col(c) == F.col(p) for c, p in equal.items()]
     ranges = [F.col(c) >= F.col(lo) for c, (lo, _) in between.items() if lo]
@@ -116,13 +128,16 @@ def param_query(table: DataFrame, params: DataFrame | None,
     found = right.join(left, reduce(and_, keys + ranges)).select(*params.columns, *table.columns)
     if agg is None:
         return found
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema.fields]
-    rows = found.unionByName(params.distinct().select(*params.columns, *nulls)).groupBy(*params.columns)
-    return rows.agg(*[value.alias(name) for name, value in agg.items()])
+    values = {n: getattr(F, a[0])(F.col(a[1])) if isinstance(a, tuple) else a for n, a in agg.items()}
+    grouped = found.groupBy("_no").agg(F.lit(True).alias("_any"), *[v.alias(n) for n, v in values.items()])
+    nothing = table.limit(0).agg(*[v.alias(n) for n, v in values.items()]).first()
+    kinds = {f.name: f.dataType for f in grouped.schema.fields}
+    return params.join(grouped, "_no", "left").select(*names, *[
+        F.when(F.col("_any"), F.col(n)).otherwise(F.lit(nothing[n]).cast(kinds[n])).alias(n) for n in values])
 
 
 def _in_pieces(table: DataFrame, params: DataFrame, column: str, lo: str | None, hi: str | None,
-               pieces: int) -> tuple[DataFrame, DataFrame]:
+               pieces: int | None) -> tuple[DataFrame, DataFrame]:
     """``table`` with its ``_piece``, and ``params`` once per piece to ``_match``."""
     data_type = table.schema[column].dataType
 
@@ -135,15 +150,20 @@ def _in_pieces(table: DataFrame, params: DataFrame, column: str, lo: str | None,
             raise TypeError(f"{column}: a range alone needs a number, date or time")
         return found
 
+    pieces = pieces or int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shares = [n / pieces for n in range(1, pieces)] or [0.5]
     cuts = table.agg(F.percentile_approx(place(F.col(column)), shares).alias("cuts")).first()["cuts"]
     bounds = sorted(set(cuts or []))
+    step = max(1, math.isqrt(len(bounds)))
 
     def piece(at: Column) -> Column:
-        """The number of bounds that are not above."""
+        """The number of bounds that are not above: first among every ``step``-th, then among those after it."""
         if not bounds:
             return F.lit(0)
-        return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= at))
+        every = F.array(*map(F.lit, bounds))
+        passed = F.size(F.filter(F.array(*map(F.lit, bounds[::step])), lambda b: b <= at))
+        near = F.slice(every, (passed - 1) * step + 1, F.lit(step))
+        return F.when(passed > 0, (passed - 1) * step + F.size(F.filter(near, lambda b: b <= at))).otherwise(0)
 
     ends = [F.lit(0) if lo is None else piece(place(F.col(lo))),
             F.lit(len(bounds)) if hi is None else piece(place(F.col(hi)))]

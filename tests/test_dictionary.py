@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from barfold import operators as op
 from tests.conftest import rows_of
@@ -77,3 +78,42 @@ def test_repeatable(spark):
 def test_tiny_sources(spark, count):
     out = op.extend_enum(enum(spark, []), column(spark, ["v"]).limit(count), "c")
     assert out.count() == count
+
+
+def wide(spark):
+    rows = [("b", 2, 1.5, None), ("a", 10, 2.5, "q"), (None, 9, None, "q"), ("c", None, 1.5, "p"), ("a", 2, 0.5, "p")]
+    frame = spark.createDataFrame(rows, "s string, n long, d double, column string").repartition(3)
+    tables = {"enum_s": enum(spark, [(4, "a"), (2, "a"), (1, "z"), (9, None)]), "enum_n": enum(spark, [], "long"),
+              "enum_d": enum(spark, [(3, 1.5)], "double"), "enum_column": enum(spark, []), "enum_x": enum(spark, [])}
+    return frame, tables
+
+
+def test_at_once_is_one_by_one(spark):
+    frame, tables = wide(spark)
+    one, all_ = op.extend_enums(tables, frame), op.extend_enums_at_once(tables, frame)
+    assert one.keys() == all_.keys() == {"enum_s", "enum_n", "enum_d", "enum_column"}
+    for name in one:
+        assert rows_of(one[name]) == rows_of(all_[name]) and one[name].schema == all_[name].schema
+    held = {n: all_[n] for n in all_}
+    assert rows_of(op.encode_enums_at_once(frame, held)) == rows_of(op.encode_enums(frame, held))
+    assert rows_of(op.encode_enums_at_once(frame, tables)) == rows_of(op.encode_enums(frame, tables))
+    assert op.extend_enums_at_once({}, frame) == {} and op.encode_enums_at_once(frame, {}) is frame
+
+
+def exchanges(frame):
+    return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_exchanges_do_not_grow_with_columns(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = []
+        for columns in (2, 12):
+            frame = spark.range(50).select("id", *[(F.col("id") % (n + 2)).cast("string").alias(f"c{n}") for n in range(columns)])
+            tables = {f"enum_c{n}": enum(spark, [(1, "0"), (2, "1")]) for n in range(columns)}
+            found.append(exchanges(op.encode_enums_at_once(frame, tables)))
+        assert found[0] == found[1] > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")

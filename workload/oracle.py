@@ -323,6 +323,50 @@ SELECT p_partkey, (SELECT min(id) FROM enum_p_brand e WHERE e.value = p.p_brand)
   (SELECT min(id) FROM enum_p_type e WHERE e.value = p.p_type) AS p_type FROM parts p"""),
 }
 
+ORACLE["fetch_bars_resumed"] = _with(["stocks", "ret", "quotes"], """
+SELECT q.* FROM quotes q JOIN (""" + _resume(
+    """r.volume <> 0 AND r."Date" < DATE '1998-01-01' AND r.sec_id % 2 = 0""", None) + """) m
+ON m.id_yahoo = q.symbol AND (m."Date" IS NULL OR q."date" >= m."Date") AND q."date" <= DATE '2000-12-31'""")
+ORACLE["param_query_from"] = _with(["bars", "security_ranges"], """
+SELECT param_no, wanted, lo, count(b.sec_id) AS n_bars, sum(b.volume) AS traded, min(b."close") AS lowest
+FROM (SELECT *, unnest([1, 2]) AS given FROM security_ranges) LEFT JOIN bars b ON b.sec_id = wanted AND b."Date" >= lo
+GROUP BY param_no, wanted, lo, given""")
+ORACLE["param_query_repeated"] = _with(["bars", "security_ranges"], """
+SELECT param_no, wanted, lo, hi, count(b.sec_id) AS n_rows, max(b."Date") AS latest
+FROM (SELECT *, unnest([1, 2]) AS given FROM security_ranges)
+LEFT JOIN bars b ON b.sec_id = wanted AND b."Date" BETWEEN lo AND hi GROUP BY param_no, wanted, lo, hi, given""")
+
+
+def _asof(security: str) -> str:
+    return _with(["bars"], f"""
+SELECT o.o_orderkey, o.sec_id, o.asked, p."Date" AS day, p."close"
+FROM (SELECT o_orderkey, {security} AS sec_id, CAST(o_orderdate AS DATE) AS asked FROM orders) o
+ASOF LEFT JOIN (SELECT * FROM bars WHERE "close" > 0) p ON p.sec_id = o.sec_id AND p."Date" <= o.asked""")
+
+
+ORACLE["asof_price"] = _asof("o_custkey % 10 + 1")
+ORACLE["asof_price_hot"] = _asof("CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey % 10 + 1 END")
+ORACLE["asof_next_order"] = """
+SELECT o_custkey, o_orderkey, lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS next FROM orders"""
+_STORED_EVENTS = _UNCHANGED.format(
+    columns="user_id, event_id, event_type", key="user_id", check="event_type", ordinal="event_id",
+    table="(SELECT user_id, event_id, event_type FROM events WHERE event_id % 3 <> 0)")
+ORACLE["drop_unchanged_append"] = _UNCHANGED.format(
+    columns="user_id, event_id, event_type", key="user_id", check="event_type", ordinal="event_id",
+    table=f"(({_STORED_EVENTS}) UNION ALL SELECT user_id, event_id, event_type FROM events WHERE event_id % 3 = 0)")
+_WIDE = """wide AS (SELECT o_orderkey, {clerk} AS clerk, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status,
+  o_custkey % 97 AS customer, CAST(o_orderdate AS DATE) AS day FROM orders),
+enum_status(id, value) AS (VALUES (7, 'O'), (3, 'O'), (9, 'X')),
+enum_customer AS (SELECT DISTINCT customer * 2 + 5 AS id, customer AS value FROM wide WHERE o_orderkey % 5 = 1),
+enum_day AS (SELECT 0 AS id, day AS value FROM wide WHERE false)""".format(clerk="o_orderpriority")
+ORACLE["extend_enums_at_once"] = f"WITH {_WIDE}\n" + " UNION ALL ".join(
+    f"SELECT 'enum_{c}' AS name, CAST(id AS BIGINT) AS id, CAST(value AS VARCHAR) AS value FROM ({_extended(f'enum_{c}', 'wide', c)})"
+    for c in ("status", "customer", "day"))
+ORACLE["encode_enums_wide"] = f"""WITH {_WIDE}
+SELECT o_orderkey, clerk, CAST((SELECT min(id) FROM enum_status e WHERE e.value = w.status) AS BIGINT) AS status,
+  (SELECT min(id) FROM enum_customer e WHERE e.value = w.customer) AS customer,
+  CAST((SELECT min(id) FROM enum_day e WHERE e.value = w.day) AS BIGINT) AS day FROM wide w"""
+
 # The same series some hundred years earlier, by whole days.
 ORACLE["refresh_prices_early"] = (
     "SELECT * REPLACE (\"Date\" - 36524 AS \"Date\") FROM (" + ORACLE["refresh_prices"] + ")")

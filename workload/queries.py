@@ -201,6 +201,14 @@ def _csv(t, name: str, rows: DataFrame) -> str:
     return path
 
 
+@query
+def fetch_bars_resumed(t):
+    """Bars from each security's resume date; every other security was never stored and needs all of them."""
+    stored = _returns(t).where(F.pmod(KEY, F.lit(2)) == 0)
+    resume = op.max_date(make.stocks(t), stored, before=RESUME_BEFORE, default=None)
+    return src.select_bars(make.quotes(t), resume, FETCH_END)
+
+
 @query
 def read_bars_csv(t):
     """Bars from CSV files whose columns stand in another order."""
@@ -324,7 +332,48 @@ def param_query_before(t):
     """The latest date with volume strictly before each range begins, one row per range."""
     traded = make.bars(t).where("volume > 0")
     return op.param_query(traded, make.date_ranges(t).select("param_no", "lo"), within={ON: (None, "lo")},
-                          agg={"latest": F.max(ON), "n_bars": F.count(KEY)})
+                          agg={"latest": ("max", ON), "n_bars": ("count", KEY)})
+
+
+@query
+def param_query_from(t):
+    """Per security wanted: bars, volume and lowest close from the date on; each parameter row is given twice."""
+    asked = make.security_ranges(t).select("param_no", "wanted", "lo")
+    return op.param_query(make.bars(t), asked.unionAll(asked), equal={KEY: "wanted"}, between={ON: ("lo", None)},
+                          agg={"n_bars": ("count", KEY), "traded": ("sum", "volume"), "lowest": ("min", "close")})
+
+
+@query
+def param_query_repeated(t):
+    """Aggregates over two-sided ranges, each parameter row given twice."""
+    asked = make.security_ranges(t)
+    return op.param_query(make.bars(t), asked.unionAll(asked), equal={KEY: "wanted"}, between={ON: ("lo", "hi")},
+                          agg={"n_rows": F.count("*"), "latest": F.max(ON)})
+
+
+def _asof(t, hot):
+    prices = make.bars(t).where("close > 0").select(KEY, F.col(ON).alias("day"), "close")
+    return op.asof(make.asked_dates(t, hot), prices, ("asked", "day"), [KEY])
+
+
+@query
+def asof_price(t):
+    """The last close on or before each order's date."""
+    return _asof(t, hot=False)
+
+
+@query
+def asof_price_hot(t):
+    """The same where one security has half of the rows."""
+    return _asof(t, hot=True)
+
+
+@query
+def asof_next_order(t):
+    """Each customer order with the next later one of the same customer."""
+    orders = t("orders").select("o_custkey", "o_orderkey")
+    return op.asof(orders, orders.withColumn("next", F.col("o_orderkey")).select("o_custkey", "next", F.col("next").alias("at")),
+                   ("o_orderkey", "at"), ["o_custkey"], ["next"], direction="next", strict=True)
 
 
 # Keyed maintenance
@@ -380,6 +429,15 @@ def drop_unchanged_uneven(t):
     return op.drop_unchanged(rows, "event_id", ["user_id"], rows_per_span=100)
 
 
+@query
+def drop_unchanged_append(t):
+    """Two thirds of the events, then the others, most of them late, against them."""
+    rows = t("events").select("user_id", "event_id", "event_type")
+    late = F.pmod("event_id", F.lit(3)) == 0
+    stored = src.materialise(op.drop_unchanged(rows.where(~late), "event_id", ["user_id"]))
+    return op.drop_unchanged_append(stored, rows.where(late), "event_id", ["user_id"])
+
+
 @query
 def drop_unchanged_status(t):
     """A customer's orders whose status differs from that of the order before."""
@@ -477,3 +535,19 @@ def extend_enums(t):
 def encode_enums(t):
     tables = {"enum_p_brand": make.brand_dictionary(t), "enum_p_type": make.type_dictionary(t)}
     return op.encode_enums(make.parts(t), tables)
+
+
+@query
+def extend_enums_at_once(t):
+    """Dictionaries of text, numbers and dates extended in one pass."""
+    extended = op.extend_enums_at_once(make.wide_dictionaries(t), make.wide_codes(t))
+    return reduce(DataFrame.unionByName, [
+        rows.select(F.lit(name).alias("name"), "id", F.col("value").cast("string").alias("value"))
+        for name, rows in extended.items()
+    ])
+
+
+@query
+def encode_enums_wide(t):
+    """The same columns encoded in one pass, values without an id among them."""
+    return op.encode_enums_at_once(make.wide_codes(t), make.wide_dictionaries(t))

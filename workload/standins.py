@@ -181,6 +181,33 @@ def security_ranges(t: Inputs) -> DataFrame:
              F.col("c_nationkey").cast("long").alias("wanted"), "lo", "hi")
 
 
+def asked_dates(t: Inputs, hot: bool = False) -> DataFrame:
+    """One security and date per order; half of the orders ask for security 1 if ``hot``."""
+    security = F.pmod("o_custkey", F.lit(10)) + 1
+    if hot:
+        security = F.when(F.pmod("o_orderkey", F.lit(2)) == 0, F.lit(1)).otherwise(security)
+    return t("orders").select("o_orderkey", security.cast("long").alias("sec_id"), F.to_date("o_orderdate").alias("asked"))
+
+
+def wide_codes(t: Inputs) -> DataFrame:
+    """Orders with text, number and date columns that have dictionaries of their own."""
+    return t("orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("clerk"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
+        (F.col("o_custkey") % 97).alias("customer"), F.to_date("o_orderdate").alias("day"))
+
+
+def wide_dictionaries(t: Inputs) -> dict[str, DataFrame]:
+    """Partial dictionaries of ``wide_codes``, one of them with a value held twice."""
+    rows = wide_codes(t)
+    few = rows.where("o_orderkey % 5 = 1")
+    status = few.sparkSession.createDataFrame([(7, "O"), (3, "O"), (9, "X")], "id long, value string")
+    empty = few.sparkSession.createDataFrame([], "id long, value date")
+    customers = few.select((F.col("customer") * 2 + 5).alias("id"), F.col("customer").alias("value")).distinct()
+    return {"enum_status": status, "enum_customer": customers, "enum_day": empty,
+            "enum_elsewhere": status}
+
+
 def stored_prices(t: Inputs, history: DataFrame) -> DataFrame:
     """A price table that has fallen behind ``history``.
 
