@@ -7,6 +7,9 @@ bound it; the cells are visited in ascending order of the two bounds' squares (t
 traversal) until no unvisited cell can hold a vector within the linking distance, so the target recall is 1.
 Candidates are verified by their cosine in double precision.
 
+Vectors whose unit vectors agree in every bit are one class, which counts as many as it has rows and is compared
+once; so copies cost no comparison, and whatever the number of copies, a link is between classes.
+
 The codebooks only decide how much is looked at. Every vector is indexed. Of two cells the one with
 the smaller number is probed from, so a link is found once. A cell's members are split into salted
 parts of about ``PART``; probes go to every part and are streamed. A part gives link counts per vector and a
@@ -19,6 +22,8 @@ vector and are not counted as each other's links; no rows give no rows.
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +33,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barfold.llm.components import components
-from barfold.llm.jaccard import Forest
 from barfold.llm.labelled import draw
 from barfold.sources.scratch import materialise
 
@@ -100,6 +104,25 @@ def _bounds(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.nan_to_num(least, nan=0.0, posinf=0.0) ** 2
 
 
+def _sequence(one: list[float], two: list[float], most: float) -> Iterator[tuple[int, int]]:
+    """Places in two ascending lists in the order of their sum, up to ``most``: the multi-sequence traversal.
+
+    A pair comes onto the heap when the pair before it in each list has been taken, so the heap has at most
+    one pair per place of the shorter list, and only pairs next to those taken are ever looked at.
+    """
+    heap, taken = [(one[0] + two[0], 0, 0)], set()
+    while heap:
+        total, i, j = heapq.heappop(heap)
+        if total > most:
+            return
+        taken.add((i, j))
+        yield i, j
+        if i + 1 < len(one) and (j == 0 or (i + 1, j - 1) in taken):
+            heapq.heappush(heap, (one[i + 1] + two[j], i + 1, j))
+        if j + 1 < len(two) and (i == 0 or (i - 1, j + 1) in taken):
+            heapq.heappush(heap, (one[i] + two[j + 1], i, j + 1))
+
+
 class Index:
     """The codebooks by vector length."""
 
@@ -122,11 +145,9 @@ class Index:
         one, two = (_bounds(h, b) for h, b in zip(_half(vectors), book, strict=True))
         most = distance**2 + 1e-9
         for x, y in zip(one, two, strict=True):
-            first, second = np.flatnonzero(x <= most), np.flatnonzero(y <= most)
-            total = x[first][:, None] + y[second]
-            a, b = np.nonzero(total <= most)
-            order = np.argsort(total[a, b], kind="stable")
-            yield (first[a] * len(book[1]) + second[b])[order]
+            first, second = np.argsort(x, kind="stable"), np.argsort(y, kind="stable")
+            pairs = _sequence(x[first].tolist(), y[second].tolist(), most)
+            yield np.array([first[i] * len(book[1]) + second[j] for i, j in pairs], np.int64)
 
 
 def build(vectors: DataFrame) -> Index:
@@ -179,12 +200,22 @@ def link(
                 for n, seen in zip(same, index.value.visits(matrix, distance), strict=True):
                     visits[n] = seen[seen > cells[n]]
             yield pa.RecordBatch.from_arrays(
-                [ids, labels, pa.array(lengths), pa.array([u.tobytes() for u in units], pa.binary()), pa.array(cells),
+                [ids, labels, pa.array(lengths), pa.array([u.tobytes() for u in units], pa.binary()),
+                 pa.array([hashlib.sha256(u.tobytes()).digest() for u in units], pa.binary()), pa.array(cells),
                  pa.array(visits, pa.list_(pa.int64()))],
-                names=["vec_id", "label", "length", "unit", "cell", "visits"])
-
-    placed = materialise(usable.mapInArrow(
-        place, f"vec_id long, label {kind}, length long, unit binary, cell long, visits array<long>"))
+                names=["vec_id", "label", "length", "unit", "same", "cell", "visits"])
+
+    every = materialise(usable.mapInArrow(
+        place, f"vec_id long, label {kind}, length long, unit binary, same binary, cell long, visits array<long>"))
+    # A number with several vectors is a class by itself in each, so that it never counts as its own link.
+    rows = every.select("vec_id", "label", "same").distinct()
+    several = rows.groupBy("vec_id").count().where("count > 1").select("vec_id", F.col("vec_id").cast("string").alias("alone"))
+    keyed = materialise(rows.join(several, "vec_id", "left").na.fill("", ["alone"]))
+    named = ["label", "same", "alone"]
+    classes = materialise(keyed.groupBy(*named).agg(F.min("vec_id").alias("first"), F.count("*").alias("size")))
+    placed = materialise(
+        every.dropDuplicates(["vec_id", "label", "same"]).drop("alone")
+        .join(classes.select(F.col("first").alias("vec_id"), "label", "same", "size"), ["vec_id", "label", "same"]).drop("same"))
     where = ["label", "length", "cell"]
     salts = placed.groupBy(*where).agg(F.ceil(F.count("*") / PART).cast("int").alias("salts")).where("salts > 1")
     member = (
@@ -192,13 +223,13 @@ def link(
         .withColumn("mine", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int"))
         # A member meets its own part, and those of higher number as a probe.
         .withColumn("salt", F.explode(F.sequence(F.col("mine"), F.col("salts") - 1)))
-        .select(*where, "salt", (F.col("salt") > F.col("mine")).alias("probe"), "vec_id", "unit")
+        .select(*where, "salt", (F.col("salt") > F.col("mine")).alias("probe"), "vec_id", "unit", "size")
     )
     probe = (
-        placed.select("vec_id", "label", "length", "unit", F.explode("visits").alias("cell"))
+        placed.select("vec_id", "label", "length", "unit", "size", F.explode("visits").alias("cell"))
         .join(salts, where, "left")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
-        .select(*where, "salt", F.lit(True).alias("probe"), "vec_id", "unit")
+        .select(*where, "salt", F.lit(True).alias("probe"), "vec_id", "unit", "size")
     )
     # A probe without members in its cell meets nobody.
     probe = probe.join(placed.select(*where).distinct(), where, "left_semi")
@@ -208,22 +239,27 @@ def link(
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in (*parts, "probe", "vec_id", "unit")]
-            for *at, is_probe, vec_id, unit in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in (*parts, "probe", "vec_id", "unit", "size")]
+            for *at, is_probe, vec_id, unit, size in zip(*columns, strict=True):
                 if now is None or now.at != at:
                     if now is not None:
                         yield from now.finish()
                     now = _Part(at, cosine)
-                yield from now.add(is_probe, vec_id, unit)
+                yield from now.add(is_probe, vec_id, unit, size)
         if now is not None:
             yield from now.finish()
 
     found = materialise(rows.mapInArrow(verify, "a long, b long, n long"))
-    counts = found.where("b is null").groupBy(F.col("a").alias("vec_id")).agg(F.sum("n").alias("n_links"))
-    groups = components(found.where("b is not null").select("a", "b"))
+    counts = found.where("b is null").groupBy(F.col("a").alias("first")).agg(F.sum("n").alias("n"))
+    groups = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "first")
+    classified = (
+        classes.join(counts, "first", "left").join(groups, "first", "left")
+        .select(*named, (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
+                F.coalesce("component", "first").alias("component"))
+    )
+    members = keyed.join(classified, named).groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component").alias("component"))
     return (
-        plain.select("vec_id").join(counts, "vec_id", "left")
-        .join(groups.withColumnRenamed("node", "vec_id"), "vec_id", "left")
+        plain.select("vec_id").join(members, "vec_id", "left")
         .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                 F.coalesce("component", "vec_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
@@ -237,16 +273,18 @@ class _Part:
         self.at, self.cosine = at, cosine
         self.ids: list[int] = []
         self.units: list[bytes] = []
+        self.sizes: list[int] = []
         self.matrix: np.ndarray | None = None
-        self.probes: tuple[list[int], list[bytes]] = ([], [])
+        self.probes: tuple[list[int], list[bytes], list[int]] = ([], [], [])
 
-    def add(self, is_probe: bool, vec_id: int, unit: bytes) -> Iterator[pa.RecordBatch]:
+    def add(self, is_probe: bool, vec_id: int, unit: bytes, size: int) -> Iterator[pa.RecordBatch]:
         if not is_probe:
             self.ids.append(vec_id)
             self.units.append(unit)
+            self.sizes.append(size)
             return
-        self.probes[0].append(vec_id)
-        self.probes[1].append(unit)
+        for held, value in zip(self.probes, (vec_id, unit, size), strict=True):
+            held.append(value)
         if len(self.probes[0]) >= BLOCK:
             yield from self._meet()
 
@@ -256,20 +294,22 @@ class _Part:
         return self.matrix
 
     def _meet(self) -> Iterator[pa.RecordBatch]:
-        ids, units = self.probes
-        self.probes = ([], [])
+        ids, units, sizes = self.probes
+        self.probes = ([], [], [])
         if ids and self.ids:
             probes = np.frombuffer(b"".join(units)).reshape(len(units), -1)
-            yield from self._links(np.array(ids), probes, np.array(self.ids), self._closed(), False)
+            yield from self._links(
+                np.array(ids), probes, np.array(sizes), np.array(self.ids), self._closed(), np.array(self.sizes), False)
 
     def finish(self) -> Iterator[pa.RecordBatch]:
         yield from self._meet()
         if len(self.ids) > 1:
-            matrix, ids = self._closed(), np.array(self.ids)
+            matrix, ids, sizes = self._closed(), np.array(self.ids), np.array(self.sizes)
             for k in range(0, len(ids), BLOCK):
-                yield from self._links(ids[k : k + BLOCK], matrix[k : k + BLOCK], ids[k:], matrix[k:], True)
+                some = slice(k, k + BLOCK)
+                yield from self._links(ids[some], matrix[some], sizes[some], ids[k:], matrix[k:], sizes[k:], True)
 
-    def _links(self, a, left, b, right, own: bool) -> Iterator[pa.RecordBatch]:
+    def _links(self, a, left, size_a, b, right, size_b, own: bool) -> Iterator[pa.RecordBatch]:
         near = left @ right.T >= self.cosine
         near &= a[:, None] != b
         if own:  # each pair of members once
@@ -277,16 +317,22 @@ class _Part:
         if not near.any():
             return
         ids, number = np.unique(np.concatenate((a, b)), return_inverse=True)
-        held = np.bincount(number, weights=np.concatenate((near.sum(1), near.sum(0))), minlength=len(ids))
-        forest, pairs = Forest(len(ids)), []
+        held = np.zeros(len(ids), np.int64)
+        np.add.at(held, number, np.concatenate((near @ size_b, near.T @ size_a)))
+        root, pairs = np.arange(len(ids)), []
         of_a, of_b = number[: len(a)], number[len(a) :]
         for x in np.flatnonzero(near.any(1)):
-            for y in np.flatnonzero(near[x]):
-                if forest.join(int(of_a[x]), int(of_b[y])):
+            # One link to each tree that the row meets and is not in yet.
+            met = np.flatnonzero(near[x])
+            trees, at = np.unique(root[of_b[met]], return_index=True)
+            for tree, y in zip(trees.tolist(), met[at].tolist(), strict=True):
+                mine = root[of_a[x]]
+                if tree != mine:
+                    root[root == tree] = mine
                     pairs.append((int(a[x]), int(b[y])))
         linked = held > 0
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((ids[linked], [p[0] for p in pairs])).astype(np.int64)),
+            [pa.array(np.concatenate((ids[linked], np.array([p[0] for p in pairs], np.int64)))),
              pa.array([None] * int(linked.sum()) + [p[1] for p in pairs], pa.int64()),
-             pa.array(np.concatenate((held[linked], np.zeros(len(pairs)))).astype(np.int64))],
+             pa.array(np.concatenate((held[linked], np.zeros(len(pairs), np.int64))))],
             names=["a", "b", "n"])

@@ -245,3 +245,31 @@ def test_odd_vectors(spark):
     assert got == alone | {(2, 1, False), (13, 12, False)}
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert neardup.link(empty).count() == 0
+
+
+def test_cells_come_from_the_heap_in_order_and_stop_at_the_bound():
+    draw = np.random.default_rng(2)
+    for most in (0.0, 0.3, 1.1, 9.0):
+        one, two = (np.sort(draw.random(n)).tolist() for n in (13, 7))
+        found = list(neardup._sequence(one, two, most))
+        sums = [one[i] + two[j] for i, j in found]
+        assert sums == sorted(sums)
+        assert sorted(found) == [(i, j) for i in range(13) for j in range(7) if one[i] + two[j] <= most]
+
+
+def test_many_equal_vectors(spark):
+    """Copies are one class: their number does not matter, and links between classes count all of them."""
+    one, two, far = [1.0, 2.0, 0.5], [1.0, 2.05, 0.5], [-3.0, 1.0, 1.0]
+    rows = [(n, one if n % 3 else two, 1) for n in range(20_000)] + [(30_000 + n, far, 1) for n in range(5)]
+    rows += [(40_000, one, 2), (40_001, [2.0, 4.0, 1.0], 2)]
+    found = neardup.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()}
+    assert got == {n: (19_999, 0) for n in range(20_000)} | {30_000 + n: (4, 30_000) for n in range(5)} | {
+        40_000: (1, 40_000), 40_001: (1, 40_000)}
+
+
+def test_rows_of_one_number_are_no_links(spark):
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [1.0, 0.01], 1), (2, [1.0, 0.0], 1), (3, [0.0, 1.0], 1)]
+    found = neardup.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {(r["vec_id"], r["component_id"], r["n_links"] > 0) for r in found} == {(1, 1, True), (2, 1, True), (3, 3, False)}
+    assert next(r["n_links"] for r in found if r["vec_id"] == 2) == 2
