@@ -272,9 +272,13 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _members(classes: DataFrame, rule: Rule) -> DataFrame:
-    """Classes by the group (``token``, ``band``) and the two parts of it (``one``, ``two``) in which they meet."""
-    rows = classes.select("doc_id", "n", F.explode("prefix").alias("token")).repartition("token")
-    lists = (
+    """Classes by the group (``token``, ``band``) and the two parts of it (``one``, ``two``) in which they meet.
+
+    A token's classes are counted per task before any shuffle, and a token with more than ``WIDE`` of them is salted
+    wherever its rows meet, so no task gets more than about that many rows of a token.
+    """
+    rows = classes.select("doc_id", "n", F.explode("prefix").alias("token"))
+    lists = small(
         rows.groupBy("token").agg(
             F.count("*").alias("held"), F.bit_xor(F.xxhash64("doc_id")).alias("one"),
             F.sum(F.xxhash64("doc_id", F.lit(1)).bitwiseAND(F.lit(0xFFFFFFFF))).alias("two"))
@@ -282,11 +286,14 @@ def _members(classes: DataFrame, rule: Rule) -> DataFrame:
         .groupBy("held", "one", "two").agg(F.min("token").alias("token"))
         .select("token", "held")
     )
-    # A class without another of a near enough size in its group meets nobody there.
-    by_size = Window.partitionBy("token").orderBy("n")
+    # A class without another of a near enough size in its group meets nobody there. In a salted group another may
+    # be elsewhere, so all stay.
+    salt = F.when(F.col("held") > WIDE, F.pmod(F.xxhash64("doc_id", F.lit(2)), F.ceil(F.col("held") / WIDE))).otherwise(0)
+    by_size = Window.partitionBy("token", "salt").orderBy("n")
     near = (100 * F.col("n") >= rule.percent * F.lead("n").over(by_size)) | (
-        100 * F.lag("n").over(by_size) >= rule.percent * F.col("n"))
-    picked = rows.join(lists, "token").withColumn("near", near).where("near").drop("near", "n")
+        100 * F.lag("n").over(by_size) >= rule.percent * F.col("n")) | (F.col("held") > WIDE)
+    met = rows.join(lists, "token")
+    picked = met.withColumn("salt", salt).withColumn("near", near).where("near").drop("near", "n", "salt")
     band = F.floor(F.log(F.col("n").cast("double")) / -np.log(rule.percent / 100)).cast("int") if rule.percent < 100 \
         else F.col("n").cast("int")
     # Sizes of a link are in one band or in neighbouring ones.
@@ -294,7 +301,7 @@ def _members(classes: DataFrame, rule: Rule) -> DataFrame:
     # A band of near copies can still hold any share of the table: large ones are met by pairs of parts. A band of at
     # most WIDE / 2 is not counted, which leaves parts within a constant of PART.
     crowds = (
-        rows.groupBy("token", band.alias("band")).agg(F.count("*").alias("many")).where(F.col("many") > WIDE // 2)
+        met.where(F.col("held") > WIDE // 2).groupBy("token", band.alias("band")).agg(F.count("*").alias("many")).where(F.col("many") > WIDE // 2)
         .withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
         .groupBy("token", "band").agg(F.sum("many").alias("many")).where(F.col("many") > WIDE)
         .groupBy("token").agg(F.map_from_entries(F.collect_list(
