@@ -24,6 +24,7 @@ from barfold.operators.returns import (
     last_volume,
     price_returns,
     returns,
+    returns_revised,
     volume_returns,
 )
 
@@ -54,6 +55,7 @@ __all__ = [
     "refresh_prices",
     "replace_by",
     "returns",
+    "returns_revised",
     "roundtrip_diff",
     "upsert",
     "volume_returns",

@@ -10,13 +10,17 @@ second pass: no task then orders more than that many rows of a security.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barfold.functions.series import last_before, nonzero, pct_step, positive
 from barfold.functions.spans import date_span
-from barfold.schema import KEY, LEVELS, ON, PRICES, VOLUME
+from barfold.operators.maintain import has_key, upsert
+from barfold.schema import FIRST_DATE, KEY, LEVELS, ON, PRICES, VOLUME
+from barfold.sources.scratch import materialise
 
 
 def usable_levels() -> dict[str, Column]:
@@ -98,6 +102,41 @@ def returns(bars: DataFrame, span_days: int | None = None) -> DataFrame:
     )
 
 
+def returns_revised(bars: DataFrame, stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The return table after ``batch``, new, late or corrected bars, replaced or joined those of ``bars``.
+
+    ``stored`` are the returns of ``bars``. A changed bar moves its own changes, and per column that of the next bar
+    usable there, whose base it was, is or lies after; nothing else. Only these rows are built and
+    replaced. Of a touched security's bars before its first changed one, just the last usable value of each
+    column is looked up, by an aggregate; bars of other securities are not read beyond their key.
+    """
+    usable = usable_levels()
+    changed = materialise(batch.select(KEY, ON, *LEVELS))
+    first = changed.where(has_key([KEY, ON])).groupBy(KEY).agg(F.min(ON).alias("_first"))
+    dated = bars.select(KEY, ON, *LEVELS).join(first, KEY)
+    bases = dated.where(F.col(ON) < F.col("_first")).groupBy(KEY).agg(*[
+        F.max_by(v, F.when(v.isNotNull(), F.col(ON))).alias(f"_base_{c}") for c, v in usable.items()])
+    later = dated.where(F.col(ON) >= F.col("_first")).drop("_first")
+    fresh = changed.select(KEY, ON).withColumn("_fresh", F.lit(True))
+    rows = upsert(later, changed, [KEY, ON]).join(fresh.distinct(), [KEY, ON], "left").join(bases, KEY, "left")
+    rows = rows.withColumns({f"_{c}": v for c, v in usable.items()})
+    ordered = Window.partitionBy(KEY).orderBy(ON)
+    rows = rows.withColumns(
+        {f"_was_{c}": F.coalesce(last_before(f"_{c}", ordered), F.col(f"_base_{c}")) for c in usable}
+        | {f"_since_{c}": last_before(F.when(F.col(f"_{c}").isNotNull(), F.col(ON)), ordered) for c in usable}
+        | {"_touch": last_before(F.when(F.col("_fresh"), F.col(ON)), ordered)}
+    )
+    moved = [
+        F.col(f"_{c}").isNotNull() & (F.col("_touch") >= F.coalesce(f"_since_{c}", F.lit(FIRST_DATE).cast("date")))
+        for c in usable
+    ]
+    built = materialise(rows.where(F.coalesce(F.col("_fresh") | reduce(or_, moved), reduce(or_, moved), F.lit(False))).select(
+        KEY, ON, *[pct_step(F.col(f"_{c}"), F.col(f"_was_{c}")).alias(c) for c in usable]))
+    kept = stored.join(built.select(KEY, ON), [KEY, ON], "left_anti")
+    return kept.select(KEY, ON, *LEVELS).unionByName(built.where("close is not null"))
+
+
+
 # Rows of one day are told apart by this many bits of a row number's hash.
 _TELL = 1 << 41
 

@@ -125,3 +125,22 @@ def test_two_bars_on_the_last_day_raise(spark, last):
     for other in (one, (1, date(1960, 1, 2), 3.0, 3.0, 3.0, 3.0, 7.0, 3.0)):
         with pytest.raises(Exception, match="more than one bar"):
             last(spark.createDataFrame([one, other, older], columns)).collect()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_revised_returns_are_the_full_rebuild(spark, seed):
+    import random
+
+    draw = random.Random(seed)
+
+    def any_bar():
+        return {c: draw.choice([None, 0.0, 5.0, 8.0, 10.0]) for c in LEVELS}
+
+    old = {s: {d: any_bar() for d in draw.sample(range(20), 12)} for s in range(1, 6)}
+    new = {s: {d: any_bar() for d in draw.sample(range(24), draw.randint(1, 4))} for s in (1, 2, 5, 9)}
+    bars, batch = em.frame(spark, old), em.frame(spark, new)
+    merged = em.frame(spark, {s: old.get(s, {}) | new.get(s, {}) for s in old | new})
+    stored = op.returns(bars)
+    em.assert_same(em.keyed(op.returns_revised(bars, stored, batch)), em.keyed(op.returns(merged)))
+    nothing = op.returns_revised(bars, stored, batch.limit(0))
+    em.assert_same(em.keyed(nothing), em.keyed(stored))

@@ -367,6 +367,7 @@ SELECT o_orderkey, clerk, CAST((SELECT min(id) FROM enum_status e WHERE e.value
   (SELECT min(id) FROM enum_customer e WHERE e.value = w.customer) AS customer,
   CAST((SELECT min(id) FROM enum_day e WHERE e.value = w.day) AS BIGINT) AS day FROM wide w"""
 
+ORACLE["returns_revised"] = ORACLE["return_table"]
 # The same series some hundred years earlier, by whole days.
 ORACLE["refresh_prices_early"] = (
     "SELECT * REPLACE (\"Date\" - 36524 AS \"Date\") FROM (" + ORACLE["refresh_prices"] + ")")

@@ -104,6 +104,17 @@ def price_history(t):
     return op.price_history(make.bars(t))
 
 
+@query
+def returns_revised(t):
+    """Returns of bars of which a fifth come late and a few were wrong at first, corrected around those bars alone."""
+    whole = src.materialise(make.bars(t))
+    day = F.datediff(ON, F.lit("1990-01-01")) + F.col(KEY)
+    wrong = whole.withColumn("close", F.when(day % 7 == 1, F.col("close") * 2).otherwise(F.col("close"))).withColumn(
+        "volume", F.when(day % 11 == 1, 0.0).otherwise(F.col("volume")))
+    early = src.materialise(wrong.where(day % 5 != 0))
+    return op.returns_revised(early, op.returns(early), whole.where((day % 5 == 0) | (day % 7 == 1) | (day % 11 == 1)))
+
+
 @query
 def return_table_in_spans(t):
     return op.returns(make.bars(t), span_days=365)
