@@ -44,8 +44,13 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _classified(spark: SparkSession, sf_dir: str, model_of, target: str, held_out: Column, per_class: int) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = model_of.fit(labelled.sample(documents, labels, target, ~held_out, per_class))
-    scored = model_of.score(documents.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = model_of.score(documents.select("doc_id", held_out.alias("held_out"), "text"), model)
+    scored = scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    if model_of is toxicity:
+        # What makes a toxic document so: start, end and score of its sentences.
+        flagged = scored.withColumn("flagged", F.col("predicted") == 1)
+        scored = toxicity.sentences(flagged, model, where="flagged").drop("flagged")
+    return scored.drop("text")
 
 
 @query

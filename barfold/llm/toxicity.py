@@ -102,15 +102,7 @@ def _learn(word, sentence, document, label, held, toxic, *, epochs, rate, decay,
     first, second = np.zeros_like(state), np.zeros_like(state)
     balance = np.where(label == 1, n_docs / max(1, 2 * label.sum()), n_docs / max(1, 2 * (n_docs - label.sum())))
     for step in range(1, epochs + 1):
-        z = state[-1] + np.bincount(sentence, weights=state[word], minlength=n_sentences)
-        clean = np.bincount(document, weights=_clean_log(z), minlength=n_docs)
-        toxic = -np.expm1(-np.maximum(clean, 1e-9))
-        slope = balance * np.where(label == 1, 1 - 1 / toxic, 1.0)
-        of_sentence = slope[document] / (1 + np.exp(-z))
-        gradient = np.zeros_like(state)
-        gradient[:-1] = np.bincount(word, weights=of_sentence[sentence], minlength=DIMENSIONS)
-        gradient[-1] = of_sentence.sum()
-        gradient /= n_docs
+        gradient = _gradient(state, word, sentence, document, label, balance)
         gradient[:-1] += decay * (state - start)[:-1]
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
@@ -118,6 +110,19 @@ def _learn(word, sentence, document, label, held, toxic, *, epochs, rate, decay,
     return state[:-1].astype(np.float32), float(state[-1])
 
 
+def _gradient(state, word, sentence, document, label, balance) -> np.ndarray:
+    """Slope of the mean weighted log loss of the documents, through the noisy-or to weights and bias."""
+    z = state[-1] + np.bincount(sentence, weights=state[word], minlength=len(document))
+    clean = np.bincount(document, weights=_clean_log(z), minlength=len(label))
+    toxic = -np.expm1(-np.maximum(clean, 1e-9))
+    slope = balance * np.where(label == 1, 1 - 1 / toxic, 1.0)
+    of_sentence = slope[document] / (1 + np.exp(-z))
+    gradient = np.zeros_like(state)
+    gradient[:-1] = np.bincount(word, weights=of_sentence[sentence], minlength=len(state) - 1)
+    gradient[-1] = of_sentence.sum()
+    return gradient / len(label)
+
+
 def fit(
     labelled: DataFrame,
     *,
@@ -201,9 +206,15 @@ def score(frame: DataFrame, model: Model, *, text: str = "text", to: str = "scor
     return append(frame, [T.StructField(to, T.DoubleType())], compute)
 
 
-def sentences(frame: DataFrame, model: Model, *, text: str = "text", least: float = 0.5) -> DataFrame:
+def sentences(
+    frame: DataFrame, model: Model, *, text: str = "text", least: float = 0.5, where: str | None = None
+) -> DataFrame:
     """``frame`` with ``sentences``: start, end (bytes of the UTF-8 text) and score of each sentence
-    that scores ``least`` or more, in the order of the text."""
+    that scores ``least`` or more, in the order of the text.
+
+    With ``where``, a column of booleans, rows in which it is not true have none; in the others the text's
+    worst sentence is always among them, as many small scores together can make a document toxic.
+    """
     sent = frame.sparkSession.sparkContext.broadcast(model)
     kind = T.ArrayType(T.StructType([
         T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
@@ -220,14 +231,19 @@ def sentences(frame: DataFrame, model: Model, *, text: str = "text", least: floa
                 at, index = _features(data, starts, ends)
                 pairs = np.unique((np.searchsorted(closing, at) << 18) | index)
                 names, number = np.unique(pairs >> 18, return_inverse=True)
-                z = learned.sentence_scores(pairs & (DIMENSIONS - 1), number, len(names))
-                for name, p in zip(names, 1 / (1 + np.exp(-z)), strict=True):
-                    if p >= least:
-                        start = int(closing[name - 1]) + 1 if name else 0
-                        doc = int(part.document(np.array([closing[name]]))[0])
-                        base = int(part.starts[doc])
-                        found[part.first + doc].append(
-                            {"start": max(start, base) - base, "end": int(closing[name]) - base, "score": float(p)})
+                p = 1 / (1 + np.exp(-learned.sentence_scores(pairs & (DIMENSIONS - 1), number, len(names))))
+                document = part.document(closing[names]) if len(names) else names
+                shown = p >= least
+                if where:
+                    asked = np.array([bool(v) for v in batch.column(where).to_pylist()])
+                    worst = np.zeros(part.count)
+                    np.maximum.at(worst, document, p)
+                    shown = asked[part.first + document] & (shown | (p == worst[document]))
+                for k in np.flatnonzero(shown).tolist():
+                    name, doc = int(names[k]), int(document[k])
+                    start, base = int(closing[name - 1]) + 1 if name else 0, int(part.starts[doc])
+                    found[part.first + doc].append(
+                        {"start": max(start, base) - base, "end": int(closing[name]) - base, "score": float(p[k])})
         return [pa.array(found, arrow)]
 
     return append(frame, [T.StructField("sentences", kind)], compute)

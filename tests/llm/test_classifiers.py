@@ -76,3 +76,68 @@ def test_noisy_or_by_hand():
     model = toxicity.Model(np.zeros(toxicity.DIMENSIONS), 0.0)
     z = model.sentence_scores(np.array([1, 2, 3]), np.array([0, 0, 1]), 2)
     assert np.allclose(-np.expm1(-toxicity._clean_log(z).sum()), 1 - 0.5 * 0.5)
+
+
+def test_worst_sentences_of_flagged_documents_only(spark, texts):
+    model = toxicity.fit(documents(spark, texts, 0, 160).select("text", "label"))
+    rows = [(f"{texts('en', 9001, 12)} You snarl and grumpf!", True), (f"You snarl and grumpf! {texts('en', 5, 9)}", False),
+            (texts("en", 9003, 12), True), (None, True), ("", None)]
+    found = toxicity.sentences(spark.createDataFrame(rows, "text string, flag boolean"), model, where="flag").collect()
+    parts = [[r["text"].encode()[s["start"]:s["end"]].decode() for s in r["sentences"]] for r in found]
+    assert parts == [[" You snarl and grumpf"], [], [rows[2][0][:-1]], [], []]
+
+
+def test_noisy_or_gradient_by_differences():
+    draw = np.random.default_rng(3)
+    word, sentence = draw.integers(0, 20, 90), np.sort(draw.integers(0, 30, 90))
+    document = np.sort(draw.integers(0, 8, 30))
+    label = np.array([0, 1] * 4)
+    balance = np.where(label == 1, 1.5, 0.5)
+
+    def loss(state):
+        z = state[-1] + np.bincount(sentence, weights=state[word], minlength=30)
+        p = 1 / (1 + np.exp(-z))
+        total = 0.0
+        for doc in range(8):
+            toxic = 1 - np.prod(1 - p[document == doc])
+            total -= balance[doc] * np.log(toxic if label[doc] else 1 - toxic)
+        return total / 8
+
+    state = 0.3 * draw.normal(size=21)
+    state[-1] = -1.0
+    found = toxicity._gradient(state, word, sentence, document, label, balance)
+    for k in range(21):
+        step = np.zeros(21)
+        step[k] = 1e-5
+        assert abs((loss(state + step) - loss(state - step)) / 2e-5 - found[k]) < 1e-6
+
+
+def test_ftrl_is_the_plain_rule(monkeypatch):
+    """Per coordinate, in pure Python, against the update by arrays."""
+    import math
+
+    monkeypatch.setattr(quality, "DIMENSIONS", 12)
+    draw = np.random.default_rng(5)
+    rows = [(np.append(np.sort(draw.choice(12, 4, replace=False)), 12), np.append(draw.random(4), 1.0)) for _ in range(30)]
+    labels = np.array([float(r[0][0] % 2) for r in rows])
+    how = {"epochs": 2, "alpha": 0.3, "beta": 1.0, "l1": 0.05, "l2": 0.1}
+    z, n = [0.0] * 13, [0.0] * 13
+
+    def weight(k):
+        if abs(z[k]) <= how["l1"]:
+            return 0.0
+        return -(z[k] - math.copysign(how["l1"], z[k])) / ((how["beta"] + math.sqrt(n[k])) / how["alpha"] + how["l2"])
+
+    order, ones = np.random.default_rng(1), labels.sum()
+    for _ in range(2):
+        for row in order.permutation(30).tolist():
+            w = {int(k): weight(int(k)) for k in rows[row][0]}
+            p = 1 / (1 + math.exp(-sum(w[int(k)] * v for k, v in zip(*rows[row]))))
+            cost = 30 / (2 * ones) if labels[row] else 30 / (2 * (30 - ones))
+            for k, value in zip(rows[row][0].tolist(), rows[row][1].tolist()):
+                g = cost * (p - labels[row]) * value
+                z[k] += g - (math.sqrt(n[k] + g * g) - math.sqrt(n[k])) / how["alpha"] * w[k]
+                n[k] += g * g
+    weights, bias = quality._ftrl(rows, labels, seed=1, **how)
+    assert np.allclose(weights, [weight(k) for k in range(12)], atol=1e-6) and abs(bias - weight(12)) < 1e-9
+    assert np.count_nonzero(weights)

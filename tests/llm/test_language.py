@@ -63,3 +63,27 @@ def test_more_languages_than_a_word_has_bits(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = language.predict(frame, language.fit(frame, F.lit(True), slots=1 << 14)).collect()
     assert all(r["lang_pred"] == r["lang"] for r in found)
+
+
+def grams_of(text):
+    """n-grams by plain Python: runs of 3 and 5 bytes, letters inside, a letter or an edge at both ends."""
+    data = b" " + (text or "").lower().encode() + b"\n"
+    data = bytes(b if 97 <= b <= 122 or b >= 128 else 0 for b in data)
+    return [data[i : i + n] for n in language.SIZES for i in range(len(data) - n + 1) if 0 not in data[i + 1 : i + n - 1]]
+
+
+def test_filters_against_exact_sets(spark, texts):
+    rows = [(n, texts(lang, n), lang) for n in range(40) for lang in ("en", "de")]
+    model = learned(spark, texts)
+    exact = {}
+    for lang in ("de", "en"):
+        held = [set(grams_of(t)) for _, t, of in rows if of == lang]
+        least = max(1.0, 0.01 * len(held))
+        exact[lang] = {g for g in set().union(*held) if sum(g in h for h in held) >= least}
+    unseen = [(n, texts(lang, 1000 + n), None) for n in range(20) for lang in ("en", "de")]
+    found = language.predict(spark.createDataFrame(unseen, "doc_id long, text string, lang string"), model).collect()
+    for row in found:
+        mine = grams_of(row["text"])
+        shares = {lang: sum(g in known for g in mine) / len(mine) for lang, known in exact.items()}
+        assert row["lang_pred"] == max(shares, key=shares.get)
+        assert abs(row["score"] - max(shares.values())) < 0.03
