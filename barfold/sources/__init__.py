@@ -8,7 +8,7 @@ from barfold.sources.market import (
     select_bars,
     stack,
 )
-from barfold.sources.scratch import checkpoint_dir, materialise
+from barfold.sources.scratch import checkpoint_dir, materialise, release
 from barfold.sources.staging import conform, iso_text, key_values, stage
 
 __all__ = [
@@ -21,6 +21,7 @@ __all__ = [
     "normalise_bars",
     "read_bars",
     "read_securities",
+    "release",
     "select_bars",
     "stack",
     "stage",

@@ -32,4 +32,18 @@ def materialise(frame: DataFrame) -> DataFrame:
     """
     path = f"{checkpoint_dir(frame.sparkSession)}/table-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    stored = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    stored._scratch = path
+    return stored
+
+
+def release(frame: DataFrame) -> None:
+    """Delete the table of a frame that :func:`materialise` gave, once nothing will read it or what is built on it.
+
+    So a loop of rounds, each stored, keeps its last table only. Other frames are left alone.
+    """
+    path = frame.__dict__.get("_scratch")
+    if path:
+        spark = frame.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -133,3 +133,15 @@ def test_a_symbol_without_a_start_date_gets_all_dates(spark, tmp_path):
     path = _csv(tmp_path, "a.csv", "symbol,date,open\nA,1850-01-01,1\nB,1850-01-01,1\nC,1850-01-01,1\n")
     resume = spark.createDataFrame([("A", None), ("B", date(1900, 1, 1))], "id_yahoo string, Date date")
     assert [r["symbol"] for r in src.read_bars(spark, [path], "csv", resume=resume).collect()] == ["A"]
+
+
+def test_release_deletes_a_stored_frame_only(spark):
+    import os
+
+    stored = materialise(spark.range(5).toDF("n"))
+    path = stored.__dict__["_scratch"].removeprefix("file:")
+    assert os.path.isdir(path)
+    release(stored.where("n > 1"))
+    assert os.path.isdir(path) and stored.count() == 5
+    release(stored)
+    assert not os.path.exists(path)
