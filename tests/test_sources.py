@@ -138,10 +138,10 @@ def test_a_symbol_without_a_start_date_gets_all_dates(spark, tmp_path):
 def test_release_deletes_a_stored_frame_only(spark):
     import os
 
-    stored = materialise(spark.range(5).toDF("n"))
+    stored = src.materialise(spark.range(5).toDF("n"))
     path = stored.__dict__["_scratch"].removeprefix("file:")
     assert os.path.isdir(path)
-    release(stored.where("n > 1"))
+    src.release(stored.where("n > 1"))
     assert os.path.isdir(path) and stored.count() == 5
-    release(stored)
+    src.release(stored)
     assert not os.path.exists(path)
