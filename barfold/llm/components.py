@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barfold.sources.scratch import materialise
+from barfold.sources.scratch import materialise, release
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (smallest node reachable) of every node of ``links`` (``a``, ``b``: long).
 
     Each round hooks every node to the smallest neighbour it knows; the rounds grow with the logarithm
-    of the longest path. A round's result is a table in the shared checkpoint folder. Neighbours
+    of the longest path. A round's result is a table in the shared checkpoint folder, deleted after the next round. Neighbours
     are reduced to their minimum before any shuffle by node, and a node with many links is split by
     adaptive joins. Loops, repeated links and no links at all are fine.
     """
@@ -20,7 +20,8 @@ def components(links: DataFrame) -> DataFrame:
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = _print(now)
     while True:
-        now = materialise(_small_star(_large_star(now)))
+        before, now = now, materialise(_small_star(_large_star(now)))
+        release(before)
         mark = _print(now)
         if mark == seen:
             break

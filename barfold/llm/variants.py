@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from barfold.llm import acceptor
 from barfold.llm.texts import lowered, quoted, slices, spans, spare
-from barfold.sources.scratch import materialise
+from barfold.sources.scratch import materialise, release
 
 #: Words of a partition. Where no more than two labels are left open, an alphabet of 90 letters makes at most 8190.
 PARTITION_WORDS = 1 << 14
@@ -265,10 +265,13 @@ def _followed(links: DataFrame) -> DataFrame:
     """``word`` and the last ``root`` of its chain of links, by steps of doubled length."""
     now = materialise(links)
     while True:
-        jump = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
+        now_ = now.select("word", "root")
+        jump = now_.select(F.col("word").alias("root"), F.col("root").alias("next"))
         moved = spare(now, "moved")
-        later = materialise(now.join(jump, "root", "left").select(
+        later = materialise(now_.join(jump, "root", "left").select(
             "word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias(moved)))
-        now = later.drop(moved)
-        if later.where(F.col(moved)).isEmpty():
-            return now
+        release(now)
+        more = not later.where(F.col(moved)).isEmpty()
+        now = later
+        if not more:
+            return now.drop(moved)

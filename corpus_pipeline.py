@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from barfold.llm.queries import BLOCK_ROWS, REST_WEIGHT, WEIGHTS, table
 from barfold.llm.texts import quoted, spare
-from barfold.sources.scratch import materialise
+from barfold.sources.scratch import materialise, release
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -101,8 +101,7 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each reads what the one before has stored."""
     docs = table(spark, sf_dir, "documents")
-    for n, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if n + 1 < len(STAGES):
-            docs = materialise(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        before, docs = docs, materialise(stage(spark, docs, sf_dir))
+        release(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
