@@ -15,11 +15,13 @@ from barfold.operators.maintain import (
     delete_matching,
     drop_unchanged,
     insert_absent,
+    one_per_key,
     replace_by,
     upsert,
 )
 from barfold.operators.ordered import aggregate_up_to, asof, drop_unchanged_append
 from barfold.operators.returns import (
+    by_security,
     last_price,
     last_volume,
     price_returns,
@@ -31,6 +33,7 @@ from barfold.operators.returns import (
 __all__ = [
     "aggregate_up_to",
     "asof",
+    "by_security",
     "delete_matching",
     "drop_unchanged",
     "drop_unchanged_append",
@@ -46,6 +49,7 @@ __all__ = [
     "last_price",
     "last_volume",
     "max_date",
+    "one_per_key",
     "param_query",
     "price_catch_up",
     "price_changes",

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from barfold.functions.series import growth_factor
 from barfold.operators.levels import reconstruct
-from barfold.operators.maintain import upsert
+from barfold.operators.maintain import delete_matching, one_per_key
+from barfold.operators.returns import by_security
 from barfold.schema import FIRST_DATE, KEY, LEVELS, ON, PRICES, VOLUME
 from barfold.sources.scratch import materialise
 
@@ -64,8 +65,12 @@ def price_catch_up(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
         .where(never_stored | (F.col(ON) >= F.col("_from")))
     )
     # Read twice below, by the drifted securities and by the appended rows.
+    def series(rows: DataFrame) -> DataFrame:
+        # Shuffled before the factors are added, which would double what moves.
+        return rows.select(KEY, ON, *LEVELS).repartition(KEY) if span_days is None else rows
+
     recent = (
-        materialise(reconstruct(open_returns, last_prices, last_volumes, span_days))
+        materialise(reconstruct(series(open_returns), last_prices, last_volumes, span_days))
         .join(stale, KEY)
         .join(stored, KEY, "left")
     )
@@ -80,8 +85,9 @@ def price_catch_up(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
         "_right",
         never_stored | F.coalesce(F.max(confirmed).over(Window.partitionBy(KEY)), F.lit(False)),
     )
-    drifted = recent.where(~F.col("_right")).select(KEY).distinct()
-    whole = reconstruct(returns.join(drifted, KEY, "left_semi"), last_prices, last_volumes,
+    # At most one id per security; joined by order all returns would be shuffled to meet them.
+    drifted = F.broadcast(recent.where(~F.col("_right")).select(KEY).distinct())
+    whole = reconstruct(series(returns.join(drifted, KEY, "left_semi")), last_prices, last_volumes,
                         span_days)
     appended = recent.where(F.col("_right") & (never_stored | (F.col(ON) > F.col("_from"))))
     return appended.select(KEY, ON, *LEVELS).unionByName(whole)
@@ -92,7 +98,8 @@ def refresh_prices(stocks: DataFrame, returns: DataFrame, prices: DataFrame,
     """The price table after :func:`price_catch_up`, whose rows are written once as the
     merge reads them twice."""
     rows = price_catch_up(stocks, returns, prices, last_prices, last_volumes, **options)
-    return upsert(prices, materialise(rows), [KEY, ON])
+    rows, key = materialise(rows), [KEY, ON]
+    return delete_matching(prices, rows, key).unionByName(one_per_key(rows, key, [KEY]).select(*prices.columns))
 
 
 def price_changes(fresh: DataFrame, returns: DataFrame, prices: DataFrame, volumes: DataFrame,
@@ -122,7 +129,9 @@ def price_changes(fresh: DataFrame, returns: DataFrame, prices: DataFrame, volum
     added = dated.where(F.col("_end").isNull() | (F.col(ON) > F.col("_end")))
 
     first = fresh.agg(F.min(ON)).scalar()
-    held_returns = old_returns.where(F.col(ON) >= first).select(
+    # Stored, so that Spark knows how few they are: the other securities' rows need not move.
+    met = materialise(fresh.select(KEY).distinct())
+    held_returns = old_returns.where(F.col(ON) >= first).join(met, KEY, "left_semi").select(
         *[F.col(c).alias(f"_was_{c}") for c in (KEY, ON, *LEVELS)]
     )
     unchanged = reduce(and_, [F.col(c) == F.col(f"_was_{c}") for c in (KEY, ON)]
@@ -180,9 +189,12 @@ def price_changes(fresh: DataFrame, returns: DataFrame, prices: DataFrame, volum
     stands = F.coalesce(
         F.col("_revised").isNull() & ~F.col("_behind") & same_prices & (no_volume | same_volume), F.lit(False)
     )
-    state = materialise(state.select(KEY, stands.alias("_stands")))
-
-    standing, moved = (state.where(side).select(KEY) for side in ("_stands", "NOT _stands"))
-    appended = reconstruct(added.join(standing, KEY, "left_semi"), prices, volumes)
-    whole = reconstruct(returns.join(moved, KEY, "left_semi"), prices, volumes)
-    return appended.unionByName(whole)
+    # Where a security stands, its rows after ``_after`` are this run's; of others all are needed.
+    state = materialise(state.select(KEY, F.when(stands, end).alias("_after")))
+    since = state.agg(F.when(F.max(F.col("_after").isNull()), F.lit(FIRST_DATE).cast("date")).otherwise(F.min("_after")))
+    rows = (
+        returns.where(F.col(ON) >= since.scalar())
+        .join(state, KEY)
+        .where(F.col("_after").isNull() | (F.col(ON) > F.col("_after")))
+    )
+    return reconstruct(by_security(rows.select(KEY, ON, *LEVELS)), prices, volumes)

@@ -70,6 +70,25 @@ def _new_rows(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataF
     )
 
 
+def one_per_key(rows: DataFrame, key: Sequence[str], run: Sequence[str]) -> DataFrame:
+    """The distinct rows that have a key; two different rows with one key raise.
+
+    Rows are told apart by the one before them in the order of the key within ``run``, the columns of the key
+    whose rows one task may order; rows that are already dealt out by them are not shuffled.
+    """
+    ordered = Window.partitionBy(*run).orderBy(*([k for k in key if k not in run] or key))
+    rows = rows.where(has_key(key)).withColumn("_previous", F.lag(F.struct(*rows.columns)).over(ordered))
+
+    def repeats(columns: Sequence[str]) -> Column:
+        return _all([F.col(c).eqNullSafe(F.col(f"_previous.{c}")) for c in columns])
+
+    first = F.col("_previous").isNull() | ~repeats(key)
+    clash = F.raise_error(F.concat(F.lit("different source rows share the key "),
+                                   F.to_json(F.struct(*key))))
+    kept = F.when(first, True).when(repeats(rows.columns[:-1]), False).otherwise(clash)
+    return rows.where(kept).drop("_previous")
+
+
 def insert_absent(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """``target`` plus the distinct source rows whose non-null key it does not hold."""
     rows = _new_rows(target, source, key)

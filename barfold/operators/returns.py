@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from barfold.functions.series import last_before, nonzero, pct_step, positive
 from barfold.functions.spans import date_span
 from barfold.operators.maintain import has_key, upsert
-from barfold.schema import FIRST_DATE, KEY, LEVELS, ON, PRICES, VOLUME
+from barfold.schema import BUCKETS, FIRST_DATE, KEY, LEVELS, ON, PRICES, VOLUME
 from barfold.sources.scratch import materialise
 
 
@@ -32,6 +32,16 @@ def usable_levels() -> dict[str, Column]:
     return {c: F.when(positive(c), F.col(c)) if c == VOLUME else nonzero(c) for c in LEVELS}
 
 
+def by_security(rows: DataFrame) -> DataFrame:
+    """``rows`` shuffled by security, as they are and before anything is added to them.
+
+    The partitions are a multiple of the buckets of series tables and dealt by the same hash. So each falls into
+    one bucket, and what is built on them in plans by security is written without another shuffle.
+    """
+    asked = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(BUCKETS * -(-asked // BUCKETS), KEY)
+
+
 def series_key(span_days: int | None) -> list[str]:
     """The columns that make up one ordered run of rows."""
     return [KEY] if span_days is None else [KEY, "_span"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from barfold.operators.catch_up import price_catch_up, price_changes
 from barfold.operators.levels import reconstruct
 from barfold.operators.lookups import max_date
-from barfold.operators.returns import last_price, last_volume, returns
+from barfold.operators.returns import by_security, last_price, last_volume, returns
 from barfold.schema import EARLIEST, LATEST, MARKET_TABLES, ON
 from barfold.sources.market import normalise_bars, select_bars
 from barfold.sources.store import Store
@@ -37,15 +37,15 @@ def update_all(store: Store, securities: DataFrame, bars: DataFrame,
         before = [change.read(name) for name in tables]
         resume = max_date(stocks, before[0], before=start, default=None)
         fetched = normalise_bars(select_bars(bars, resume, end), stocks)
-        with store.staged(fetched) as fresh, store.staged(returns(fresh)) as changes:
+        with store.staged(fetched) as fresh:
             change.upsert({
                 "last_price": last_price(fresh),
                 "last_volume": last_volume(fresh),
-                "stock_return": changes,
+                "stock_return": returns(by_security(fresh)),
             })
-            current = [change.read(name) for name in tables]
+            changes, current = change.added("stock_return"), [change.read(name) for name in tables]
             if rebuild == "all":
-                rows = reconstruct(*current)
+                rows = reconstruct(by_security(current[0]), *current[1:])
             else:
                 rows = price_changes(changes, *current, *before, stored=change.read("stock_price"))
             change.upsert({"stock_price": rows})

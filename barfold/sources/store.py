@@ -25,8 +25,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barfold.operators.maintain import replace_by
+from barfold.operators.maintain import delete_matching, one_per_key, replace_by
 from barfold.schema import Partition, Registry, TableSpec
+from barfold.sources.scratch import COMPRESSION
 from barfold.sources.staging import conform
 
 # The folder of one write, as a partition level of its own: Spark wants all paths of a table to be of one form.
@@ -46,6 +47,7 @@ class Change:
     def __init__(self, store: Store, base: int) -> None:
         self._store, self.base = store, base
         self.manifest = store._manifest(base)
+        self._added: dict[str, list[str]] = {}
 
     def read(self, name: str, between: Mapping[str, Range] | None = None) -> DataFrame:
         return self._store._read(name, self.manifest[name], between)
@@ -55,19 +57,27 @@ class Change:
         """Merge source rows into tables, as :meth:`Store.upsert` does, without publishing them."""
         store = self._store
 
-        def merge(name: str) -> dict:
+        def merge(name: str) -> tuple[dict, dict[str, list[str]]]:
             if name not in self.manifest:
                 raise KeyError(f"no table {name!r} in {store.root}")
             entry = self.manifest[name]
             spec = store._spec(name, entry)
             delete_by = list((by or {}).get(name, spec.primary_key))
+            if spec.primary_key and set(delete_by) == set(spec.primary_key):
+                return store._merged_by_key(entry, spec, sources[name])
             with store.staged(conform(sources[name], spec)) as staged:
-                return store._merged(entry, spec, staged, delete_by)
+                return store._merged(entry, spec, staged, delete_by), {}
 
         # The tables' jobs run side by side: small ones fill the gaps of large ones.
         with ThreadPoolExecutor(max_workers=4) as pool:
             merged = dict(zip(sources, pool.map(inheritable_thread_target(store.spark)(merge), sources)))
-        self.manifest = self.manifest | merged
+        self.manifest = self.manifest | {name: entry for name, (entry, _) in merged.items()}
+        self._added |= {name: added for name, (_, added) in merged.items()}
+
+    def added(self, name: str) -> DataFrame:
+        """The rows that the last merge by primary key put into a table, read from where it stored them."""
+        entry = self.manifest[name] | {"parts": self._added[name]}
+        return self._store._read(name, entry)
 
 
 class Store:
@@ -169,7 +179,8 @@ class Store:
     def _rows(self, entry: dict, spec: TableSpec, parts: list[str], tests: Sequence[str] = ()) -> DataFrame:
         paths = [f"{self.root}/{d}" for p in parts for d in entry["parts"].get(p, [])]
         if not paths:
-            return self.spark.createDataFrame([], spec.schema)
+            # The filter tells Spark before it plans that there are no rows, so joins with them fall away.
+            return self.spark.createDataFrame([], spec.schema).where(F.lit(False))
         schema = T.StructType([*spec.schema.fields, T.StructField(_CHANGE, T.StringType()),
                                *[T.StructField(p.name, T.LongType()) for p in spec.partition_by]])
         rows = self.spark.read.option("basePath", f"{self.root}/data/{spec.name}").schema(schema).parquet(*paths)
@@ -219,13 +230,17 @@ class Store:
         return {p.name: F.expr(p.of(f"`{p.column}`")).cast("long") for p in spec.partition_by
                 if columns is None or p.column in columns}
 
-    def publish(self, tables: Mapping[str, DataFrame]) -> None:
-        """Replace the content of one or more tables in a single step."""
+    def publish(self, tables: Mapping[str, DataFrame], laid_out: bool = False) -> None:
+        """Replace the content of one or more tables in a single step.
+
+        Rows that are ``laid_out``, as those built on :func:`barfold.operators.returns.by_security`, are not
+        dealt out once more.
+        """
         base = self.version()
         manifest = self._manifest(base)
         for name, rows in tables.items():
             entry = self._entry(name, base)
-            manifest[name] = entry | {"parts": self._write(self._spec(name, entry), rows)}
+            manifest[name] = entry | {"parts": self._write(self._spec(name, entry), rows, laid_out)}
         self._switch(base, manifest)
 
     def upsert(self, sources: Mapping[str, DataFrame],
@@ -233,8 +248,8 @@ class Store:
         """Merge source rows into tables in a single step, by primary key.
 
         ``by`` names, per table, columns whose matching target rows are deleted in
-        place of those with a matching primary key. Each source is written once to a
-        staging directory, as it is read several times.
+        place of those with a matching primary key; such a source is written to a staging
+        directory, as it is read several times. By primary key it is written once, where it stays.
         """
         with self.change() as change:
             change.upsert(sources, by)
@@ -254,7 +269,7 @@ class Store:
         """``rows`` written next to the tables, for as long as the block runs."""
         path = f"{self.root}/staging/{uuid.uuid4().hex}"
         try:
-            rows.write.parquet(path)
+            rows.write.parquet(path, compression=COMPRESSION)
             yield self.spark.read.schema(rows.schema).parquet(path)
         finally:
             self._fs.delete(self._path(path), True)
@@ -275,6 +290,27 @@ class Store:
         written = self._write(spec, merged)
         return entry | {"parts": kept | {p: kept.get(p, []) + d for p, d in written.items()}}
 
+    def _merged_by_key(self, entry: dict, spec: TableSpec, source: DataFrame) -> tuple[dict, dict[str, list[str]]]:
+        """The table's new entry and the folders of the source rows alone.
+
+        Source rows are checked and written once, into folders of their own. Of the partitions they fall into, the other
+        rows are written again: those of a run (as a security is) without source rows just as they lie.
+        """
+        keys = list(spec.primary_key)
+        run = [p.column for p in spec.partition_by if not p.rising] or keys
+        added = self._write(spec, one_per_key(conform(source, spec), keys, run), laid_out=True)
+        touched = [part for part in entry["parts"] if part in added]
+        parts = {p: d for p, d in entry["parts"].items() if p not in added}
+        if touched:
+            target, rows = self._rows(entry, spec, touched), self._rows({"parts": added}, spec, list(added))
+            # Stored first, so that Spark knows how few they are.
+            with self.staged(rows.select(*run).distinct()) as runs:
+                beside = target.join(runs, run, "left_anti").select(*target.columns)
+                within = target.join(runs, run, "left_semi").select(*target.columns)
+                kept = self._write(spec, beside.unionByName(delete_matching(within, rows, keys)), laid_out=True)
+            parts |= kept
+        return entry | {"parts": parts | {p: parts.get(p, []) + d for p, d in added.items()}}, added
+
     def compact(self, name: str) -> None:
         """Rewrite a table in key order with evenly sized files; its rows stay the same."""
         base = self.version()

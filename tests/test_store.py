@@ -191,3 +191,21 @@ def test_partitions_are_checked(spark):
     for column, name in (("v", "x"), ("k", "v"), ("k", "change")):
         with pytest.raises(ValueError, match="partition"):
             TableSpec("t", SPEC.schema, ("k",), (Partition(name, "{}", column),))
+
+
+def test_source_rows_are_written_once_and_told_by_added(spark, store):
+    store.publish({"t": frame(spark, [(1, "a"), (2, "b"), (11, "c")])})
+    kept = store._entry("t")["parts"]["tens=1"]
+    with store.change() as change:
+        change.upsert({"t": frame(spark, [(2, "z"), (2, "z"), (25, "new"), (None, "lost")])})
+        assert rows_of(change.added("t")) == [(2, "z"), (25, "new")]
+    assert rows_of(store.read("t")) == [(1, "a"), (11, "c"), (2, "z"), (25, "new")]
+    parts = store._entry("t")["parts"]
+    assert parts["tens=1"] == kept and len(parts["tens=0"]) == 2 and len(parts["tens=2"]) == 1
+    with pytest.raises(Exception, match="share the key"):
+        store.upsert({"t": frame(spark, [(3, "x"), (3, None)])})
+
+
+def test_an_empty_table_drops_out_of_joins_before_they_run(spark, store):
+    joined = frame(spark, [(1, "a")]).join(store.read("t").select("k"), "k", "left_anti")
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
