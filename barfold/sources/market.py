@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barfold.functions.series import finite, not_nan
-from barfold.schema import BAR_SCHEMA, KEY, LEVELS, ON, STOCKS
+from barfold.schema import BAR_SCHEMA, FIRST_DATE, KEY, LEVELS, ON, STOCKS
 from barfold.sources.scratch import materialise
 
 
@@ -64,17 +64,17 @@ def select_bars(bars: DataFrame, resume: DataFrame | None = None,
                 end: date | None = None) -> DataFrame:
     """Cut bars down to the dates each symbol still needs, and clean their numbers.
 
-    The earliest of all resume dates is a filter of the scan itself, so files and row groups before it are
-    skipped. Symbols without one need all their dates: those are a branch of their own.
+    Where all symbols have a resume date the earliest is a filter of the scan itself, so files and row groups
+    before it are skipped. Symbols without one need all their dates.
     """
     if end is not None:
         bars = bars.where(F.col("date") <= F.lit(end))
     if resume is not None:
         starts = materialise(resume.select(F.col("id_yahoo").alias("symbol"), F.col(ON).alias("_start")))
-        first = starts.agg(F.min("_start")).scalar()
-        since = bars.where(F.col("date") >= first).join(starts, "symbol").where("date >= _start").drop("_start")
-        never = starts.where("_start is null").select("symbol")
-        bars = since.select(*bars.columns).unionByName(bars.join(never, "symbol").select(*bars.columns))
+        any_never = F.max(F.col("_start").isNull())
+        first = starts.agg(F.when(any_never, F.lit(FIRST_DATE).cast("date")).otherwise(F.min("_start"))).scalar()
+        wanted = bars.where((F.col("date") >= first) | F.col("date").isNull()).join(starts, "symbol")
+        bars = wanted.where("_start is null or date >= _start").select(*bars.columns)
     numbers = [f.name for f in bars.schema.fields if isinstance(f.dataType, T.DoubleType)]
     return bars.withColumns({c: finite(c) for c in numbers})
 

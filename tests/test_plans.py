@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barfold import operators as op
+from barfold.sources.market import select_bars as src_select
 from tests.conftest import SMALL
 from workload import standins as make
 
@@ -125,3 +126,40 @@ def make_date(year):
     from datetime import date
 
     return date(year, 1, 1)
+
+
+def test_rows_in_order_of_security_are_told_apart_without_a_shuffle(stored):
+    rows = op.one_per_key(op.returns(op.by_security(stored("bars"))), ["sec_id", "Date"], ["sec_id"])
+    assert count(plan(rows), "Exchange") == 1
+
+
+def test_bars_shuffle_lines_and_not_aggregates_of_them(spark):
+    text = plan(make.bars(make.tables(spark, SMALL)))
+    assert count(text, "Exchange") == 1 and "partial_" not in text.split("Exchange")[1].split("+-", 1)[1]
+
+
+def test_fetched_bars_meet_the_resume_dates_in_one_scan(stored, spark):
+    resume = spark.createDataFrame([("a", None)], "id_yahoo string, Date date")
+    feed = make.feed(stored("bars"))
+    assert plan(src_select(feed, resume)).count(",open:double") == 1
+
+
+def test_spans_shuffle_rows_before_their_factors(stored):
+    rows = op.reconstruct(stored("returns"), stored("last_price"), stored("last_volume"), span_days=365)
+    text = plan(rows)
+    shuffles = [s.split("\n")[1] for s in text.split("Exchange hashpartitioning(sec_id")[1:] if "_span" in s.split("\n")[0]]
+    assert shuffles and not any("_w" in s and "CASE" in s for s in shuffles)
+
+
+def test_a_catch_up_sends_the_drifted_ids_to_the_returns(stored, large_tables):
+    stocks = stored("last_price").select("sec_id")
+    behind = stored("prices").where(F.col("Date") <= F.lit(make_date(2001)))
+    text = plan(op.price_catch_up(stocks, stored("returns"), behind, stored("last_price"), stored("last_volume")))
+    assert "BroadcastHashJoin [sec_id" in text and "LeftSemi" in text
+
+
+def test_a_refresh_compares_rows_without_aggregates_of_them(stored):
+    stocks = stored("last_price").select("sec_id")
+    behind = stored("prices").where(F.col("Date") <= F.lit(make_date(2001)))
+    text = plan(op.refresh_prices(stocks, stored("returns"), behind, stored("last_price"), stored("last_volume")))
+    assert "min(open" not in text and "_previous" in text
