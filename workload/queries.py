@@ -164,14 +164,14 @@ def refresh_prices_early(t):
 @query
 def refresh_stored_prices(t):
     """The same catch-up in a store, merged into the partitions it touches."""
-    b = make.bars(t)
-    changes, prices, volumes = (
-        src.materialise(table) for table in (op.returns(b), op.last_price(b), op.last_volume(b))
-    )
+    b = src.materialise(make.bars(t))
     store = Store(b.sparkSession, _scratch(b.sparkSession, "market"))
     store.create(*MARKET_TABLES)
-    store.publish({"stocks": make.stocks(t), "stock_return": changes, "last_price": prices, "last_volume": volumes,
-                   "stock_price": make.stored_prices(t, op.reconstruct(changes, prices, volumes))})
+    store.publish({"stocks": make.stocks(t), "stock_return": op.returns(op.by_security(b)),
+                   "last_price": op.last_price(b), "last_volume": op.last_volume(b)}, laid_out=True)
+    changes, prices, volumes = (store.read(name) for name in ("stock_return", "last_price", "last_volume"))
+    history = op.reconstruct(op.by_security(changes), prices, volumes)
+    store.publish({"stock_price": make.stored_prices(t, history)}, laid_out=True)
     refresh_stored(store)
     return store.read("stock_price")
 
