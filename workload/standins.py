@@ -28,7 +28,9 @@ def bars(t: Inputs) -> DataFrame:
     adjusted close). Lines with return flag R carry no volume.
     """
     price = F.col("l_extendedprice")
-    line = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount")
+    traded = F.when(F.col("l_returnflag") == "R", 0.0).otherwise(F.col("l_quantity"))
+    # In order: the price of two lines that differ in their discount alone is the same.
+    line = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
     halted = F.col("first_line") == 7
 
     def unless_halted(value: Column | str) -> Column:
@@ -36,15 +38,18 @@ def bars(t: Inputs) -> DataFrame:
 
     return (
         t("lineitem")
-        .groupBy(F.col("l_suppkey").alias("sec_id"), F.to_date("l_shipdate").alias("Date"))
+        .select(F.col("l_suppkey").alias("sec_id"), F.to_date("l_shipdate").alias("Date"), *line, "l_discount",
+                traded.alias("traded"))
+        # Days have few lines: these are narrower than what aggregates of them would carry through the shuffle.
+        .repartition("sec_id", "Date")
+        .groupBy("sec_id", "Date")
         .agg(
             F.min("l_linenumber").alias("first_line"),
-            F.min(line).alias("first"),
-            F.max(line).alias("last"),
+            F.min(F.struct(*line)).alias("first"),
+            F.max(F.struct(*line, "l_discount")).alias("last"),
             F.max(price).alias("top"),
             F.min(price).alias("bottom"),
-            F.sum(F.when(F.col("l_returnflag") == "R", 0.0).otherwise(F.col("l_quantity")))
-            .alias("traded"),
+            F.sum("traded").alias("traded"),
         )
         .select(
             "sec_id", "Date",
