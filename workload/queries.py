@@ -137,11 +137,11 @@ def roundtrip_diff(t):
 @query
 def refresh_prices(t):
     """A price table that fell behind, caught up from the stored return and last tables."""
-    b = make.bars(t)
+    b = src.materialise(make.bars(t))
     changes, prices, volumes = (
         src.materialise(table) for table in (op.returns(b), op.last_price(b), op.last_volume(b))
     )
-    stored = src.materialise(make.stored_prices(t, op.reconstruct(changes, prices, volumes)))
+    stored = src.materialise(make.stored_prices(t, op.reconstruct(changes.repartition(KEY), prices, volumes)))
     return op.refresh_prices(make.stocks(t), changes, stored, prices, volumes)
 
 
