@@ -22,6 +22,7 @@ from barfold.operators.returns import (
     with_span,
 )
 from barfold.schema import KEY, LEVELS, ON, PRICES, VOLUME
+from barfold.sources.scratch import materialise
 
 # Where each anchor's date is kept, by level column.
 _ANCHOR_ON = {c: "_volume_on" if c == VOLUME else "_price_on" for c in LEVELS}
@@ -125,9 +126,11 @@ def reconstruct(returns: DataFrame, prices: DataFrame, volumes: DataFrame,
 
     A change of -1 has no finite inverse: the levels before it come out null.
     """
-    rows = _with_newer(with_span(returns.select(KEY, ON, *LEVELS), span_days), span_days)
+    rows = with_span(returns.select(KEY, ON, *LEVELS), span_days)
     if span_days is None:
-        return _rounded(_rebuild(rows, prices, volumes), digits)
+        return _rounded(_rebuild(_with_newer(rows, None), prices, volumes), digits)
+    # Shuffled before the factors are added, which would double what moves.
+    rows = _with_newer(rows.repartition(*series_key(span_days)), span_days)
     return _rounded(_rebuild_spans(rows, prices, volumes, span_days), digits)
 
 
@@ -147,6 +150,8 @@ def price_history(bars: DataFrame, span_days: int | None = None,
     Uncut, everything happens on a single shuffle of the bars by ``sec_id``.
     """
     if span_days is not None:
+        # Read three times, so computed once.
+        bars = materialise(bars.select(KEY, ON, *LEVELS))
         return reconstruct(returns(bars, span_days), last_price(bars), last_volume(bars),
                            span_days, digits)
     kept = F.col("close").isNotNull()
