@@ -179,12 +179,12 @@ def refresh_stored_prices(t):
 @query
 def refresh_prices_small_drift(t):
     """Stored levels off by a millionth of a unit, with volumes near a billion."""
-    b = make.bars(t).withColumn("volume", F.col("volume") * 1e7)
+    b = src.materialise(make.bars(t).withColumn("volume", F.col("volume") * 1e7))
     changes, prices, volumes = (
         src.materialise(table) for table in (op.returns(b), op.last_price(b), op.last_volume(b))
     )
     stored = src.materialise(
-        op.reconstruct(changes, prices, volumes)
+        op.reconstruct(changes.repartition(KEY), prices, volumes)
         .where(F.col(ON) <= F.lit(FIRST_RUN_END))
         .withColumn("close", F.round(F.col("close") + F.when(F.pmod(KEY, F.lit(2)) == 0, 1e-6).otherwise(0.0), 6))
     )
