@@ -152,11 +152,11 @@ def _days_back(rows: DataFrame, days: int) -> DataFrame:
 @query
 def refresh_prices_early(t):
     """The same some hundred years earlier, over a price table that is partly empty."""
-    b = _days_back(make.bars(t), 36524)
+    b = src.materialise(_days_back(make.bars(t), 36524))
     changes, prices, volumes = (
         src.materialise(table) for table in (op.returns(b), op.last_price(b), op.last_volume(b))
     )
-    late = make.stored_prices(t, _days_back(op.reconstruct(changes, prices, volumes), -36524))
+    late = make.stored_prices(t, _days_back(op.reconstruct(changes.repartition(KEY), prices, volumes), -36524))
     stored = src.materialise(_days_back(late, 36524))
     return op.refresh_prices(make.stocks(t), changes, stored, prices, volumes)
 
