@@ -53,7 +53,7 @@ class Code:
         order = order[self.lengths[order] > 0]
         width = np.int64(1) << (self.limit - self.lengths[order])
         first = np.cumsum(width) - width
-        self.words = np.zeros(len(self.lengths), np.uint32)
+        self.words = np.zeros(len(self.lengths), np.uint64)
         self.words[order] = first >> (self.limit - self.lengths[order])
         table = np.repeat(order, width)
         self.symbol = np.zeros(1 << self.limit, np.uint32)
@@ -66,25 +66,28 @@ class Code:
         size = self.lengths[rows.values]
         if len(size) and not size.all():
             raise ValueError("a symbol has no code")
-        ends = np.concatenate(([0], np.cumsum(size)))
-        bits = np.diff(ends[rows.offsets])
-        starts = np.concatenate(([0], np.cumsum((bits + 7) >> 3)))
-        owner = np.repeat(np.arange(len(bits)), rows.lengths())
-        inside = ends[:-1] - ends[rows.offsets[:-1]][owner]
-        place = inside + (starts[:-1] * 8)[owner]
-        byte = place >> 3
-        word = self.words[rows.values].astype(np.uint64) << (32 - (place & 7) - size).astype(np.uint64)
-        out = np.zeros(starts[-1] + 4, np.uint8)
-        if len(byte):
-            # Codes that begin in one byte share no bit, so their sum is their union.
-            first = np.flatnonzero(np.concatenate(([True], byte[1:] != byte[:-1])))
-            joined, at = np.add.reduceat(word, first), byte[first]
-            for k in range(4):
-                out[at + k] += ((joined >> np.uint64(24 - 8 * k)) & np.uint64(255)).astype(np.uint8)
-        number = np.arange(len(owner)) - rows.offsets[:-1][owner]
-        marked = number % STEP == 0
-        marks = np.concatenate(([0], np.cumsum(marked)))[rows.offsets]
-        return Ragged(out[: starts[-1]], starts), Ragged(inside[marked], marks)
+        ends = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=ends[1:])
+        from_, counts = ends[rows.offsets[:-1]], rows.lengths()
+        starts = np.concatenate(([0], np.cumsum((ends[rows.offsets[1:]] - from_ + 7) >> 3)))
+        place = np.repeat(starts[:-1] * 8 - from_, counts)
+        place += ends[:-1]
+        lane = place >> 5
+        place &= 31
+        place += size
+        word = self.words[rows.values] << (64 - place).astype(np.uint64)
+        out = np.zeros((starts[-1] >> 2) + 2, np.uint32)
+        if len(lane):
+            # Codes that begin in one lane of 32 bits share no bit, so their sum is their union.
+            first = np.flatnonzero(np.concatenate(([True], lane[1:] != lane[:-1])))
+            joined, at = np.add.reduceat(word, first), lane[first]
+            out[at] = joined >> np.uint64(32)
+            out[at + 1] |= joined.astype(np.uint32)
+        marks = np.concatenate(([0], np.cumsum(-(-counts // STEP))))
+        number = np.arange(marks[-1]) - np.repeat(marks[:-1], np.diff(marks))
+        row = np.repeat(np.arange(len(counts)), np.diff(marks))
+        inside = ends[rows.offsets[:-1][row] + number * STEP] - from_[row]
+        return Ragged(out.byteswap().view(np.uint8)[: starts[-1]], starts), Ragged(inside, marks)
 
     def unpack(self, data: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Symbols of stretches: from bit ``starts`` on, ``counts`` each, one stretch after another."""

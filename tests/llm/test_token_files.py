@@ -29,6 +29,23 @@ def test_ids_of_the_library(more):
             assert found.values[found.offsets[n]:found.offsets[n + 1]].tolist() == ids
 
 
+def test_words_with_small_latin_letters_take_the_merges():
+    ours, library = token_files.WordIds(open(PATH).read()), Tokenizer.from_file(PATH)
+    assert ours.wide
+    seen, whole = [], ours.file
+    ours.file = type("Spy", (), {
+        "encode_batch_fast": lambda self, texts, **more: (seen.extend(texts), whole.encode_batch_fast(texts, **more))[1]})()
+    draw = random.Random(4)
+    pieces = ["é", "ß", "ÿ", "ñandú", "a", "straße", ",", ".", "$$$", "###", "&&", "**", "%", " ", "\n", "ë", "'s", "÷", "×", "É", "µ", "\u0301", "\u0338", "=", "ā", "1"]
+    texts = ["".join(draw.choices(pieces, k=draw.randint(0, 20))) for _ in range(1500)] + ["straße, ñandú$$$ à###", "élan***"]
+    for column in ([texts[n]] for n in (-2, -1)):
+        ours.encode(pa.array(column))
+    assert not [p for p in seen if any(c.isalpha() for c in p)]
+    found = ours.encode(pa.array(texts))
+    for n, text in enumerate(texts):
+        assert found.values[found.offsets[n]:found.offsets[n + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def huffman_cost(counts):
     heap, cost = [c for c in counts if c], 0
     heapq.heapify(heap)
