@@ -10,10 +10,15 @@ Candidates are verified by their cosine in double precision.
 Vectors whose unit vectors agree in every bit are one class, which counts as many as it has rows and is compared
 once; so copies cost no comparison, and whatever the number of copies, a link is between classes.
 
-The codebooks only decide how much is looked at. Every vector is indexed. Of two cells the one with
-the smaller number is probed from, so a link is found once. A cell's members are split into salted
-parts of about ``PART``; probes go to every part and are streamed. A part gives link counts per vector and a
-forest of its links, never all pairs.
+The codebooks only decide how much is looked at. Every vector is indexed. Of two cells that may link, the one that comes
+first on the shorter way round the ring of cells is probed from, so a link is found once and cells are probed about equally often.
+
+Neighbouring cells make a region, of about a ``REGIONS``-th of a label's vectors, so that a vector travels to a region once, as the floats it
+was given in, with the cells it visits there, and not once for each cell. Regions grow with the table up to half a part of
+``PART`` vectors and ``PART_BYTES``. What moves grows in proportion to the table that far (some 260,000 vectors of 64 numbers
+a label), and beyond that with the number of regions as well. A region's members are split into salted parts of about
+``PART``; probes go to every part and are streamed. A part gives link counts per vector and a forest of its links, never all
+pairs.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and those with a
 null label or number, link with nothing; vectors of different lengths do not link; rows with one number are one
@@ -32,14 +37,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barfold.llm.components import components
+from barfold.llm.components import components, small
 from barfold.llm.labelled import draw
-from barfold.sources.scratch import materialise
+from barfold.sources.scratch import materialise, release
 
 SAMPLE = 16_384
 OCCUPANCY = 64
-PART = 4096
+REGIONS = 8
+LEAST = 4096
+PART = 65_536
+PART_BYTES = 32 << 20
+SLICE_BYTES = 4 << 20
 BLOCK = 2048
+MEMBERS = 4096
 APART = 1e-4
 ROUNDS = 12
 
@@ -59,6 +69,20 @@ def _units(column: pa.Array) -> tuple[list[int], list[np.ndarray]]:
     return rows, found
 
 
+def _packed(column: pa.Array, rows: list[int]) -> list[bytes]:
+    """The vectors of these rows as they were given: floats in 4 bytes, all others in 8."""
+    kind = "<f4" if pa.types.is_float32(column.type.value_type) else "<f8"
+    return [column[n].values.to_numpy(zero_copy_only=False).astype(kind).tobytes() for n in rows]
+
+
+def _unpacked(vectors: list[bytes], length: int) -> np.ndarray:
+    """Unit vectors of what :func:`_packed` gave, in double precision."""
+    kind = f"<f{len(vectors[0]) // length}"
+    found = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), length).astype(np.float64)
+    found /= np.abs(found).max(axis=1)[:, None]
+    return found / np.sqrt(np.einsum("ij,ij->i", found, found))[:, None]
+
+
 def _half(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     middle = (vectors.shape[1] + 1) // 2
     return vectors[:, :middle], vectors[:, middle:]
@@ -124,10 +148,11 @@ def _sequence(one: list[float], two: list[float], most: float) -> Iterator[tuple
 
 
 class Index:
-    """The codebooks by vector length."""
+    """The codebooks by vector length; ``each`` is how many vectors a label has on average."""
 
-    def __init__(self, books: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
-        self.books = books
+    def __init__(self, books: dict[int, tuple[np.ndarray, np.ndarray]], each: float = 0) -> None:
+        self.books, self.each = books, each
+        self.least, self.part = LEAST, PART
 
     def _book(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         # A length that the sample missed has one cell.
@@ -139,6 +164,25 @@ class Index:
         one, two = (_squares(h, b).argmin(1) for h, b in zip(_half(vectors), book, strict=True))
         return one * len(book[1]) + two
 
+    def size(self, length: int) -> int:
+        """Number of cells."""
+        one, two = self._book(length)
+        return len(one) * len(two)
+
+    def regions(self, length: int) -> int:
+        """Number of regions that the cells are dealt to, in order."""
+        wanted = min(max(self.each / REGIONS, self.least), max(1, min(self.part, PART_BYTES // (8 * length))) / 2)
+        return max(1, min(self.size(length), int(np.ceil(self.each / wanted))))
+
+    def region(self, cells: np.ndarray, length: int) -> np.ndarray:
+        return cells * self.regions(length) // self.size(length)
+
+    def ahead(self, cell: int, cells: np.ndarray, length: int) -> np.ndarray:
+        """Those of ``cells`` that are probed from ``cell``: of two, one is ahead of the other."""
+        size = self.size(length)
+        way = (cells - cell) % size
+        return cells[(way > 0) & ((2 * way < size) | ((2 * way == size) & (cells > cell)))]
+
     def visits(self, vectors: np.ndarray, distance: float) -> Iterator[np.ndarray]:
         """Cells of each vector, nearest first, until no other can hold a vector within ``distance``."""
         book = self._book(vectors.shape[1])
@@ -150,6 +194,13 @@ class Index:
             yield np.array([first[i] * len(book[1]) + second[j] for i, j in pairs], np.int64)
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices whose vectors have about ``SLICE_BYTES``, as each may be sent to all regions."""
+    step = max(1, SLICE_BYTES * len(batch) // max(1, batch.column("vector").nbytes))
+    for low in range(0, len(batch), step):
+        yield batch.slice(low, step)
+
+
 def build(vectors: DataFrame) -> Index:
     """Codebooks from about ``SAMPLE`` rows (``label``, ``embedding``), sized for ``OCCUPANCY`` vectors of a label in a cell."""
     count, labels = vectors.agg(F.count("*"), F.approx_count_distinct("label")).first()
@@ -172,7 +223,7 @@ def build(vectors: DataFrame) -> Index:
         r["length"]: (np.frombuffer(r["one"]).reshape(r["ones"], -1),
                       np.frombuffer(r["two"]).reshape(-1, r["length"] // 2) if r["length"] > 1 else np.zeros((1, 0)))
         for r in rows
-    })
+    }, count / max(1, labels))
 
 
 def link(
@@ -189,24 +240,22 @@ def link(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, units = _units(batch.column("embedding"))
+            column = batch.column("embedding")
+            rows, units = _units(column)
             ids, labels = (batch.column(c).take(pa.array(rows, pa.int64())) for c in ("vec_id", "label"))
             lengths = np.array([len(u) for u in units], np.int64)
-            cells, visits = np.zeros(len(rows), np.int64), [None] * len(rows)
-            for length in np.unique(lengths):
+            cells, regions = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+            for length in np.unique(lengths).tolist():
                 same = np.flatnonzero(lengths == length)
-                matrix = np.array([units[n] for n in same])
-                cells[same] = index.value.cells(matrix)
-                for n, seen in zip(same, index.value.visits(matrix, distance), strict=True):
-                    visits[n] = seen[seen > cells[n]]
+                cells[same] = index.value.cells(np.array([units[n] for n in same]))
+                regions[same] = index.value.region(cells[same], length)
             yield pa.RecordBatch.from_arrays(
-                [ids, labels, pa.array(lengths), pa.array([u.tobytes() for u in units], pa.binary()),
-                 pa.array([hashlib.sha256(u.tobytes()).digest() for u in units], pa.binary()), pa.array(cells),
-                 pa.array(visits, pa.list_(pa.int64()))],
-                names=["vec_id", "label", "length", "unit", "same", "cell", "visits"])
+                [ids, labels, pa.array(lengths), pa.array(_packed(column, rows), pa.binary()),
+                 pa.array([hashlib.sha256(u.tobytes()).digest() for u in units], pa.binary()), pa.array(cells), pa.array(regions)],
+                names=["vec_id", "label", "length", "vector", "same", "cell", "region"])
 
     every = materialise(usable.mapInArrow(
-        place, f"vec_id long, label {kind}, length long, unit binary, same binary, cell long, visits array<long>"))
+        place, f"vec_id long, label {kind}, length long, vector binary, same binary, cell long, region long"))
     # A number with several vectors is a class by itself in each, so that it never counts as its own link.
     rows = every.select("vec_id", "label", "same").distinct()
     several = rows.groupBy("vec_id").count().where("count > 1").select("vec_id", F.col("vec_id").cast("string").alias("alone"))
@@ -214,42 +263,49 @@ def link(
     named = ["label", "same", "alone"]
     classes = materialise(keyed.groupBy(*named).agg(F.min("vec_id").alias("first"), F.count("*").alias("size")))
     placed = materialise(
-        every.dropDuplicates(["vec_id", "label", "same"]).drop("alone")
+        every.dropDuplicates(["vec_id", "label", "same"])
         .join(classes.select(F.col("first").alias("vec_id"), "label", "same", "size"), ["vec_id", "label", "same"]).drop("same"))
-    where = ["label", "length", "cell"]
-    salts = placed.groupBy(*where).agg(F.ceil(F.count("*") / PART).cast("int").alias("salts")).where("salts > 1")
-    member = (
-        placed.drop("visits").join(salts, where, "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-        .withColumn("mine", F.pmod(F.xxhash64("vec_id"), F.col("salts")).cast("int"))
-        # A member meets its own part, and those of higher number as a probe.
-        .withColumn("salt", F.explode(F.sequence(F.col("mine"), F.col("salts") - 1)))
-        .select(*where, "salt", (F.col("salt") > F.col("mine")).alias("probe"), "vec_id", "unit", "size")
-    )
-    probe = (
-        placed.select("vec_id", "label", "length", "unit", "size", F.explode("visits").alias("cell"))
-        .join(salts, where, "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
-        .select(*where, "salt", F.lit(True).alias("probe"), "vec_id", "unit", "size")
-    )
-    # A probe without members in its cell meets nobody.
-    probe = probe.join(placed.select(*where).distinct(), where, "left_semi")
+    release(every)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices(batch):
+                yield _sent(part, index.value, distance)
+
+    where = ["label", "length", "region"]
+    most = F.greatest(F.lit(1), F.least(F.lit(PART), F.floor(F.lit(PART_BYTES) / (8 * F.col("length")))))
+    # A region without members is not here, so probes of it meet nobody and are dropped.
+    salts = small(placed.groupBy(*where).agg(F.count("*").alias("count")).select(*where, F.ceil(F.col("count") / most).cast("int").alias("salts")))
+    dealt = placed.mapInArrow(
+        deal, f"label {kind}, length long, vec_id long, vector binary, size long, cell long, region long, home boolean, visits binary")
+    salt, mine = F.col("salt"), F.col("mine")
     parts = [*where, "salt"]
-    rows = member.unionByName(probe).repartition(*parts).sortWithinPartitions(*parts, "probe", "vec_id")
+    rows = (
+        dealt.join(salts, where).withColumn("mine", F.when(F.col("home"), F.pmod(F.xxhash64("vec_id"), F.col("salts"))).cast("int"))
+        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        # At home it is a member of its own part. It probes the others, for vectors of its own cell those of higher number only.
+        .withColumn("probe", F.coalesce(salt != mine, F.lit(True)))
+        .withColumn("own", F.coalesce(salt > mine, F.lit(False)))
+        .where("not probe or own or length(visits) > 0")
+        .select(*parts, "probe", "vec_id", "vector", "size", "cell", "own", "visits")
+        .repartition(*parts).sortWithinPartitions(*parts, "probe", "vec_id")
+    )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = None
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in (*parts, "probe", "vec_id", "unit", "size")]
-            for *at, is_probe, vec_id, unit, size in zip(*columns, strict=True):
+            columns = [batch.column(c).to_pylist() for c in (*parts, "probe", "vec_id", "vector", "size", "cell", "own", "visits")]
+            for *at, is_probe, vec_id, vector, size, cell, own, visits in zip(*columns, strict=True):
                 if now is None or now.at != at:
                     if now is not None:
                         yield from now.finish()
                     now = _Part(at, cosine)
-                yield from now.add(is_probe, vec_id, unit, size)
+                yield from now.add(is_probe, vec_id, vector, size, cell, own, visits)
         if now is not None:
             yield from now.finish()
 
     found = materialise(rows.mapInArrow(verify, "a long, b long, n long"))
+    release(placed)
     counts = found.where("b is null").groupBy(F.col("a").alias("first")).agg(F.sum("n").alias("n"))
     groups = components(found.where("b is not null").select("a", "b")).withColumnRenamed("node", "first")
     classified = (
@@ -266,62 +322,137 @@ def link(
     )
 
 
+def _sent(batch: pa.RecordBatch, index: Index, distance: float) -> pa.RecordBatch:
+    """Each vector at home, and once for each other region with cells that it visits; ``visits`` are the cells there."""
+    lengths, cells, homes = (batch.column(c).to_numpy() for c in ("length", "cell", "region"))
+    rows, regions, visits = [], [], []
+    for length in np.unique(lengths).tolist():
+        same = np.flatnonzero(lengths == length)
+        units = _unpacked(batch.column("vector").take(pa.array(same)).to_pylist(), length)
+        for n, seen in zip(same.tolist(), index.visits(units, distance), strict=True):
+            seen = np.sort(index.ahead(cells[n], seen, length))
+            of = index.region(seen, length)
+            met = np.union1d(of, homes[n])
+            rows += [n] * len(met)
+            regions += met.tolist()
+            visits += [seen[of == r].astype("<i4").tobytes() for r in met]
+    at, region = np.array(rows, np.int64), np.array(regions, np.int64)
+    taken = {c: batch.column(c).take(pa.array(at)) for c in ("label", "length", "vec_id", "vector", "size", "cell")}
+    return pa.RecordBatch.from_pydict(
+        taken | {"region": pa.array(region), "home": pa.array(region == homes[at]), "visits": pa.array(visits, pa.binary())})
+
+
+class _Rows:
+    """Rows of one kind: vectors with the cells that they look into."""
+
+    def __init__(self) -> None:
+        self.ids: list[int] = []
+        self.vectors: list[bytes] = []
+        self.sizes: list[int] = []
+        self.cells: list[int] = []
+        self.visits: list[bytes] = []
+
+    def add(self, vec_id: int, vector: bytes, size: int, cell: int, visits: bytes) -> None:
+        for held, value in zip((self.ids, self.vectors, self.sizes, self.cells, self.visits), (vec_id, vector, size, cell, visits),
+                               strict=True):
+            held.append(value)
+
+
 class _Part:
-    """One salted part of a cell: its members, and probes in blocks. Yields link counts (``b`` null) and links."""
+    """One salted part of a region: its members in order of cells, and probes in blocks. Yields link counts (``b`` null) and links."""
 
     def __init__(self, at: list, cosine: float) -> None:
-        self.at, self.cosine = at, cosine
-        self.ids: list[int] = []
-        self.units: list[bytes] = []
-        self.sizes: list[int] = []
+        self.at, self.cosine, self.length = at, cosine, at[1]
+        self.rows, self.probes = _Rows(), _Rows()
         self.matrix: np.ndarray | None = None
-        self.probes: tuple[list[int], list[bytes], list[int]] = ([], [], [])
 
-    def add(self, is_probe: bool, vec_id: int, unit: bytes, size: int) -> Iterator[pa.RecordBatch]:
+    def add(self, is_probe: bool, vec_id: int, vector: bytes, size: int, cell: int, own: bool, visits: bytes) -> Iterator[pa.RecordBatch]:
         if not is_probe:
-            self.ids.append(vec_id)
-            self.units.append(unit)
-            self.sizes.append(size)
+            self.rows.add(vec_id, vector, size, cell, visits)
             return
-        for held, value in zip(self.probes, (vec_id, unit, size), strict=True):
-            held.append(value)
-        if len(self.probes[0]) >= BLOCK:
+        self.probes.add(vec_id, vector, size, cell, visits + (np.int32(cell).astype("<i4").tobytes() if own else b""))
+        if len(self.probes.ids) >= BLOCK:
             yield from self._meet()
 
-    def _closed(self) -> np.ndarray:
-        if self.matrix is None:
-            self.matrix = np.frombuffer(b"".join(self.units)).reshape(len(self.units), -1)
-        return self.matrix
+    def _close(self) -> None:
+        """Members as a matrix, in order of their cells."""
+        if self.matrix is not None:
+            return
+        rows, self.rows = self.rows, _Rows()
+        cells = np.array(rows.cells, np.int64)
+        order = np.argsort(cells, kind="stable")
+        self.matrix = _unpacked(rows.vectors, self.length)[order] if len(order) else np.zeros((0, self.length))
+        self.ids, self.sizes = np.array(rows.ids, np.int64)[order], np.array(rows.sizes, np.int64)[order]
+        self.visits = [rows.visits[n] for n in order.tolist()]
+        self.cells, self.starts = np.unique(cells[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(order))[: len(self.starts)]
+        self.counts = np.zeros(len(order), np.int64)
 
     def _meet(self) -> Iterator[pa.RecordBatch]:
-        ids, units, sizes = self.probes
-        self.probes = ([], [], [])
-        if ids and self.ids:
-            probes = np.frombuffer(b"".join(units)).reshape(len(units), -1)
-            yield from self._links(
-                np.array(ids), probes, np.array(sizes), np.array(self.ids), self._closed(), np.array(self.sizes), False)
+        self._close()
+        probes, self.probes = self.probes, _Rows()
+        if probes.ids and len(self.ids):
+            ids, sizes = np.array(probes.ids, np.int64), np.array(probes.sizes, np.int64)
+            counts = np.zeros(len(ids), np.int64)
+            pairs = self._visit(ids, _unpacked(probes.vectors, self.length), sizes, counts, probes.visits)
+            yield from _found(ids, counts, pairs)
 
     def finish(self) -> Iterator[pa.RecordBatch]:
         yield from self._meet()
-        if len(self.ids) > 1:
-            matrix, ids, sizes = self._closed(), np.array(self.ids), np.array(self.sizes)
-            for k in range(0, len(ids), BLOCK):
-                some = slice(k, k + BLOCK)
-                yield from self._links(ids[some], matrix[some], sizes[some], ids[k:], matrix[k:], sizes[k:], True)
-
-    def _links(self, a, left, size_a, b, right, size_b, own: bool) -> Iterator[pa.RecordBatch]:
-        near = left @ right.T >= self.cosine
-        near &= a[:, None] != b
-        if own:  # each pair of members once
-            near &= np.arange(len(a))[:, None] < np.arange(len(b))
+        self._close()
+        for k in range(0, len(self.ids), BLOCK):
+            some = slice(k, k + BLOCK)
+            # The counts are a view of all.
+            pairs = self._visit(self.ids[some], self.matrix[some], self.sizes[some], self.counts[some], self.visits[some])
+            yield from _found(np.zeros(0, np.int64), np.zeros(0, np.int64), pairs)
+        pairs = []
+        for start, end in zip(self.starts.tolist(), self.ends.tolist(), strict=True):
+            for k in range(start, end if end - start > 1 else start, BLOCK):
+                some = slice(k, min(k + BLOCK, end))
+                for low in range(k, end, MEMBERS):
+                    pairs += self._links(
+                        self.ids[some], self.matrix[some], self.sizes[some], self.counts[some], slice(low, min(low + MEMBERS, end)), low - k)
+                if len(pairs) >= BLOCK:
+                    yield from _found(np.zeros(0, np.int64), np.zeros(0, np.int64), pairs)
+                    pairs = []
+        yield from _found(self.ids, self.counts, pairs)
+
+    def _visit(self, ids: np.ndarray, vectors: np.ndarray, sizes: np.ndarray, counts: np.ndarray, visits: list[bytes]) -> list[tuple[int, int]]:
+        """Meets some vectors with the members of the cells that they visit."""
+        cells = np.frombuffer(b"".join(visits), "<i4")
+        order = np.argsort(cells, kind="stable")
+        owner = np.repeat(np.arange(len(ids)), [len(v) // 4 for v in visits])[order]
+        cells = cells[order]
+        low, high = np.searchsorted(cells, self.cells, "left"), np.searchsorted(cells, self.cells, "right")
+        pairs = []
+        for n in np.flatnonzero(high > low).tolist():
+            some = owner[low[n] : high[n]]
+            left, held = vectors[some], np.zeros(len(some), np.int64)
+            for k in range(self.starts[n], self.ends[n], MEMBERS):
+                pairs += self._links(ids[some], left, sizes[some], held, slice(k, min(k + MEMBERS, self.ends[n])), None)
+            counts[some] += held  # a vector visits a cell once
+        return pairs
+
+    def _links(self, a: np.ndarray, left: np.ndarray, size_a: np.ndarray, count_a: np.ndarray, members: slice,
+               own: int | None) -> list[tuple[int, int]]:
+        """Counts the links of some vectors with some members, and gives a forest of them. Vectors that are members themselves
+        meet only those behind them: the first of ``members`` comes ``own`` places after the first vector."""
+        b, size_b = self.ids[members], self.sizes[members]
+        near = left @ self.matrix[members].T >= self.cosine
         if not near.any():
-            return
+            return []
+        near &= a[:, None] != b
+        if own is not None:  # each pair of members once
+            near &= np.arange(len(a))[:, None] < np.arange(len(b)) + own
+        rows = np.flatnonzero(near.any(1))
+        if not len(rows):
+            return []
+        count_a += near @ size_b
+        self.counts[members] += near.T @ size_a
         ids, number = np.unique(np.concatenate((a, b)), return_inverse=True)
-        held = np.zeros(len(ids), np.int64)
-        np.add.at(held, number, np.concatenate((near @ size_b, near.T @ size_a)))
         root, pairs = np.arange(len(ids)), []
         of_a, of_b = number[: len(a)], number[len(a) :]
-        for x in np.flatnonzero(near.any(1)):
+        for x in rows:
             # One link to each tree that the row meets and is not in yet.
             met = np.flatnonzero(near[x])
             trees, at = np.unique(root[of_b[met]], return_index=True)
@@ -330,9 +461,14 @@ class _Part:
                 if tree != mine:
                     root[root == tree] = mine
                     pairs.append((int(a[x]), int(b[y])))
-        linked = held > 0
+        return pairs
+
+
+def _found(ids: np.ndarray, counts: np.ndarray, pairs: list[tuple[int, int]]) -> Iterator[pa.RecordBatch]:
+    linked = counts > 0
+    if linked.any() or pairs:
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate((ids[linked], np.array([p[0] for p in pairs], np.int64)))),
              pa.array([None] * int(linked.sum()) + [p[1] for p in pairs], pa.int64()),
-             pa.array(np.concatenate((held[linked], np.zeros(len(pairs), np.int64))))],
+             pa.array(np.concatenate((counts[linked], np.zeros(len(pairs), np.int64))))],
             names=["a", "b", "n"])

@@ -193,6 +193,39 @@ def test_embeddings(spark, monkeypatch, part, length):
     assert sorted(map(tuple, found.collect())) == linked(rows, 0.98)
 
 
+@pytest.mark.parametrize("part", [4096, 50])
+def test_embeddings_in_many_regions(spark, monkeypatch, part):
+    for name, value in (("PART", part), ("LEAST", 20), ("OCCUPANCY", 4)):
+        monkeypatch.setattr(neardup, name, value)
+    rows = vectors(9, count=900)
+    found = neardup.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), cosine=0.98)
+    assert sorted(map(tuple, found.collect())) == linked(rows, 0.98)
+
+
+def test_a_vector_is_sent_to_a_region_once(monkeypatch):
+    """However many cells there are, what moves is bounded by the regions, and any two cells that may link meet once."""
+    monkeypatch.setattr(neardup, "LEAST", 100)
+    found = np.random.default_rng(6).normal(size=(800, 16))
+    found /= np.linalg.norm(found, axis=1)[:, None]
+    index = neardup.Index({16: tuple(neardup._codebook(h, 24) for h in neardup._half(found))}, len(found))
+    cells = index.cells(found)
+    count = len(found)
+    batch = pa.RecordBatch.from_pydict({
+        "label": pa.array([1] * count), "length": pa.array([16] * count), "vec_id": pa.array(range(count)),
+        "vector": pa.array([v.tobytes() for v in found], pa.binary()), "size": pa.array([1] * count), "cell": pa.array(cells),
+        "region": pa.array(index.region(cells, 16))})
+    sent = neardup._sent(batch, index, 0.5).to_pylist()
+    looked = sum(len(seen) for seen in index.visits(found, 0.5))
+    assert index.regions(16) == 8 and index.size(16) == 576
+    assert len({(r["vec_id"], r["region"]) for r in sent}) == len(sent) <= 8 * count < looked / 4
+    assert sum(r["home"] for r in sent) == count
+    met = {(r["vec_id"], c) for r in sent for c in np.frombuffer(r["visits"], "<i4").tolist()}
+    near = found @ found.T >= 1 - 0.5**2 / 2
+    for a, b in zip(*np.nonzero(np.triu(near, 1))):
+        if cells[a] != cells[b]:
+            assert ((int(a), int(cells[b])) in met) != ((int(b), int(cells[a])) in met)
+
+
 def scaled(seed, count, length):
     """A third of the rows are one vector at different scales, as floats; the others lie around it or anywhere."""
     draw = np.random.default_rng(seed)
