@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from barfold.functions.series import last_before, nonzero, pct_step, positive
 from barfold.functions.spans import date_span
-from barfold.operators.maintain import has_key, upsert
+from barfold.operators.maintain import has_key, one_per_key
 from barfold.schema import BUCKETS, FIRST_DATE, KEY, LEVELS, ON, PRICES, VOLUME
 from barfold.sources.scratch import materialise
+from barfold.sources.staging import conform
 
 
 def usable_levels() -> dict[str, Column]:
@@ -119,20 +120,24 @@ def returns_revised(bars: DataFrame, stored: DataFrame, batch: DataFrame) -> Dat
     usable there, whose base it was, is or lies after; nothing else. Only these rows are built and
     replaced. Of a touched security's bars before its first changed one, just the last usable value of each
     column is looked up, by an aggregate; bars of other securities are not read beyond their key.
+
+    Bars from the first changed one on and the batch are shuffled by security once, and stay so until they meet the stored rows of
+    touched securities, which returns are dealt out by as well; those of other securities stay in place.
     """
     usable = usable_levels()
-    changed = materialise(batch.select(KEY, ON, *LEVELS))
-    first = changed.where(has_key([KEY, ON])).groupBy(KEY).agg(F.min(ON).alias("_first"))
-    dated = bars.select(KEY, ON, *LEVELS).join(first, KEY)
+    dated = bars.select(KEY, ON, *LEVELS)
+    changed = materialise(conform(batch, dated.schema).where(has_key([KEY, ON])))
+    # One row per security; stored, so that Spark knows its size and leaves the bars in place if it is small.
+    first = materialise(changed.groupBy(KEY).agg(F.min(ON).alias("_first")))
+    dated = dated.join(first, KEY)
     bases = dated.where(F.col(ON) < F.col("_first")).groupBy(KEY).agg(*[
         F.max_by(v, F.when(v.isNotNull(), F.col(ON))).alias(f"_base_{c}") for c, v in usable.items()])
-    later = dated.where(F.col(ON) >= F.col("_first")).drop("_first")
-    fresh = changed.select(KEY, ON).withColumn("_fresh", F.lit(True))
-    rows = upsert(later, changed, [KEY, ON]).join(fresh.distinct(), [KEY, ON], "left").join(bases, KEY, "left")
+    later = dated.where(F.col(ON) >= F.col("_first")).drop("_first").repartition(KEY)
+    rows = _overlaid(later, one_per_key(changed.repartition(KEY), [KEY, ON], [KEY]))
     rows = rows.withColumns({f"_{c}": v for c, v in usable.items()})
     ordered = Window.partitionBy(KEY).orderBy(ON)
     rows = rows.withColumns(
-        {f"_was_{c}": F.coalesce(last_before(f"_{c}", ordered), F.col(f"_base_{c}")) for c in usable}
+        {f"_was_{c}": last_before(f"_{c}", ordered) for c in usable}
         | {f"_since_{c}": last_before(F.when(F.col(f"_{c}").isNotNull(), F.col(ON)), ordered) for c in usable}
         | {"_touch": last_before(F.when(F.col("_fresh"), F.col(ON)), ordered)}
     )
@@ -140,11 +145,23 @@ def returns_revised(bars: DataFrame, stored: DataFrame, batch: DataFrame) -> Dat
         F.col(f"_{c}").isNotNull() & (F.col("_touch") >= F.coalesce(f"_since_{c}", F.lit(FIRST_DATE).cast("date")))
         for c in usable
     ]
-    built = materialise(rows.where(F.coalesce(F.col("_fresh") | reduce(or_, moved), reduce(or_, moved), F.lit(False))).select(
-        KEY, ON, *[pct_step(F.col(f"_{c}"), F.col(f"_was_{c}")).alias(c) for c in usable]))
-    kept = stored.join(built.select(KEY, ON), [KEY, ON], "left_anti")
-    return kept.select(KEY, ON, *LEVELS).unionByName(built.where("close is not null"))
+    rows = rows.where(F.coalesce(F.col("_fresh") | reduce(or_, moved), F.lit(False)))
+    built = rows.join(bases, KEY, "left").select(
+        KEY, ON, *[pct_step(F.col(f"_{c}"), F.coalesce(f"_was_{c}", f"_base_{c}")).alias(c) for c in usable])
+    stored = stored.select(KEY, ON, *LEVELS)
+    touched = _overlaid(stored.join(first, KEY, "left_semi"), built)
+    return stored.join(first, KEY, "left_anti").unionByName(touched.where(~F.col("_fresh") | F.col("close").isNotNull()).drop("_fresh"))
+
 
+def _overlaid(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``new`` and those rows of ``old`` whose security and day it does not hold, told apart by ``_fresh``.
+
+    In one order of rows instead of a join by day, so that sides dealt out by security are not shuffled.
+    """
+    rows = old.withColumn("_fresh", F.lit(False)).unionByName(new.withColumn("_fresh", F.lit(True)))
+    newer = Window.partitionBy(KEY).orderBy(ON, F.desc("_fresh")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_latest", F.max(F.when(F.col("_fresh"), F.col(ON))).over(newer))
+    return rows.where(F.col("_fresh") | F.coalesce(F.col("_latest") != F.col(ON), F.lit(True))).drop("_latest")
 
 
 # Rows of one day are told apart by this many bits of a row number's hash.

@@ -144,3 +144,22 @@ def test_revised_returns_are_the_full_rebuild(spark, seed):
     em.assert_same(em.keyed(op.returns_revised(bars, stored, batch)), em.keyed(op.returns(merged)))
     nothing = op.returns_revised(bars, stored, batch.limit(0))
     em.assert_same(em.keyed(nothing), em.keyed(stored))
+
+
+def test_revised_returns_of_rows_without_a_key_and_rows_that_repeat(spark):
+    old = {1: {1: bar(10, 1), 2: bar(20, 1), 4: bar(30, 1)}, 2: {1: bar(1, 1), 2: bar(2, 1)}}
+    bars = em.frame(spark, old)
+    batch = em.frame(spark, {1: {2: bar(40, 1), 3: bar(20, 1)}})
+    stored = op.returns(bars)
+    # Stored rows without a key, and those of other securities, stay as often as they are there.
+    odd = stored.where("sec_id = 2").unionByName(stored.where("sec_id = 2")).unionByName(
+        stored.where("sec_id = 2").selectExpr("cast(null as bigint) sec_id", "Date", *LEVELS)).unionByName(
+        stored.where("sec_id = 2").selectExpr("cast(1 as bigint) sec_id", "cast(null as date) Date", *LEVELS))
+    twice = batch.unionByName(batch).unionByName(batch.selectExpr("cast(null as bigint) sec_id", "Date", *LEVELS))
+    found = op.returns_revised(bars, stored.where("sec_id = 1").unionByName(odd), twice)
+    got = sorted((str(r["sec_id"]), str(r["Date"]), r["close"]) for r in found.collect())
+    rebuilt = op.returns(em.frame(spark, {1: old[1] | {2: bar(40, 1), 3: bar(20, 1)}}))
+    wanted = [(str(r["sec_id"]), str(r["Date"]), r["close"]) for r in rebuilt.unionByName(odd).collect()]
+    assert got == sorted(wanted)
+    with pytest.raises(Exception, match="different source rows share the key"):
+        op.returns_revised(bars, stored, batch.unionByName(em.frame(spark, {1: {2: bar(50, 1)}}))).collect()

@@ -163,3 +163,13 @@ def test_a_refresh_compares_rows_without_aggregates_of_them(stored):
     behind = stored("prices").where(F.col("Date") <= F.lit(make_date(2001)))
     text = plan(op.refresh_prices(stocks, stored("returns"), behind, stored("last_price"), stored("last_volume")))
     assert "min(open" not in text and "_previous" in text
+
+
+def test_revised_returns_shuffle_each_side_by_security_once(stored):
+    bars = stored("bars")
+    day = F.datediff("Date", F.lit("1990-01-01"))
+    late = bars.where(day % 5 == 0)
+    text = plan(op.returns_revised(bars.where(day % 5 != 0), op.returns(bars.where(day % 5 != 0)), late))
+    assert not re.search(r"hashpartitioning\(sec_id#\d+L, Date#", text)
+    # Bars, batch, the last values before it, and the returns of touched and of other securities.
+    assert count(text, "Exchange") == 5

@@ -111,7 +111,7 @@ def returns_revised(t):
     day = F.datediff(ON, F.lit("1990-01-01")) + F.col(KEY)
     wrong = whole.withColumn("close", F.when(day % 7 == 1, F.col("close") * 2).otherwise(F.col("close"))).withColumn(
         "volume", F.when(day % 11 == 1, 0.0).otherwise(F.col("volume")))
-    early = src.materialise(wrong.where(day % 5 != 0))
+    early = wrong.where(day % 5 != 0)
     return op.returns_revised(early, op.returns(early), whole.where((day % 5 == 0) | (day % 7 == 1) | (day % 11 == 1)))
 
 
